@@ -179,6 +179,75 @@ def cumulate(
     return joined.withColumns(filled).drop(*[f"__carry_{out}" for out in [*sums, *last]])
 
 
+Step = Callable[[Column, Column, Column], Column]
+"""(previous value, value, is first row of the session) -> does the row take the step?"""
+
+
+@ordered
+def transitions(
+    df: DataFrame,
+    axis: Axis,
+    value: Column,
+    counts: Mapping[str, Step] | None = None,
+    since: Mapping[str, Step] | None = None,
+) -> DataFrame:
+    """Add, for steps from one value to the next, how many rows took them so far
+    (``counts``) and the time of the row that did so last (``since``).
+
+    A chunk counts the steps inside it; the step into it follows from the last value
+    of the chunk before and the first value of its own.
+    """
+    counts, since = dict(counts or {}), dict(since or {})
+    steps = counts | since
+    w, so_far, time = axis.rows(), axis.so_far(), F.col(axis.time)
+    now, before, first = F.col("__now"), F.col("__before"), F.col("__first")
+
+    def takes(step: Step, *args: Column) -> Column:
+        return F.coalesce(step(*args), F.lit(False))
+
+    df = df.withColumn("__now", value)
+    df = df.withColumns({"__before": F.lag(now).over(w), "__first": F.lag(F.lit(1)).over(w).isNull()})
+    if axis.chunk is None:
+        took = {out: takes(step, before, now, first) for out, step in steps.items()}
+    else:
+        took = {out: ~first & takes(step, before, now, F.lit(False)) for out, step in steps.items()}
+    df = df.withColumns({f"__took_{out}": flag for out, flag in took.items()})
+    took = {out: F.col(f"__took_{out}") for out in steps}
+    found = {out: F.sum(took[out].cast("long")).over(so_far) for out in counts}
+    found |= {out: F.last(F.when(took[out], time), ignorenulls=True).over(so_far) for out in since}
+    scratch = ["__now", "__before", "__first", *[f"__took_{out}" for out in steps]]
+    if axis.chunk is None:
+        return df.withColumns(found).drop(*scratch)
+
+    chunks = Window.partitionBy(*axis.keys).orderBy(CHUNK)
+    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    inside = [F.sum(took[out].cast("long")).alias(out) for out in counts]
+    inside += [F.max(F.when(took[out], time)).alias(out) for out in since]
+    place = axis.place()
+    ends = [F.min_by(now, place).alias("__head"), F.max_by(now, place).alias("__tail"), F.min(time).alias("__from")]
+    parts = df.groupBy(*axis.cell).agg(*inside, *ends)
+    parts = parts.withColumns(
+        {"__tail_before": F.lag("__tail").over(chunks), "__first_chunk": F.lag(F.lit(1)).over(chunks).isNull()}
+    )
+    enters = {
+        out: takes(step, F.col("__tail_before"), F.col("__head"), F.col("__first_chunk"))
+        for out, step in steps.items()
+    }
+    parts = parts.withColumns({f"__enters_{out}": flag for out, flag in enters.items()})
+    carried = []
+    for out in counts:
+        entry = F.col(f"__enters_{out}").cast("long")
+        carried.append((F.coalesce(F.sum(F.col(out) + entry).over(earlier), F.lit(0)) + entry).alias(f"__carry_{out}"))
+    for out in since:
+        entry = F.when(F.col(f"__enters_{out}"), F.col("__from"))
+        known = F.last(F.coalesce(out, entry), ignorenulls=True).over(earlier)
+        carried.append(F.coalesce(entry, known).alias(f"__carry_{out}"))
+    joined = df.withColumns(found).join(parts.select(*axis.cell, *carried), axis.cell, "left")
+    filled = {out: F.col(out) + F.col(f"__carry_{out}") for out in counts}
+    filled |= {out: F.coalesce(out, f"__carry_{out}") for out in since}
+    return joined.withColumns(filled).drop(*scratch, *[f"__carry_{out}" for out in steps])
+
+
 @ordered
 def per_session(df: DataFrame, axis: Axis, **aggs: Reduce) -> DataFrame:
     """Add session-wide aggregates to every row."""

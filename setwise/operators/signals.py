@@ -19,6 +19,7 @@ from setwise.operators.ordered import (
     ordered,
     per_run,
     per_session,
+    transitions,
 )
 from setwise.session import cut
 
@@ -64,6 +65,26 @@ def falling_edge(df: DataFrame, axis: Axis, signal: Signal, out: str) -> DataFra
     return edges(df, axis, signal, falling=out)
 
 
+def _rises(before: Column, now: Column, first: Column) -> Column:
+    return now & ~before
+
+
+def _falls(before: Column, now: Column, first: Column) -> Column:
+    return ~now & before
+
+
+def _starts(before: Column, now: Column, first: Column) -> Column:
+    return now & (first | ~before)
+
+
+def _changes(before: Column, now: Column, first: Column) -> Column:
+    return first | ~now.eqNullSafe(before)
+
+
+def _value(signal: Signal) -> Column:
+    return F.col(signal) if isinstance(signal, str) else signal
+
+
 @ordered
 def island_id(df: DataFrame, axis: Axis, flag: Signal, out: str, legacy: bool = False) -> DataFrame:
     """Number the runs of rows with an equal flag.
@@ -72,28 +93,20 @@ def island_id(df: DataFrame, axis: Axis, flag: Signal, out: str, legacy: bool =
     the difference of the row numbers per session and per (session, flag), that is
     the rows so far with the other flag: an on-run and an off-run may share it.
     """
-    if legacy:
-        on = _flag(_on(flag))
-        df = cumulate(df.withColumn("__on", on), axis, sums={"__ons": F.col("__on"), "__offs": 1 - F.col("__on")})
-        other = F.when(F.col("__on") == 1, F.col("__offs")).otherwise(F.col("__ons"))
-        return df.withColumn(out, other).drop("__on", "__ons", "__offs")
-    value = F.col(flag) if isinstance(flag, str) else flag
-    df = neighbours(df.withColumn("__flag", value), axis, lag={"__previous": F.col("__flag"), "__row": F.lit(1)})
-    change = F.col("__row").isNull() | ~F.col("__flag").eqNullSafe(F.col("__previous"))
-    df = cumulate(df.withColumn("__change", change.cast("int")), axis, sums={out: F.col("__change")})
-    return df.drop("__flag", "__previous", "__row", "__change")
+    if not legacy:
+        return transitions(df, axis, _value(flag), counts={out: _changes})
+    on = F.col("__on")
+    df = cumulate(df.withColumn("__on", _flag(_on(flag))), axis, sums={"__ons": on, "__offs": 1 - on})
+    return df.withColumn(out, F.when(on == 1, F.col("__offs")).otherwise(F.col("__ons"))).drop("__on", "__ons", "__offs")
 
 
 @ordered
 def first_event_run(df: DataFrame, axis: Axis, out: str, pressed: Column | None = None) -> DataFrame:
     """Mark the rows of the first run in which any button is down."""
     pressed = any_pressed() if pressed is None else pressed
-    df = edges(df.withColumn("__pressed", _flag(pressed)), axis, "__pressed", rising="__press")
-    df = neighbours(df, axis, lag={"__row": F.lit(1)})
-    starts = F.when(F.col("__row").isNull(), F.col("__pressed")).otherwise(F.col("__press"))
-    df = cumulate(df, axis, sums={"__presses": starts})
-    first = (F.col("__pressed") == 1) & (F.col("__presses") == 1)
-    return df.withColumn(out, _flag(first)).drop("__pressed", "__press", "__row", "__presses")
+    df = df.withColumn("__pressed", _flag(pressed).cast("boolean"))
+    df = transitions(df, axis, F.col("__pressed"), counts={"__presses": _starts})
+    return df.withColumn(out, _flag(F.col("__pressed") & (F.col("__presses") == 1))).drop("__pressed", "__presses")
 
 
 @ordered
@@ -114,10 +127,9 @@ def blank_first_run(df: DataFrame, first_run: str) -> DataFrame:
 @ordered
 def toggle_latch(df: DataFrame, axis: Axis, signal: Signal, out: str) -> DataFrame:
     """On from a first press up to the row before the release of the second press."""
-    df = edges(df, axis, signal, rising="__rise", falling="__fall")
-    df = cumulate(df, axis, sums={"__rises": F.col("__rise"), "__falls": F.col("__fall")})
+    df = transitions(df, axis, _on(signal), counts={"__rises": _rises, "__falls": _falls})
     odd = (F.col("__rises") % 2 != 0) | (F.col("__falls") % 2 != 0)
-    return df.withColumn(out, odd.cast("int")).drop("__rise", "__fall", "__rises", "__falls")
+    return df.withColumn(out, odd.cast("int")).drop("__rises", "__falls")
 
 
 def active_class(df: DataFrame, latch: str, code: str, out: str) -> DataFrame:
@@ -127,14 +139,10 @@ def active_class(df: DataFrame, latch: str, code: str, out: str) -> DataFrame:
 @ordered
 def run_start(df: DataFrame, axis: Axis, flag: Signal, out: str, legacy: bool = False) -> DataFrame:
     """The time at which the current run of ``flag`` began."""
-    if legacy:
-        df = island_id(df, axis, flag, "__run", legacy=True)
-        return per_run(df, axis, "__run", **{out: ("min", F.col(axis.time))}).drop("__run")
-    value = F.col(flag) if isinstance(flag, str) else flag
-    df = neighbours(df.withColumn("__flag", value), axis, lag={"__previous": F.col("__flag"), "__row": F.lit(1)})
-    change = F.col("__row").isNull() | ~F.col("__flag").eqNullSafe(F.col("__previous"))
-    df = cumulate(df, axis, last={out: F.when(change, F.col(axis.time))})
-    return df.drop("__flag", "__previous", "__row")
+    if not legacy:
+        return transitions(df, axis, _value(flag), since={out: _changes})
+    df = island_id(df, axis, flag, "__run", legacy=True)
+    return per_run(df, axis, "__run", **{out: ("min", F.col(axis.time))}).drop("__run")
 
 
 def relative_time(df: DataFrame, axis: Axis, flag: Signal, out: str, legacy: bool = False) -> DataFrame:

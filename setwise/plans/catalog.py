@@ -14,9 +14,10 @@ from setwise.functions import scalars as S
 from setwise.operators import cleaning, models, phases, relational, signals
 from setwise.operators.ordered import rolling_max, row_numbers
 from setwise.plans.views import event_rows, load, sessions
-from setwise.session import work_dir
+from setwise.session import cut, work_dir
 from setwise.sources import tables
 from setwise.sources.change_log import ChangeLog, diff_changes, read_incrementally
+from setwise.sources.session_files import rescue_cells
 from setwise.streaming.ingest import ingest
 from setwise.streaming.silver import SilverJob
 
@@ -205,6 +206,8 @@ def _marked(spark, sf, chunked=False, legacy=False):
     """Sessions whose own labels stand for predictions."""
     df, axis = sessions(spark, sf, chunked)
     df = signals.label_session(df, axis)
+    if chunked:  # several scans follow; read the labels back instead of repeating them
+        df = cut(df)
     rule = "legacy" if legacy else "both_zero"
     return phases.mark_phases(df, axis, rest_rule=rule, legacy=legacy, before=SMOOTH, after=SMOOTH), axis
 
@@ -508,7 +511,7 @@ def upsert(spark, sf):
 @query
 def upsert_by_name(spark, sf):
     """The same through a catalog table."""
-    tables.create_database(spark, "setwise_check")
+    tables.create_database(spark, "setwise_check", work_dir(spark, "warehouse"))
     name = f"setwise_check.orders_{work_dir(spark, 'n').rsplit('-', 1)[1]}"
     schema = load(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).schema
     tables.create_table(spark, name, schema, [ORDER_PART], work_dir(spark, "orders"))
@@ -575,7 +578,7 @@ SESSION_FOLDER = r"session=([^/]+)"
 def _ingested(spark, sf) -> str:
     landing, bronze, state = _recordings(spark, sf), work_dir(spark, "bronze"), work_dir(spark, "state")
     folder = F.regexp_extract(F.col("_metadata.file_path"), SESSION_FOLDER, 1)
-    ingest(spark, f"{landing}/*", bronze, state, name=folder)
+    ingest(spark, landing, bronze, state, name=folder)
     return bronze
 
 
@@ -614,8 +617,6 @@ def rescued_cells(spark, sf):
             T.StructField("k", T.IntegerType()),
         ]
     )
-    from setwise.sources.session_files import rescue_cells
-
     rescued = rescue_cells(raw, kinds)
     return rescued.select("event_id", "user_id", "k", F.get_json_object("_rescued_data", "$.user_id").alias("rescued"))
 

@@ -59,7 +59,9 @@ class ScoringJob:
             raise LookupError(f"no complete run named {self.run_name}")
         models = [self.store.load(run["run_id"], spec.name) for spec in specs]
         axis = fit_axis(new.frame, ("filename",), "time_vector", max_rows=self.max_rows)
-        scored = score_chained(new.frame, *models)
+        # Scored once: the frame is read for the gold rows, the summary and the row count,
+        # and on a chunked axis several times by the scans.
+        scored = score_chained(new.frame, *models).persist(StorageLevel.DISK_ONLY)
         marked = mark_phases(scored, axis, rest_rule=self.rest_rule, legacy=self.legacy).persist(StorageLevel.DISK_ONLY)
         try:
             gold = marked.withColumn("batch_version", F.lit(new.version).cast("long"))
@@ -69,4 +71,5 @@ class ScoringJob:
             new.commit(marked.count())
         finally:
             marked.unpersist()
+            scored.unpersist()
         return self.spark.read.json(report)

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,8 +58,9 @@ def target_schema(spark: SparkSession, target: str, source: DataFrame) -> T.Stru
     return read_table(spark, target).schema if table_exists(spark, target) else source.schema
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def column_order(schema: T.StructType) -> T.StructType:
@@ -140,33 +142,32 @@ def touched_rows(table: DataFrame, updates: DataFrame, partition: str) -> DataFr
     return table.where(found | F.col(partition).isNull() if None in listed else found)
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def match_keys(old: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Old rows and updates together, each told whether its key is old and whether it
+    is updated. One shuffle by the full key, so no session is too heavy; null keys match."""
+    same_key = Window.partitionBy(*keys)
+    both = old.withColumn("__new", F.lit(False)).unionByName(updates.select(*old.columns).withColumn("__new", F.lit(True)))
+    return both.withColumns(
+        {"__was_there": F.bool_or(~F.col("__new")).over(same_key), "__updated": F.bool_or("__new").over(same_key)}
+    )
 
 
-def merged_rows(old: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``updates`` plus the old rows whose key does not occur in them. Null keys match."""
-    fresh = updates.select(*keys).alias("u")
-    kept = old.alias("o").join(fresh, _same_key(old, updates, keys), "left_anti")
-    return kept.unionByName(updates.select(*old.columns))
+_MARKS = ("__new", "__was_there", "__updated")
 
 
-def upsert_changes(old: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """What an upsert does to ``old``: inserts and the rows before and after updates."""
-    updates = updates.select(*old.columns)
-    old_keys, new_keys = old.select(*keys).distinct(), updates.select(*keys).distinct()
+def merged_rows(matched: DataFrame) -> DataFrame:
+    """All updates and the old rows without one."""
+    return matched.where("__new OR NOT __updated").drop(*_MARKS)
 
-    def kind(df: DataFrame, others: DataFrame, how: str, name: str) -> DataFrame:
-        return df.join(others, _same_key(df, others, keys), how).withColumn("_change_type", F.lit(name))
 
-    return (
-        kind(updates, old_keys, "left_anti", "insert")
-        .unionByName(kind(updates, old_keys, "left_semi", "update_postimage"))
-        .unionByName(kind(old, new_keys, "left_semi", "update_preimage"))
+def upsert_changes(matched: DataFrame) -> DataFrame:
+    """What the upsert does: inserts, and the rows before and after updates."""
+    kind = (
+        F.when(~F.col("__new"), "update_preimage")
+        .when(F.col("__was_there"), "update_postimage")
+        .otherwise("insert")
     )
+    return matched.where("__updated").withColumn("_change_type", kind).drop(*_MARKS)
 
 
 def upsert(
@@ -187,11 +188,16 @@ def upsert(
     than once, so pass a cached or stored frame.
     """
     table = read_table(spark, target, schema)
-    updates = updates.select(*table.columns)
-    old = touched_rows(table, updates, partition)
-    if log is not None and not log.has(version):
-        log.write(upsert_changes(old, updates, keys), version)
-    overwrite_partitions(merged_rows(old, updates, keys), target, partition)
+    matched = match_keys(touched_rows(table, updates, partition), updates, keys)
+    logged = log is None or log.has(version)
+    if not logged:
+        matched = matched.persist(StorageLevel.DISK_ONLY)
+    try:
+        if not logged:
+            log.write(upsert_changes(matched), version)
+        overwrite_partitions(merged_rows(matched), target, partition)
+    finally:
+        matched.unpersist()
 
 
 def write_report(summary: DataFrame, path: str) -> None:

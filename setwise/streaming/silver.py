@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from setwise import contract as C
 from setwise.functions.scalars import base_name, device_version, session_start, wall_time_text
 from setwise.operators.cleaning import clean_samples, resample_where, route, select_renamed
-from setwise.operators.ordered import MAX_ROWS, fit_axis
+from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
 from setwise.operators.signals import label_session
 from setwise.sources.change_log import ChangeLog
 from setwise.sources.tables import touched_rows, upsert
@@ -35,10 +35,11 @@ def prepare_samples(bronze: DataFrame, condition: Column | None = None, device:
     )
 
 
-def label_sessions(samples: DataFrame, legacy: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Labelled samples; measures the sessions first to choose the scan."""
-    axis = fit_axis(samples, ("filename",), "time_vector", max_rows=max_rows)
-    return label_session(samples, axis, legacy)
+def session_axis(bronze: DataFrame, max_rows: int = MAX_ROWS) -> Axis:
+    """The scan for these sessions, measured on two columns of the raw rows."""
+    timed = bronze.select(base_name("filename").alias("filename"), F.col("timevector").alias("time_vector"))
+    timed = timed.where(F.abs("time_vector") < F.lit(float("inf")))
+    return fit_axis(timed, ("filename",), "time_vector", max_rows=max_rows)
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,8 @@ class SilverJob:
         bronze = spark.read.schema(C.BRONZE).parquet(self.bronze)
         sessions = touched_rows(bronze, batch, "filename")
         samples = prepare_samples(sessions, self.condition)
-        labelled = label_sessions(samples, self.legacy, self.max_rows).persist(StorageLevel.DISK_ONLY)
+        axis = session_axis(sessions, self.max_rows)
+        labelled = label_session(samples, axis, self.legacy).persist(StorageLevel.DISK_ONLY)
         try:
             training, production = route(labelled)
             for rows, target, schema, log in (
