@@ -87,15 +87,21 @@ def fit_axis(
     """
     axis = Axis(tuple(keys), time, tuple(ties))
     n = F.count(F.lit(1))
-    span = F.max(time) - F.min(time)
-    largest, densest = (
-        df.groupBy(*keys)
-        .agg(n.alias("n"), (n / span).alias("density"))
-        .agg(F.max("n"), F.max(F.when(F.col("n") > max_rows, F.col("density"))))
-        .first()
+    sizes = df.groupBy(*keys).agg(
+        n.alias("n"),
+        F.try_divide(n, F.max(time) - F.min(time)).alias("density"),
+        (F.count(time) < n).alias("untimed"),
     )
+    unkeyed = functools.reduce(Column.__or__, [F.col(key).isNull() for key in keys])
+    largest, densest, unusable = sizes.agg(
+        F.max("n"),
+        F.max(F.when(F.col("n") > max_rows, F.col("density"))),
+        F.bool_or(unkeyed | F.col("untimed")),
+    ).first()
     if largest is None or largest <= max_rows or not densest:
         return axis
+    if unusable:
+        raise ValueError(f"null in {', '.join(keys)} or {time}: such rows cannot be put in order")
     axis = replace(axis, chunk=max_rows / densest)
     for _ in range(16):
         heaviest = axis.split(df).groupBy(*axis.cell).count().agg(F.max("count")).first()[0]

@@ -77,9 +77,10 @@ def set_ids(phases: DataFrame, axis: Axis) -> DataFrame:
     return island_id(phases.withColumn("known", known), axis, "known", "group_id").drop("known")
 
 
-def phase_axis(session: Sequence[str] = SESSION, chunk: float | None = None) -> Axis:
-    """Phases of a session in order of time."""
-    return Axis(tuple(session), "phase_start", ("events_groups", LABEL), chunk)
+def phase_axis(chunk: float | None = None) -> Axis:
+    """Phases of a session in order of time. The file name alone is the key: the date
+    follows from it and may be null."""
+    return Axis(("filename",), "phase_start", ("events_groups", LABEL), chunk)
 
 
 def session_summary(phases: DataFrame, session: Sequence[str] = SESSION) -> DataFrame:

@@ -215,7 +215,7 @@ def _marked(spark, sf, chunked=False, legacy=False):
 def _phases(spark, sf, chunked=False, legacy=False):
     marked, axis = _marked(spark, sf, chunked, legacy)
     table = phases.phase_table(marked, ("filename",), "time_us")
-    return table, phases.phase_axis(("filename",), axis.chunk)
+    return table, phases.phase_axis(axis.chunk)
 
 
 @query

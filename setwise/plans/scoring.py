@@ -24,7 +24,7 @@ def summarise(marked: DataFrame, axis: Axis) -> DataFrame:
     phases = phase_table(marked, session)
     if axis.chunk is not None:
         phases = cut(phases)  # a long session may also have many phases
-    return session_summary(set_ids(phases, phase_axis(session, axis.chunk)), session)
+    return session_summary(set_ids(phases, phase_axis(axis.chunk)), session)
 
 
 @dataclass(frozen=True)
