@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -49,8 +50,17 @@ def zero_to_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def clean_samples(df: DataFrame, zero_is_missing: Iterable[str] = ()) -> DataFrame:
     """Keep the rows in which every column has a finite value and none of
-    ``zero_is_missing`` is exactly zero."""
-    return zero_to_null(infinite_to_nan(df), zero_is_missing).dropna()
+    ``zero_is_missing`` is exactly zero.
+
+    Rows that stay need no change, so this is one filter over the scanned columns.
+    """
+    infinity = F.lit(float("inf"))
+    # NaN sorts above infinity and a null makes the comparison unknown.
+    usable = [
+        F.abs(F.col(name)) < infinity if kind in _FRACTIONS else F.col(name).isNotNull() for name, kind in df.dtypes
+    ]
+    usable += [F.col(name) != 0 for name in zero_is_missing]
+    return df.where(functools.reduce(Column.__and__, usable))
 
 
 def raster_columns(df: DataFrame, time: str = "time_vector") -> DataFrame:
