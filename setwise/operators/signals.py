@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setwise.operators.ordered import (
@@ -191,10 +191,10 @@ LABELS = ("excercise_id", "start_end_excercise_id", "eccentric", "concentric")
 
 
 def _label(df: DataFrame, axis: Axis, legacy: bool, settle) -> DataFrame:
-    df = settle(first_event_run(df, axis, "__first_run"))
+    df = first_event_run(df, axis, "__first_run")
     df = settle(class_code(df, axis, "__first_run", "excercise_id"))
     df = blank_first_run(df, "__first_run").drop("__first_run")
-    df = settle(toggle_latch(df, axis, START_END, "__latch"))
+    df = toggle_latch(df, axis, START_END, "__latch")
     df = active_class(df, "__latch", "excercise_id", "start_end_excercise_id")
     df = settle(run_start(df, axis, "__latch", "__run_start", legacy))
     df = phase_labels(df, axis, "start_end_excercise_id", legacy=legacy, settle=settle)
@@ -210,24 +210,33 @@ def label_session(df: DataFrame, axis: Axis, legacy: bool = False) -> DataFrame:
 
     On a chunked axis the buttons are first reduced to their state changes (people
     press a few times a minute, sensors write a hundred rows a second). The labels
-    are worked out on those and joined back to the rows of each chunk.
+    are worked out on those and held until the next change in each chunk.
     """
     if axis.chunk is None:
         labelled = _label(df, axis, legacy, settle=lambda df: df)
     elif legacy:  # the old run ids count rows, so they need all of them
         labelled = _label(axis.split(df), axis, legacy, settle=cut)
     else:
-        rows = _number_states(axis.split(df), axis)
-        changes = rows.where("__change = 1").select(*axis.cell, *axis.order, "__state", *BUTTONS)
-        labels = _label(cut(changes), axis, legacy, settle=cut).drop(*axis.order)
-        labelled = rows.drop("__change", *BUTTONS).join(labels, [*axis.cell, "__state"], "left")
+        rows = axis.split(df)
+        labels = _label(cut(_state_changes(rows, axis)), axis, legacy, settle=cut)
+        labelled = _hold_labels(rows.drop(*BUTTONS), labels, axis)
     labelled = labelled.withColumn("relative_time", F.col(axis.time) - F.col("__run_start"))
-    return labelled.drop("__run_start", "__state", CHUNK)
+    return labelled.drop("__run_start", CHUNK)
 
 
-def _number_states(df: DataFrame, axis: Axis) -> DataFrame:
-    """Number the states of the buttons inside each chunk; a new chunk starts anew."""
-    w = axis.rows()
+def _state_changes(rows: DataFrame, axis: Axis) -> DataFrame:
+    """The rows at which a button changes, and the first row of each chunk."""
     state = F.struct(*BUTTONS)
-    df = df.withColumn("__change", (~state.eqNullSafe(F.lag(state).over(w))).cast("int"))
-    return df.withColumn("__state", F.sum("__change").over(axis.so_far()))
+    narrow = rows.select(*axis.cell, *axis.order, *BUTTONS)
+    return narrow.withColumn("__before", F.lag(state).over(axis.rows())).where(~state.eqNullSafe(F.col("__before"))).drop("__before")
+
+
+def _hold_labels(rows: DataFrame, labels: DataFrame, axis: Axis) -> DataFrame:
+    """Give each row the labels of the latest change in its chunk. A union and one
+    window: the wide rows are shuffled once, by chunk, and not joined."""
+    held = [c for c in labels.columns if c not in {*axis.cell, *axis.order}]
+    labels = labels.select(*axis.cell, *axis.order, F.struct(*held).alias("__labels"), F.lit(0).alias("__side"))
+    both = rows.withColumn("__side", F.lit(1)).unionByName(labels, allowMissingColumns=True)
+    w = Window.partitionBy(*axis.cell).orderBy(*axis.order, "__side")
+    latest = F.last("__labels", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return both.withColumn("__held", latest).where("__side = 1").select(*rows.columns, "__held.*")

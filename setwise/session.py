@@ -11,8 +11,6 @@ DEFAULTS = {
     # Recorder clocks write wall time without a zone; one fixed zone keeps it stable.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    # Rows laid out by (session, chunk) can be joined on (session, chunk, run) as they lie.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
