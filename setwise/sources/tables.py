@@ -204,8 +204,3 @@ def write_report(summary: DataFrame, path: str) -> None:
     """The summary as JSON lines, one session each."""
     summary.write.mode("overwrite").json(path)
 
-
-def report_text(summary: DataFrame, group: str = "measure_dates") -> DataFrame:
-    """The summary as one JSON document in one row, for a summary of a few sessions."""
-    entries = F.array_sort(F.collect_list(F.struct(*summary.columns)))
-    return summary.agg(F.to_json(F.struct(entries.alias(group))).alias("report"))

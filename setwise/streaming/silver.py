@@ -15,7 +15,7 @@ from setwise.operators.cleaning import clean_samples, resample_where, route, sel
 from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
 from setwise.operators.signals import label_session
 from setwise.sources.change_log import ChangeLog
-from setwise.sources.tables import touched_rows, upsert
+from setwise.sources.tables import is_path, read_table, touched_rows, upsert
 
 KEYS = ("filename", "time_vector")
 
@@ -44,7 +44,8 @@ def session_axis(bronze: DataFrame, max_rows: int = MAX_ROWS) -> Axis:
 
 @dataclass(frozen=True)
 class SilverJob:
-    """Reads the bronze folder as a stream and upserts into two tables.
+    """Reads the bronze table as a stream and upserts into two tables, partitioned by
+    session. Tables are paths, or names of tables that were created before.
 
     A session is always labelled as a whole: the batch only says which sessions have
     new rows, and these are read again in full. A batch that is delivered twice gives
@@ -70,11 +71,10 @@ class SilverJob:
 
     def run(self) -> StreamingQuery:
         limit = ("maxFilesPerTrigger", self.max_files) if self.max_files else ("maxBytesPerTrigger", self.max_bytes)
+        reader = self.spark.readStream.option(*limit)
+        rows = reader.schema(C.BRONZE).parquet(self.bronze) if is_path(self.bronze) else reader.table(self.bronze)
         query = (
-            self.spark.readStream.schema(C.BRONZE)
-            .option(*limit)
-            .parquet(self.bronze)
-            .writeStream.foreachBatch(self.update)
+            rows.writeStream.foreachBatch(self.update)
             .outputMode("append")
             .option("checkpointLocation", f"{self.checkpoint}/stream")
             .trigger(availableNow=True)
@@ -85,7 +85,7 @@ class SilverJob:
 
     def update(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bronze = spark.read.schema(C.BRONZE).parquet(self.bronze)
+        bronze = read_table(spark, self.bronze, C.BRONZE)
         sessions = touched_rows(bronze, batch, "filename")
         samples = prepare_samples(sessions, self.condition)
         axis = session_axis(sessions, self.max_rows)

@@ -93,10 +93,17 @@ def test_ingest_takes_every_file_once(spark, landing, tmp_path):
     assert spark.read.parquet(bronze).count() == n + len(REST)
 
 
-def test_ingest_into_a_catalog_table(spark, landing, tmp_path):
+def test_jobs_work_on_catalog_tables(spark, landing, lake, tmp_path):
     tables.create_database(spark, "lake", work_dir(spark, "db"))
     ingest(spark, str(landing), "lake.bronze_table", str(tmp_path / "state"))
     assert spark.table("lake.bronze_table").select("filename").distinct().count() == 6
+    tables.create_table(spark, "lake.training_silver", C.TRAINING, ["filename"])
+    tables.create_table(spark, "lake.production_silver", C.PRODUCTION, ["filename"])
+    job = silver.SilverJob(
+        spark, "lake.bronze_table", "lake.training_silver", "lake.production_silver", str(tmp_path / "silver")
+    )
+    job.run()
+    assert both_tables(spark, job) == both_tables(spark, lake)
 
 
 def test_silver_routes_labels_and_cleans(spark, lake):

@@ -151,11 +151,6 @@ def test_append_caps_the_rows_of_a_file(spark, tmp_path):
     assert sum(sizes) == 200 and max(sizes) == 30
 
 
-def test_report_text_is_one_document(spark):
-    df = spark.createDataFrame([("b", 2), ("a", 1)], "excercise string, sets int")
-    assert tables.report_text(df).first()[0] == '{"measure_dates":[{"excercise":"a","sets":1},{"excercise":"b","sets":2}]}'
-
-
 def test_rescued_cells(spark):
     schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.IntegerType())])
     raw = spark.createDataFrame([("1.5", "2"), ("x", "2"), ("inf", "1.5z"), (None, None)], "a string, b string")
