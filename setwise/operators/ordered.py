@@ -206,25 +206,26 @@ def transitions(
     counts, since = dict(counts or {}), dict(since or {})
     steps = counts | since
     w, so_far, time = axis.rows(), axis.so_far(), F.col(axis.time)
-    now, before, first = F.col("__now"), F.col("__before"), F.col("__first")
 
     def takes(step: Step, *args: Column) -> Column:
         return F.coalesce(step(*args), F.lit(False))
 
+    found = {out: F.sum(F.col(f"__took_{out}").cast("long")).over(so_far) for out in counts}
+    found |= {out: F.last(F.when(F.col(f"__took_{out}"), time), ignorenulls=True).over(so_far) for out in since}
+    scratch = [f"__took_{out}" for out in steps]
+    if axis.chunk is None:
+        first, before = F.lag(F.lit(1)).over(w).isNull(), F.lag(value).over(w)
+        took = {f"__took_{out}": takes(step, before, value, first) for out, step in steps.items()}
+        return df.withColumns(took).withColumns(found).drop(*scratch)
+
+    first, before, now = F.col("__first"), F.col("__before"), F.col("__now")
     df = df.withColumn("__now", value)
     df = df.withColumns({"__before": F.lag(now).over(w), "__first": F.lag(F.lit(1)).over(w).isNull()})
-    if axis.chunk is None:
-        took = {out: takes(step, before, now, first) for out, step in steps.items()}
-    else:
-        took = {out: ~first & takes(step, before, now, F.lit(False)) for out, step in steps.items()}
-    df = df.withColumns({f"__took_{out}": flag for out, flag in took.items()})
+    df = df.withColumns(
+        {f"__took_{out}": ~first & takes(step, before, now, F.lit(False)) for out, step in steps.items()}
+    )
     took = {out: F.col(f"__took_{out}") for out in steps}
-    found = {out: F.sum(took[out].cast("long")).over(so_far) for out in counts}
-    found |= {out: F.last(F.when(took[out], time), ignorenulls=True).over(so_far) for out in since}
-    scratch = ["__now", "__before", "__first", *[f"__took_{out}" for out in steps]]
-    if axis.chunk is None:
-        return df.withColumns(found).drop(*scratch)
-
+    scratch += ["__now", "__before", "__first"]
     chunks = Window.partitionBy(*axis.keys).orderBy(CHUNK)
     earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
     inside = [F.sum(took[out].cast("long")).alias(out) for out in counts]

@@ -47,14 +47,14 @@ def edges(
     df: DataFrame, axis: Axis, signal: Signal, rising: str | None = None, falling: str | None = None
 ) -> DataFrame:
     """Mark the rows where ``signal`` goes on and/or off. The first row has no edge."""
-    now, before = F.col("__now"), F.col("__before")
-    df = neighbours(df.withColumn("__now", _on(signal)), axis, lag={"__before": now})
+    now, before = _on(signal), F.col("__before")
+    df = neighbours(df, axis, lag={"__before": now})
     marks = {}
     if rising:
         marks[rising] = _flag(now & ~before)
     if falling:
         marks[falling] = _flag(~now & before)
-    return df.withColumns(marks).drop("__now", "__before")
+    return df.withColumns(marks).drop("__before")
 
 
 def rising_edge(df: DataFrame, axis: Axis, signal: Signal, out: str) -> DataFrame:
@@ -103,10 +103,9 @@ def island_id(df: DataFrame, axis: Axis, flag: Signal, out: str, legacy: bool =
 @ordered
 def first_event_run(df: DataFrame, axis: Axis, out: str, pressed: Column | None = None) -> DataFrame:
     """Mark the rows of the first run in which any button is down."""
-    pressed = any_pressed() if pressed is None else pressed
-    df = df.withColumn("__pressed", _flag(pressed).cast("boolean"))
-    df = transitions(df, axis, F.col("__pressed"), counts={"__presses": _starts})
-    return df.withColumn(out, _flag(F.col("__pressed") & (F.col("__presses") == 1))).drop("__pressed", "__presses")
+    pressed = F.coalesce(any_pressed() if pressed is None else pressed, F.lit(False))
+    df = transitions(df, axis, pressed, counts={"__presses": _starts})
+    return df.withColumn(out, _flag(pressed & (F.col("__presses") == 1))).drop("__presses")
 
 
 @ordered
@@ -171,20 +170,20 @@ def phase_labels(
     before a peak; a stretch may get both. ``settle`` may cut the lineage halfway.
     """
     df = neighbours(
-        df.withColumn("__inside", in_phase(active)),
+        df,
         axis,
         lag={"__peak_before": F.col(PEAK), "__trough_before": F.col(TROUGH)},
         lead={"__peak_after": F.col(PEAK), "__trough_after": F.col(TROUGH)},
     )
-    inside = F.col("__inside") == 1
-    lowering = inside & ((F.col("__peak_before") == 1) | (F.col("__trough_after") == 1))
-    lifting = inside & ((F.col("__trough_before") == 1) | (F.col("__peak_after") == 1))
-    df = df.withColumns({"__lowering": _flag(lowering), "__lifting": _flag(lifting)}).drop(
-        "__peak_before", "__trough_before", "__peak_after", "__trough_after"
-    )
-    df = settle(island_id(df, axis, "__inside", "__run", legacy))
+    inside = in_phase(active)
+    lowering = (inside == 1) & ((F.col("__peak_before") == 1) | (F.col("__trough_after") == 1))
+    lifting = (inside == 1) & ((F.col("__trough_before") == 1) | (F.col("__peak_after") == 1))
+    around = ("__peak_before", "__trough_before", "__peak_after", "__trough_after")
+    rest = [c for c in df.columns if c not in around]
+    df = df.select(*rest, _flag(lowering).alias("__lowering"), _flag(lifting).alias("__lifting"))
+    df = settle(island_id(df, axis, inside, "__run", legacy))
     labels = {eccentric: ("max", F.col("__lowering")), concentric: ("max", F.col("__lifting"))}
-    return per_run(df, axis, "__run", **labels).drop("__inside", "__lowering", "__lifting", "__run")
+    return per_run(df, axis, "__run", **labels).drop("__lowering", "__lifting", "__run")
 
 
 LABELS = ("excercise_id", "start_end_excercise_id", "eccentric", "concentric")
