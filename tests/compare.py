@@ -40,7 +40,7 @@ def connect(sf_dir: str):
 
 
 KINDS = {
-    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT",
+    "bigint": "BIGINT", "boolean": "BOOLEAN", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT",
     "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
 }
 
