@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setwise.llm import exact_dedup, language, mixing, warc
+from setwise.llm import exact_dedup, language, mixing, quality, substrings, warc
 from setwise.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,11 +29,22 @@ def op3_language_id(spark, sf):
     return language.identify(load(spark, sf, "documents"))
 
 
+@query
+def op4_quality_rules(spark, sf):
+    return quality.judge(load(spark, sf, "documents"))
+
+
 @query
 def op7_warc_round_trip(spark, sf):
     return warc.round_trip(load(spark, sf, "pages"))
 
 
+@query
+def op8_substring_dedup(spark, sf):
+    cut = substrings.without_repeats(load(spark, sf, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op9_exact_dedup(spark, sf):
     return exact_dedup.copies(load(spark, sf, "documents"))
