@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from setwise.llm import exact_dedup, language, mixing
+from setwise.llm import exact_dedup, language, mixing, ngram_join
 from setwise.llm.common import load, store
 
 
@@ -22,6 +22,11 @@ def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return exact_dedup.without_copies(docs)
 
 
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts."""
+    return ngram_join.without_near_duplicates(docs)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it."""
     return mixing.mixed_documents(docs, load(spark, sf_dir, "labels"))
@@ -30,6 +35,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("language ID", known_language),
     ("exact dedup", no_exact_copies),
+    ("near duplicates", no_near_copies),
     ("mixing sources", mixed_sources),
 ]
 

@@ -18,3 +18,57 @@ SELECT page_id, url, payload_bytes, payload_digest,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM w
 """
+
+# Words in order: SQL has no other way to number matches than to unnest the list of them.
+_WORDS = r"""
+words AS (
+    SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS ws FROM documents)
+)
+"""
+
+ORACLES["op8_substring_dedup"] = f"""
+WITH {_WORDS.format(text="coalesce(text, '')")},
+windows AS (
+    SELECT doc_id, i, word, md5(string_agg(word, ' ') OVER following) AS content, count(*) OVER following AS n
+    FROM words WINDOW following AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+),
+repeated AS (
+    SELECT doc_id, i, word, n = 20 AND row_number() OVER (PARTITION BY content, n ORDER BY doc_id, i) > 1 AS again FROM windows
+),
+covered AS (
+    SELECT doc_id, i, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+    FROM repeated
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+    FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLES["op10_ngram_jaccard_join"] = f"""
+WITH RECURSIVE {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")},
+windows AS (
+    SELECT doc_id, i, string_agg(word, ' ') OVER following AS shingle, count(*) OVER following AS n
+    FROM words WINDOW following AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+),
+shingles AS (SELECT DISTINCT doc_id, shingle FROM windows WHERE n = 5 OR i = 1),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+overlaps AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y USING (shingle)
+    WHERE x.doc_id <> y.doc_id GROUP BY a, b
+),
+links AS (
+    SELECT a, b FROM overlaps o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * o.n >= 75 * (x.n + y.n - o.n)
+),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+),
+smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setwise.llm import exact_dedup, language, mixing, quality, substrings, warc
+from setwise.llm import exact_dedup, language, mixing, ngram_join, quality, substrings, warc
 from setwise.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,8 @@ def op8_substring_dedup(spark, sf):
 @query
 def op9_exact_dedup(spark, sf):
     return exact_dedup.copies(load(spark, sf, "documents"))
+
+
+@query
+def op10_ngram_jaccard_join(spark, sf):
+    return ngram_join.near_duplicates(load(spark, sf, "documents"))

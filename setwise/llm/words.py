@@ -148,10 +148,7 @@ def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
 def small_batches(batches: Iterator[pa.RecordBatch], text: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each hold about ``most`` bytes, one text at least."""
     for batch in batches:
-        column = batch.column(text)
-        sizes = np.asarray(column.cast(pa.large_binary()).fill_null(b"").value_lengths()) if column.null_count else None
-        if sizes is None:
-            sizes = np.diff(text_bytes(column)[1])
+        sizes = np.diff(text_bytes(batch.column(text))[1])
         ends = np.cumsum(sizes)
         at = 0
         while at < batch.num_rows:
