@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from setwise.llm import exact_dedup, language, mixing, ngram_join
+from setwise.llm import bpe, exact_dedup, language, mixing, ngram_join
 from setwise.llm.common import load, store
+from setwise.llm.queries import vocabulary
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +33,17 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mixed_documents(docs, load(spark, sf_dir, "labels"))
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens of each document, and digests of its ids and of their decoding."""
+    return bpe.encode(docs, vocabulary("word_bpe_49k.json"), form="digests")
+
+
 STAGES = [
     ("language ID", known_language),
     ("exact dedup", no_exact_copies),
     ("near duplicates", no_near_copies),
     ("mixing sources", mixed_sources),
+    ("BPE encoding", tokens),
 ]
 
 

@@ -56,12 +56,12 @@ windows AS (
 ),
 shingles AS (SELECT DISTINCT doc_id, shingle FROM windows WHERE n = 5 OR i = 1),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-overlaps AS (
+shared AS (
     SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y USING (shingle)
     WHERE x.doc_id <> y.doc_id GROUP BY a, b
 ),
 links AS (
-    SELECT a, b FROM overlaps o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    SELECT a, b FROM shared o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
     WHERE 100 * o.n >= 75 * (x.n + y.n - o.n)
 ),
 reached AS (

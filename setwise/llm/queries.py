@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setwise.llm import exact_dedup, language, mixing, ngram_join, quality, substrings, warc
+from setwise.llm import bpe, exact_dedup, language, line_dedup, mixing, ngram_join, quality, substrings, token_counts, warc
 from setwise.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,19 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_line_dedup(spark, sf):
+    cut = line_dedup.without_repeated_lines(load(spark, sf, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op2_mix_sources(spark, sf):
     return mixing.mix(load(spark, sf, "documents"), load(spark, sf, "labels"))
@@ -34,6 +47,17 @@ def op4_quality_rules(spark, sf):
     return quality.judge(load(spark, sf, "documents"))
 
 
+@query
+def op5_token_counts(spark, sf):
+    counted = token_counts.count_tokens(load(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op6_bpe_round_trip(spark, sf):
+    return bpe.encode(load(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), form="digests")
+
+
 @query
 def op7_warc_round_trip(spark, sf):
     return warc.round_trip(load(spark, sf, "pages"))
