@@ -44,6 +44,10 @@ SPLIT_SEED = 42
 TRAIN_PERCENT = 80
 FOLDS = 5
 RUN_NAME = "Current_models"
+# Names that stored models know: their working columns, the labels, and the models themselves.
+FEATURE_COLUMN, SCALED_COLUMN = "features", "scaledFeatures"
+SET_LABEL, UP_LABEL, DOWN_LABEL = "start_end_excercise_id", "concentric", "eccentric"
+SET_MODEL, UP_MODEL, DOWN_MODEL = "start-end-excercise-id-model", "concentric-model", "eccentric-model"
 # ----------------------------------------------------------------------------------
 
 RAW = HEADER.split(",")
@@ -76,6 +80,18 @@ _PROVENANCE = [
 
 PRODUCTION = T.StructType(_fields(["time_vector", *SENSOR_CHANNELS], T.DoubleType()) + _PROVENANCE)
 
+SUMMARY = T.StructType(
+    [
+        T.StructField("filename", T.StringType(), True),
+        T.StructField("measure_date", T.TimestampType(), True),
+        T.StructField("excercise", T.StringType(), True),
+        T.StructField("sets", T.LongType(), True),
+        T.StructField("reps", T.DoubleType(), True),
+        *_fields([f"{how}_{span}_time" for how in ("total", "avg") for span in ("concentric", "eccentric", "rest")], T.DoubleType()),
+        *_fields(["count_concentric_times", "count_eccentric_times"], T.LongType()),
+    ]
+)
+
 TRAINING = T.StructType(
     _fields(["time_vector", "relative_time", *SENSOR_CHANNELS], T.DoubleType())
     + _fields(["concentric", "eccentric", "start_end_excercise", "start_end_excercise_id"], T.IntegerType())

@@ -18,7 +18,7 @@ def _col(c: ColumnOrName) -> Column:
 
 def base_name(path: ColumnOrName) -> Column:
     """The part of a path after its last slash."""
-    return F.regexp_extract(_col(path), r"[^/]+$", 0)
+    return F.substring_index(_col(path), "/", -1)
 
 
 def session_stamp(name: ColumnOrName) -> Column:
@@ -66,15 +66,18 @@ def celsius(raw: ColumnOrName) -> Column:
 
 
 def to_world_frame(vector: Sequence[ColumnOrName], quaternion: Sequence[ColumnOrName]) -> list[Column]:
-    """Rotate ``(x, y, z)`` by the unit quaternion ``(w, x, y, z)``.
+    """Rotate ``(x, y, z)`` by the quaternion ``q = (w, x, y, z)``: q v q^-1.
 
-    Uses v + 2w(u x v) + 2u x (u x v), with u the vector part of the quaternion.
+    Uses v + (2w(u x v) + 2u x (u x v)) / |q|^2, with u the vector part. The length of the
+    quaternion makes no difference; null if it is zero.
     """
     v = [_col(c) for c in vector]
     w, *u = [_col(c) for c in quaternion]
     turn = _cross(u, v)
     again = _cross(u, turn)
-    return [v[i] + 2 * w * turn[i] + 2 * again[i] for i in range(3)]
+    square = w * w + u[0] * u[0] + u[1] * u[1] + u[2] * u[2]
+    scale = F.when(square > 0, F.lit(2.0) / square)
+    return [v[i] + scale * (w * turn[i] + again[i]) for i in range(3)]
 
 
 def _cross(a: Sequence[Column], b: Sequence[Column]) -> list[Column]:

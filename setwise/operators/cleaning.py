@@ -44,10 +44,6 @@ def infinite_to_nan(df: DataFrame) -> DataFrame:
     )
 
 
-def zero_to_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.withColumns({name: F.nullif(F.col(name), F.lit(0).cast(df.schema[name].dataType)) for name in names})
-
-
 def clean_samples(df: DataFrame, zero_is_missing: Iterable[str] = ()) -> DataFrame:
     """Keep the rows in which every column has a finite value and none of
     ``zero_is_missing`` is exactly zero.

@@ -12,11 +12,12 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
-from setwise.contract import FEATURES, FOLDS, FOREST_PARAMS, SPLIT_SEED, TRAIN_PERCENT, TREE_PARAMS
+from setwise.contract import (
+    DOWN_LABEL, DOWN_MODEL, FEATURE_COLUMN, FEATURES, FOLDS, FOREST_PARAMS, SCALED_COLUMN, SET_LABEL, SET_MODEL,
+    SPLIT_SEED, TRAIN_PERCENT, TREE_PARAMS, UP_LABEL, UP_MODEL,
+)
 from setwise.operators.relational import confusion_metrics, key_bucket, split_by_key
 
-SET_LABEL, UP_LABEL, DOWN_LABEL = "start_end_excercise_id", "concentric", "eccentric"
-
 _CLASSIFIERS = {"tree": DecisionTreeClassifier, "forest": RandomForestClassifier}
 _PARAMS = {"tree": TREE_PARAMS, "forest": FOREST_PARAMS}
 
@@ -37,12 +38,12 @@ class ModelSpec:
     def pipeline(self, seed: int = SPLIT_SEED) -> Pipeline:
         """Assemble the inputs, standardise them, classify."""
         classifier = _CLASSIFIERS[self.kind](
-            labelCol=self.label, featuresCol="scaledFeatures", seed=seed, **self.settings()
+            labelCol=self.label, featuresCol=SCALED_COLUMN, seed=seed, **self.settings()
         )
         return Pipeline(
             stages=[
-                VectorAssembler(inputCols=list(self.features), outputCol="features"),
-                StandardScaler(inputCol="features", outputCol="scaledFeatures", withMean=True, withStd=True),
+                VectorAssembler(inputCols=list(self.features), outputCol=FEATURE_COLUMN),
+                StandardScaler(inputCol=FEATURE_COLUMN, outputCol=SCALED_COLUMN, withMean=True, withStd=True),
                 classifier,
             ]
         )
@@ -53,9 +54,9 @@ def chained_specs(features: Sequence[str] = FEATURES, tree: Mapping | None = Non
     features = tuple(features)
     chained = (*features, SET_LABEL)
     return (
-        ModelSpec("start-end-excercise-id-model", SET_LABEL, "tree", features, tree),
-        ModelSpec("concentric-model", UP_LABEL, "forest", chained, forest),
-        ModelSpec("eccentric-model", DOWN_LABEL, "forest", chained, forest),
+        ModelSpec(SET_MODEL, SET_LABEL, "tree", features, tree),
+        ModelSpec(UP_MODEL, UP_LABEL, "forest", chained, forest),
+        ModelSpec(DOWN_MODEL, DOWN_LABEL, "forest", chained, forest),
     )
 
 

@@ -9,7 +9,8 @@ returns an axis with a chunk length, and the same primitives work in two steps:
 2. one summary row per (session, chunk), built with map-side aggregation, scanned
    per session and joined back, which carries values over the chunk borders.
 
-Results are the same either way. Session keys and the time column must not be null.
+Results are the same either way. Session keys and the time column must not be null, which
+``fit_axis`` checks at any size.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ CHUNK = "__chunk"
 MAX_ROWS = 2_000_000
 """Rows of one session that a single task may sort and scan."""
 
+FINE_STEPS = 64
+"""Parts of a chunk in which rows are counted to fit its length."""
+
 Reduce = tuple[str, Column]
 """An aggregate that can be applied to its own results: ('max' | 'min', value)."""
 
@@ -81,9 +85,10 @@ def fit_axis(
     """Measure the sessions of ``df`` and choose whether, and how finely, to chunk.
 
     Reads only the key and time columns, aggregates before shuffling and brings one
-    row to the driver per pass. A second pass runs only if some session is too large;
-    it repeats with shorter chunks until the heaviest chunk fits. Rows that share one
-    instant of one session cannot be separated by time and stay together.
+    row to the driver per pass. A second pass runs only if some session is too large:
+    it counts the rows of heavy sessions in fine steps of time, and one more pass checks
+    the chunk length that follows from the fullest step. Rows that share one instant of
+    one session cannot be separated by time and stay together.
     """
     axis = Axis(tuple(keys), time, tuple(ties))
     n = F.count(F.lit(1))
@@ -98,17 +103,19 @@ def fit_axis(
         F.max(F.when(F.col("n") > max_rows, F.col("density"))),
         F.bool_or(unkeyed | F.col("untimed")),
     ).first()
-    if largest is None or largest <= max_rows or not densest:
-        return axis
     if unusable:
         raise ValueError(f"null in {', '.join(keys)} or {time}: such rows cannot be put in order")
-    axis = replace(axis, chunk=max_rows / densest)
-    for _ in range(16):
-        heaviest = axis.split(df).groupBy(*axis.cell).count().agg(F.max("count")).first()[0]
-        if heaviest <= max_rows:
-            break
-        axis = replace(axis, chunk=axis.chunk * max(0.1, 0.9 * max_rows / heaviest))
-    return axis
+    if largest is None or largest <= max_rows or not densest:
+        return axis
+    step = max_rows / densest
+    while True:
+        # Each chunk of ``step`` in fine steps: the fullest one bounds every chunk made of them.
+        fine = replace(axis, chunk=step / FINE_STEPS)
+        parts = fine.split(df).groupBy(*fine.cell).agg(n.alias("n"), F.max(time).alias("until"), F.min(time).alias("since"))
+        fullest, divisible = parts.agg(F.max("n"), F.max(F.when(F.col("n") > max_rows, F.col("until") - F.col("since")))).first()
+        if fullest <= max_rows or not divisible:
+            return replace(axis, chunk=fine.chunk * max(1, min(FINE_STEPS, max_rows // fullest)))
+        step = min(fine.chunk, divisible)
 
 
 def ordered(op):

@@ -62,9 +62,10 @@ def align_hold_last(
     return held.select(*left.columns, *taken)
 
 
-def latest(df: DataFrame, by: str, n: int = 1) -> DataFrame:
-    """The newest ``n`` rows. Each partition keeps its own top ``n`` before the merge."""
-    return df.orderBy(F.col(by).desc()).limit(n)
+def latest(df: DataFrame, by: str, n: int = 1, ties: Sequence[str] = ()) -> DataFrame:
+    """The newest ``n`` rows; among equally new ones those largest in ``ties``. Each
+    partition keeps its own top ``n`` before the merge."""
+    return df.orderBy(*[F.col(c).desc_nulls_last() for c in (by, *ties)]).limit(n)
 
 
 def confusion_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -1,12 +1,15 @@
 """Change records of a table by version, and reads that continue where they stopped.
 
-Layout below the log's path: ``changes/_commit_version=N/`` with the changed rows and
-``commits/`` with one row per finished version. A version counts once its commit row
-is there; a writer that died before is repeated from the start.
+Layout below the log's path: ``staged/N`` with the outcome of a version before it is applied,
+``openings/`` with one row per staged version, ``changes/_commit_version=N/`` with the changed
+rows, and ``commits/`` with one row per finished version. A version counts once its commit row
+is there, which is after the table has it. The log numbers its versions itself; a delivery
+keeps its number when it is repeated.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,8 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from setwise.sources.files import remove
+
 META = ("_change_type", "_commit_version", "_commit_timestamp")
-_COMMITS = T.StructType([T.StructField("version", T.LongType()), T.StructField("committed_at", T.TimestampType())])
+KINDS = ("insert", "update_preimage", "update_postimage", "delete")
+_VERSIONS = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("delivery", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+    ]
+)
 _WATERMARKS = T.StructType(
     [
         T.StructField("readVersion", T.LongType()),
@@ -35,21 +47,61 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A version being written: whether its outcome is stored, and whether it is finished."""
+
+    version: int
+    delivery: str
+    ready: bool = False
+    committed: bool = False
+
+
 @dataclass(frozen=True)
 class ChangeLog:
     spark: SparkSession
     path: str
 
     def commits(self) -> DataFrame:
-        return _read_or_empty(self.spark, f"{self.path}/commits", _COMMITS)
+        return _read_or_empty(self.spark, f"{self.path}/commits", _VERSIONS)
+
+    def openings(self) -> DataFrame:
+        return _read_or_empty(self.spark, f"{self.path}/openings", _VERSIONS)
 
     def latest(self) -> int | None:
         return self.commits().agg(F.max("version")).first()[0]
 
-    def has(self, version: int) -> bool:
-        return not self.commits().where(F.col("version") == version).isEmpty()
+    def pending(self) -> bool:
+        """Whether a version is staged and not finished."""
+        return not self.openings().join(self.commits(), "version", "left_anti").isEmpty()
+
+    def begin(self, delivery: object = None) -> Staged:
+        """The version of a delivery: its own if it was here before, else the next one."""
+        name = uuid.uuid4().hex if delivery is None else str(delivery)
+        done = self.commits().where(F.col("delivery") == name).first()
+        if done is not None:
+            return Staged(done["version"], name, ready=True, committed=True)
+        opened = self.openings()
+        own = opened.where(F.col("delivery") == name).first()
+        if own is not None:
+            return Staged(own["version"], name, ready=True)
+        last = opened.agg(F.max("version")).first()[0]
+        return Staged(0 if last is None else last + 1, name)
+
+    def stage(self, staged: Staged, outcome: DataFrame) -> DataFrame:
+        """Store the outcome of a version; from then on it is not computed again."""
+        outcome.write.mode("overwrite").parquet(self._stage_path(staged))
+        self._note("openings", staged)
+        return self.staged(staged)
+
+    def staged(self, staged: Staged) -> DataFrame:
+        return self.spark.read.parquet(self._stage_path(staged))
+
+    def _stage_path(self, staged: Staged) -> str:
+        return f"{self.path}/staged/{staged.version}"
 
     def write(self, changes: DataFrame, version: int) -> None:
+        """Store the changes of a version; they do not count before ``commit``."""
         (
             changes.withColumns({"_commit_version": F.lit(version).cast("long"), "_commit_timestamp": F.now()})
             .write.mode("overwrite")
@@ -57,8 +109,16 @@ class ChangeLog:
             .partitionBy("_commit_version")
             .parquet(f"{self.path}/changes")
         )
-        commit = self.spark.range(1).select(F.lit(version).cast("long").alias("version"), F.now().alias("committed_at"))
-        commit.write.mode("append").parquet(f"{self.path}/commits")
+
+    def commit(self, staged: Staged) -> None:
+        self._note("commits", staged)
+        remove(self.spark, self._stage_path(staged))
+
+    def _note(self, what: str, staged: Staged) -> None:
+        row = self.spark.range(1).select(
+            F.lit(staged.version).cast("long").alias("version"), F.lit(staged.delivery).alias("delivery"), F.now().alias("at")
+        )
+        row.write.mode("append").parquet(f"{self.path}/{what}")
 
     def read(
         self,
@@ -68,11 +128,12 @@ class ChangeLog:
         kinds: Sequence[str] = ("insert",),
         keep_meta: bool = False,
     ) -> DataFrame:
-        """Changed rows of the versions in the (inclusive) range; the version is a
+        """Changed rows of the committed versions in the (inclusive) range; the version is a
         partition column, so only its folders are read."""
         if from_version is None:
             raise ValueError("from_version is needed")
-        to_version = self.latest() if to_version is None else to_version
+        latest = self.latest()
+        to_version = latest if to_version is None else min(to_version, -1 if latest is None else latest)
         if to_version is None or to_version < from_version:
             rows = self.spark.createDataFrame([], _with_meta(schema))
         else:
@@ -82,6 +143,13 @@ class ChangeLog:
         rows = rows.where(F.col("_change_type").isin(*kinds))
         return rows if keep_meta else rows.drop(*META)
 
+    def snapshot(self, schema: T.StructType, version: int) -> DataFrame:
+        """The table as of a committed version, from its changes alone. The log must have
+        the table from its first row on."""
+        added = self.read(schema, 0, version, ("insert", "update_postimage"))
+        taken = self.read(schema, 0, version, ("update_preimage", "delete"))
+        return added.exceptAll(taken)
+
 
 def _with_meta(schema: T.StructType) -> T.StructType:
     return T.StructType(
@@ -133,15 +201,16 @@ class NewRows:
     watermark: str
 
     def commit(self, n_rows: int | None = None) -> None:
-        if self.version is None:
-            return
-        spark = self.frame.sparkSession
-        row = spark.range(1).select(
-            F.lit(self.version).cast("long").alias("readVersion"),
-            F.lit(n_rows).cast("long").alias("n_rows"),
-            F.now().alias("read_at"),
-        )
-        row.write.mode("append").parquet(self.watermark)
+        if self.version is not None:
+            commit_read(self.frame.sparkSession, self.watermark, self.version, n_rows)
+
+
+def commit_read(spark: SparkSession, watermark: str, version: int, n_rows: int | None = None) -> None:
+    """Remember that everything up to ``version`` was used."""
+    row = spark.range(1).select(
+        F.lit(version).cast("long").alias("readVersion"), F.lit(n_rows).cast("long").alias("n_rows"), F.now().alias("read_at")
+    )
+    row.write.mode("append").parquet(watermark)
 
 
 def last_read(spark: SparkSession, watermark: str) -> int | None:
@@ -151,12 +220,19 @@ def last_read(spark: SparkSession, watermark: str) -> int | None:
 def read_incrementally(table: DataFrame, log: ChangeLog, watermark: str) -> NewRows:
     """The whole table on the first run, later the rows inserted since the last commit.
 
-    The watermark moves only by ``commit``, so a run that fails is read again.
+    Only committed versions are read. If a version is being written, or was broken off, the
+    table may already have its rows; the first run then takes the table of the last committed
+    version from the log. The watermark moves only by ``commit``, so a run that fails is read
+    again.
     """
     spark = log.spark
     current, last = log.latest(), last_read(spark, watermark)
     if last is None:
-        return NewRows(table, current, watermark)
+        if not log.pending():
+            return NewRows(table, current, watermark)
+        if current is None:
+            return NewRows(spark.createDataFrame([], table.schema), None, watermark)
+        return NewRows(log.snapshot(table.schema, current).select(*table.columns), current, watermark)
     if current is None or current <= last:
         return NewRows(spark.createDataFrame([], table.schema), None, watermark)
     return NewRows(log.read(table.schema, last + 1, current).select(*table.columns), current, watermark)

@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 
 from setwise.contract import GOLD_ROWS_PER_FILE
 from setwise.sources.change_log import ChangeLog
+from setwise.sources.files import exists, partition_folder, remove
 
 PRUNED_KEYS = 10_000
 """Up to this many partition values are listed in the plan to prune the scan."""
 
-_NOT_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-_FIRST = {"string": 0, "timestamp": 1, "double": 2, "float": 3}
+_DYNAMIC = "partitionOverwriteMode=dynamic"
 
 
 def is_path(target: str) -> bool:
@@ -28,46 +28,33 @@ def is_path(target: str) -> bool:
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:
-    if not is_path(target):
-        return spark.catalog.tableExists(target)
-    try:
-        spark.read.parquet(target)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() in _NOT_THERE:
-            return False
-        raise
+    return exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
 
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     """Scan a target. With a ``schema``, one that does not exist yet reads as empty."""
-    if schema is not None and not table_exists(spark, target):
-        return empty(spark, schema)
     if not is_path(target):
+        if schema is not None and not table_exists(spark, target):
+            return empty(spark, schema)
         return spark.table(target)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(target)
+    try:
+        return reader.parquet(target)
+    except AnalysisException as error:
+        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty(spark, schema)
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def target_schema(spark: SparkSession, target: str, source: DataFrame) -> T.StructType:
-    """The schema of an existing target, else the one the source would give it."""
-    return read_table(spark, target).schema if table_exists(spark, target) else source.schema
-
-
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
-def column_order(schema: T.StructType) -> T.StructType:
-    """Text, timestamps, doubles, floats, the rest; by name within each."""
-    return T.StructType(sorted(schema.fields, key=lambda f: (_FIRST.get(f.dataType.typeName(), 4), f.name)))
-
-
 def column_ddl(schema: T.StructType) -> str:
     """Column list for a CREATE TABLE. All columns are nullable."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -80,34 +67,45 @@ def create_table(
     partition_on: Sequence[str] = (),
     location: str | None = None,
     properties: dict[str, str] | None = None,
+    max_rows_per_file: int = 0,
 ) -> None:
-    """Create a parquet table if it is absent."""
-    statement = [f"CREATE TABLE IF NOT EXISTS {name} ({column_ddl(column_order(schema))}) USING parquet"]
+    """Create a parquet table if it is absent, with the columns in the given order.
+
+    The table itself says that an overwrite replaces only the partitions it has rows for,
+    and how many rows a file may have, so no writer changes settings of the session.
+    """
+    options = {"partitionOverwriteMode": "dynamic", "maxRecordsPerFile": str(max_rows_per_file)}
+    pairs = lambda items: ", ".join(f"{k!r} = {v!r}" for k, v in items.items())
+    statement = [f"CREATE TABLE IF NOT EXISTS {name} ({column_ddl(schema)}) USING parquet OPTIONS ({pairs(options)})"]
     if partition_on:
         statement.append(f"PARTITIONED BY ({', '.join(partition_on)})")
     if location:
         statement.append(f"LOCATION '{location}'")
     if properties:
-        statement.append(f"TBLPROPERTIES ({', '.join(f'{k!r} = {v!r}' for k, v in properties.items())})")
+        statement.append(f"TBLPROPERTIES ({pairs(properties)})")
     spark.sql(" ".join(statement))
 
 
+def _require_dynamic(spark: SparkSession, name: str) -> None:
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Storage Properties'").first()
+    if told is None or _DYNAMIC not in told["data_type"]:
+        raise ValueError(f"{name} would lose its other partitions; make it with create_table")
+
+
 def overwrite_partitions(df: DataFrame, target: str, partition: str, max_rows_per_file: int = 0) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
     Rows are gathered by partition value before the write; adaptive execution cuts a
-    value with too many rows into several tasks and packs small ones together.
+    value with too many rows into several tasks and packs small ones together. A table
+    that is not there is created.
     """
+    spark = df.sparkSession
     spread = df.hint("rebalance", partition)
     if not is_path(target):
-        columns = df.sparkSession.table(target).columns
-        spark = df.sparkSession
-        mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            spread.select(*columns).write.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        if not table_exists(spark, target):
+            create_table(spark, target, df.schema, [partition], max_rows_per_file=max_rows_per_file)
+        _require_dynamic(spark, target)
+        spread.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
         return
     (
         spread.write.mode("overwrite")
@@ -118,6 +116,30 @@ def overwrite_partitions(df: DataFrame, target: str, partition: str, max_rows_pe
     )
 
 
+def drop_partitions(spark: SparkSession, target: str, partition: str, values: Sequence[str | None]) -> None:
+    """Remove the rows of these partition values, given as text."""
+    for value in values:
+        if is_path(target):
+            remove(spark, partition_folder(spark, target, partition, value))
+        elif value is None:
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({partition} = null)")
+        else:
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({partition} = :value)", args={"value": value})
+
+
+def replace_partitions(
+    df: DataFrame, target: str, partition: str, touched: DataFrame, max_rows_per_file: int = 0
+) -> None:
+    """Make ``df`` all there is of the partition values in ``touched`` (one column)."""
+    spark = df.sparkSession
+    overwrite_partitions(df, target, partition, max_rows_per_file)
+    if not table_exists(spark, target):  # nothing was written, and there was nothing
+        return
+    filled = df.select(F.col(partition).alias("__filled")).distinct()
+    gone = touched.select(partition).distinct().join(filled, F.col(partition).eqNullSafe(F.col("__filled")), "left_anti")
+    drop_partitions(spark, target, partition, [r[0] for r in gone.select(F.col(partition).cast("string")).toLocalIterator()])
+
+
 def append_table(
     df: DataFrame, target: str, partition_on: Sequence[str] = (), max_rows_per_file: int = GOLD_ROWS_PER_FILE
 ) -> None:
@@ -129,45 +151,87 @@ def append_table(
     writer.partitionBy(*partition_on).parquet(target)
 
 
+def listed_values(values: DataFrame, partition: str) -> list[str | None] | None:
+    """The partition values as text, or None if there are more than ``PRUNED_KEYS``."""
+    found = values.select(F.col(partition).cast("string")).distinct().limit(PRUNED_KEYS + 1).collect()
+    return None if len(found) > PRUNED_KEYS else [row[0] for row in found]
+
+
 def touched_rows(table: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
-    """The rows of ``table`` in partitions that occur in ``updates``.
+    """The rows of ``table`` in partitions that occur in ``updates``, null among them.
 
     A short list of values prunes the scan; a long one becomes a semi-join.
     """
-    values = updates.select(partition).distinct()
-    listed = [row[0] for row in values.limit(PRUNED_KEYS + 1).collect()]
-    if len(listed) > PRUNED_KEYS:
-        return table.join(values, partition, "left_semi")
-    found = F.col(partition).isin([v for v in listed if v is not None])
+    listed = listed_values(updates, partition)
+    if listed is None:
+        values = updates.select(F.col(partition).alias("__touched")).distinct()
+        return table.join(values, F.col(partition).eqNullSafe(F.col("__touched")), "left_semi")
+    kind = table.schema[partition].dataType
+    found = F.col(partition).isin([F.lit(v).cast(kind) for v in listed if v is not None])
     return table.where(found | F.col(partition).isNull() if None in listed else found)
 
 
-def match_keys(old: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Old rows and updates together, each told whether its key is old and whether it
-    is updated. One shuffle by the full key, so no session is too heavy; null keys match."""
-    same_key = Window.partitionBy(*keys)
-    both = old.withColumn("__new", F.lit(False)).unionByName(updates.select(*old.columns).withColumn("__new", F.lit(True)))
-    return both.withColumns(
-        {"__was_there": F.bool_or(~F.col("__new")).over(same_key), "__updated": F.bool_or("__new").over(same_key)}
-    )
+def read_touched(spark: SparkSession, target: str, updates: DataFrame, partition: str, schema: T.StructType) -> DataFrame:
+    """The same from a target. A path is not listed as a whole: only the folders of the
+    values are looked at, unless there are very many."""
+    listed = listed_values(updates, partition) if is_path(target) else None
+    if listed is None:
+        return touched_rows(read_table(spark, target, schema), updates, partition)
+    folders = [partition_folder(spark, target, partition, value) for value in listed]
+    there = [folder for folder in folders if exists(spark, folder)]
+    if not there:
+        return empty(spark, schema)
+    return spark.read.schema(schema).option("basePath", target).parquet(*there)
 
 
-_MARKS = ("__new", "__was_there", "__updated")
+_MARKS = ("__new", "__was_there", "__updated", "__changed")
+
+
+def match_keys(old: DataFrame, updates: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
+    """Old rows and updates together, each told whether its key is old, whether it is
+    updated, and whether that changes the row. One shuffle by the full key, so no session
+    is too heavy; null keys match.
+
+    Updates that are equal count once. Different updates of one key are an error, unless
+    ``latest_by`` names a column whose largest value decides.
+    """
+    columns = old.columns
+    same_key = Window.partitionBy(*keys)
+    updates = updates.dropDuplicates()
+    if latest_by is not None:
+        newest = F.row_number().over(same_key.orderBy(F.col(latest_by).desc_nulls_last(), *columns))
+        updates = updates.withColumn("__nth", newest).where("__nth = 1").drop("__nth")
+    both = old.withColumn("__new", F.lit(False)).unionByName(updates.select(*columns).withColumn("__new", F.lit(True)))
+    row = F.struct(*columns)
+    before, after = F.max(F.when(~F.col("__new"), row)).over(same_key), F.max(F.when(F.col("__new"), row)).over(same_key)
+    marked = both.withColumns(
+        {
+            "__was_there": F.bool_or(~F.col("__new")).over(same_key),
+            "__updated": F.bool_or("__new").over(same_key),
+            "__changed": ~before.eqNullSafe(after),
+            "__times": F.count_if("__new").over(same_key),
+        }
+    )
+    error = F.raise_error(F.lit(f"an update has different rows for one key of {', '.join(keys)}"))
+    return marked.where(F.when(F.col("__times") > 1, error.cast("boolean")).otherwise(F.lit(True))).drop("__times")
 
 
-def merged_rows(matched: DataFrame) -> DataFrame:
-    """All updates and the old rows without one."""
-    return matched.where("__new OR NOT __updated").drop(*_MARKS)
+def merged_rows(matched: DataFrame, replace: bool = False) -> DataFrame:
+    """All updates and, unless they replace everything, the old rows without one."""
+    return matched.where("__new" if replace else "__new OR NOT __updated").drop(*_MARKS)
 
 
-def upsert_changes(matched: DataFrame) -> DataFrame:
-    """What the upsert does: inserts, and the rows before and after updates."""
+def upsert_changes(matched: DataFrame, replace: bool = False) -> DataFrame:
+    """What the upsert does: inserts, the rows before and after updates that change
+    something, and the old rows that a replacement leaves out."""
     kind = (
-        F.when(~F.col("__new"), "update_preimage")
+        F.when(~F.col("__updated"), "delete")
+        .when(~F.col("__new"), "update_preimage")
         .when(F.col("__was_there"), "update_postimage")
         .otherwise("insert")
     )
-    return matched.where("__updated").withColumn("_change_type", kind).drop(*_MARKS)
+    rows = matched.where("__changed" if replace else "__updated AND __changed")
+    return rows.withColumn("_change_type", kind).drop(*_MARKS)
 
 
 def upsert(
@@ -178,29 +242,69 @@ def upsert(
     partition: str,
     schema: T.StructType | None = None,
     log: ChangeLog | None = None,
-    version: int | None = None,
-) -> None:
+    delivery: object = None,
+    replace: DataFrame | None = None,
+    latest_by: str | None = None,
+) -> int | None:
     """Update rows with a known key, insert the others; touches only their partitions.
 
-    Safe to repeat: the same updates give the same table. With a ``log``, the changes
-    of ``version`` are recorded before the table changes; if they are already there
-    (a repeated delivery), only the table is written again. ``updates`` is read more
-    than once, so pass a cached or stored frame.
+    With ``replace``, a frame of partition values, the updates are all there is of these:
+    old rows without an update go.
+
+    With a ``log`` the outcome is staged before anything changes, then the changes and the
+    table are written from there, and the version is committed last. A ``delivery`` (a name
+    that is not used twice) that comes again is finished from what it staged, and one that
+    is committed does nothing; so a source that has grown meanwhile makes no difference.
+    Returns the version.
     """
-    table = read_table(spark, target, schema)
-    matched = match_keys(touched_rows(table, updates, partition), updates, keys)
-    logged = log is None or log.has(version)
-    if not logged:
+    staged = log.begin(delivery) if log is not None else None
+    if staged is not None and staged.committed:
+        return staged.version
+    whole = replace is not None
+    matched = None
+    if staged is None or not staged.ready:
+        schema = updates.schema if schema is None else schema
+        touched = updates.select(partition)
+        touched = touched if replace is None else touched.union(replace.select(partition))
+        old = read_touched(spark, target, touched.distinct(), partition, schema)
+        matched = match_keys(old, updates, keys, latest_by)
+    if staged is not None:
+        matched = log.stage(staged, matched) if matched is not None else log.staged(staged)
+        log.write(upsert_changes(matched, whole), staged.version)
+    else:
         matched = matched.persist(StorageLevel.DISK_ONLY)
     try:
-        if not logged:
-            log.write(upsert_changes(matched), version)
-        overwrite_partitions(merged_rows(matched), target, partition)
+        rows = merged_rows(matched, whole)
+        if whole:
+            replace_partitions(rows, target, partition, matched.select(partition))
+        else:
+            overwrite_partitions(rows, target, partition)
     finally:
         matched.unpersist()
+    if staged is None:
+        return None
+    log.commit(staged)
+    return staged.version
 
 
-def write_report(summary: DataFrame, path: str) -> None:
-    """The summary as JSON lines, one session each."""
-    summary.write.mode("overwrite").json(path)
+def write_report(summary: DataFrame, path: str, session: str = "filename") -> None:
+    """The summary as JSON lines, a folder for each session. A session that is summed up
+    again replaces what was there. Columns without a value are written too."""
+    (
+        summary.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("ignoreNullFields", False)
+        .partitionBy(session)
+        .json(path)
+    )
+
 
+def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A report with all its columns, whether any row has a value for them or not."""
+    try:
+        rows = spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty(spark, schema)
+    return rows.select(*schema.names)

@@ -15,14 +15,15 @@ from setwise.operators.cleaning import clean_samples, resample_where, route, sel
 from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
 from setwise.operators.signals import label_session
 from setwise.sources.change_log import ChangeLog
-from setwise.sources.tables import is_path, read_table, touched_rows, upsert
+from setwise.sources.tables import is_path, read_touched, upsert
 
 KEYS = ("filename", "time_vector")
 
 
 def prepare_samples(bronze: DataFrame, condition: Column | None = None, device: str = C.SUPPORTED_DEVICE) -> DataFrame:
-    """Valid samples of supported devices under their table names, with provenance."""
-    rows = select_renamed(bronze.where(F.col("filename").contains(device)), C.RENAMES)
+    """Valid samples of supported devices under their table names, with provenance. A
+    recording that was delivered twice counts once."""
+    rows = select_renamed(bronze.where(F.col("filename").contains(device)), C.RENAMES).dropDuplicates()
     rows = clean_samples(resample_where(rows, condition), C.RAW_AXES)
     rows = rows.withColumn("filename", base_name("filename"))
     start = session_start("filename")
@@ -48,8 +49,10 @@ class SilverJob:
     session. Tables are paths, or names of tables that were created before.
 
     A session is always labelled as a whole: the batch only says which sessions have
-    new rows, and these are read again in full. A batch that is delivered twice gives
-    the same tables. ``legacy`` keeps the old run ids that may merge runs.
+    new rows, and these are read again in full, from their folders only. They replace what
+    either table has of them, so a session that moves from one table to the other leaves
+    nothing behind. A batch that is delivered twice gives the same tables. ``legacy`` keeps
+    the old run ids that may merge runs.
     """
 
     spark: SparkSession
@@ -85,8 +88,11 @@ class SilverJob:
 
     def update(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bronze = read_table(spark, self.bronze, C.BRONZE)
-        sessions = touched_rows(bronze, batch, "filename")
+        touched = batch.select("filename").distinct()
+        sessions = read_touched(spark, self.bronze, touched, "filename", C.BRONZE)
+        names = touched.select(base_name("filename").alias("filename"))
+        # Batch numbers start again when a stream's checkpoint is reset; its id does not.
+        delivery = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}/{batch_id}"
         samples = prepare_samples(sessions, self.condition)
         axis = session_axis(sessions, self.max_rows)
         labelled = label_session(samples, axis, self.legacy).persist(StorageLevel.DISK_ONLY)
@@ -96,6 +102,6 @@ class SilverJob:
                 (training, self.training, C.TRAINING, self.training_log()),
                 (production, self.production, C.PRODUCTION, self.production_log()),
             ):
-                upsert(spark, target, rows, KEYS, "filename", schema, log, batch_id)
+                upsert(spark, target, rows, KEYS, "filename", schema, log, delivery, replace=names)
         finally:
             labelled.unpersist()
