@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +14,12 @@ from setwise import contract as C
 from setwise.functions import scalars as S
 from setwise.operators import cleaning, models, phases, relational, signals
 from setwise.operators.ordered import rolling_max, row_numbers
+from setwise.plans.training import train
 from setwise.plans.views import event_rows, load, sessions
 from setwise.session import cut, work_dir
 from setwise.sources import tables
 from setwise.sources.change_log import ChangeLog, diff_changes, read_incrementally
+from setwise.sources.run_store import RunStore
 from setwise.sources.session_files import rescue_cells
 from setwise.streaming.ingest import ingest
 from setwise.streaming.silver import SilverJob
@@ -141,10 +144,6 @@ def phase_labels_legacy(spark, sf):
 
 # --- smoothing, phases, summaries ---------------------------------------------------
 
-SMOOTH = 2
-"""Events are hours apart; a few rows to each side stand for half a second."""
-
-
 def predicted_class() -> Column:
     return F.when(F.col("event_type") == "purchase", 7).when(F.col("event_type") == "view", 5).otherwise(0)
 
@@ -209,7 +208,7 @@ def _marked(spark, sf, chunked=False, legacy=False):
     if chunked:  # several scans follow; read the labels back instead of repeating them
         df = cut(df)
     rule = "legacy" if legacy else "both_zero"
-    return phases.mark_phases(df, axis, rest_rule=rule, legacy=legacy, before=SMOOTH, after=SMOOTH), axis
+    return phases.mark_phases(df, axis, rest_rule=rule, legacy=legacy, ), axis
 
 
 def _phases(spark, sf, chunked=False, legacy=False):
@@ -252,9 +251,9 @@ def session_summary_chunked(spark, sf):
 
 @query
 def json_report(spark, sf):
-    path = work_dir(spark, "report")
-    tables.write_report(session_summary(spark, sf), path)
-    return spark.read.json(path)
+    path, summary = work_dir(spark, "report"), session_summary(spark, sf)
+    tables.write_report(summary, path)
+    return tables.read_report(spark, path, summary.schema)
 
 
 @query
@@ -394,10 +393,14 @@ def temperature_c(spark, sf):
 
 @query
 def world_frame(spark, sf):
-    cells = [F.col("embedding")[i].cast("double") for i in range(7)]
+    """The 64 numbers of an embedding as nine poses, a vector and a quaternion each; the last
+    number is left over."""
+    starts = F.explode(F.sequence(F.lit(0), F.lit(56), F.lit(7)))
+    rows = load(spark, sf, "embeddings").select("vec_id", "embedding", starts.alias("start"))
+    cells = [F.get("embedding", F.col("start") + i).cast("double") for i in range(7)]
     x, y, z = S.to_world_frame(cells[:3], cells[3:])
-    return load(spark, sf, "embeddings").select(
-        "vec_id", *[F.round(c, 6).alias(n) for c, n in ((x, "wx"), (y, "wy"), (z, "wz"))]
+    return rows.select(
+        "vec_id", "start", *[F.round(c, 6).alias(n) for c, n in ((x, "wx"), (y, "wy"), (z, "wz"))]
     )
 
 
@@ -451,7 +454,7 @@ def asof_hold_last_chunked(spark, sf):
 
 @query
 def top1_latest(spark, sf):
-    return relational.latest(load(spark, sf, "events"), "ts").select("event_id", "user_id")
+    return relational.latest(load(spark, sf, "events"), "ts", ties=["event_id"]).select("event_id", "user_id")
 
 
 @query
@@ -508,6 +511,31 @@ def upsert(spark, sf):
     return tables.read_table(spark, target)
 
 
+@query
+def upsert_null_partition(spark, sf):
+    """Orders without a priority are a partition too, whether the touched partitions are
+    few enough to be listed or not."""
+    known, delivery = _order_versions(spark, sf)
+    unknown = F.when(F.col(ORDER_PART) != "5-LOW", F.col(ORDER_PART))
+    out = []
+    for most in (tables.PRUNED_KEYS, 1):
+        target = work_dir(spark, "orders")
+        for updates in (known, delivery.where("o_orderkey % 2 = 0")):
+            updates = updates.withColumn(ORDER_PART, unknown)
+            tables.upsert(spark, target, updates, ORDER_KEYS, ORDER_PART, max_listed=most)
+        out.append(tables.read_table(spark, target).withColumn("listed", F.lit(most > 1)))
+    return out[0].unionByName(out[1])
+
+
+@query
+def upsert_duplicates(spark, sf):
+    """Every order is delivered twice."""
+    target = work_dir(spark, "orders")
+    for updates in _order_versions(spark, sf):
+        tables.upsert(spark, target, updates.union(updates), ORDER_KEYS, ORDER_PART)
+    return tables.read_table(spark, target)
+
+
 @query
 def upsert_by_name(spark, sf):
     """The same through a catalog table."""
@@ -550,6 +578,72 @@ def incremental_read(spark, sf):
     return tables.read_table(spark, seen)
 
 
+class _Crash(Exception):
+    pass
+
+
+class _DiesBeforeCommit(ChangeLog):
+    def commit(self, staged):
+        raise _Crash
+
+
+class _DiesBeforeTable(ChangeLog):
+    def write(self, changes, version):
+        raise _Crash
+
+
+def _broken_off(spark, target, updates, log):
+    try:
+        tables.upsert(spark, target, updates, ORDER_KEYS, ORDER_PART, log=log, delivery="second")
+    except _Crash:
+        return
+    raise AssertionError("the writer should have died")
+
+
+@query
+def incremental_read_after_crash(spark, sf):
+    """A writer dies with the table written and the version not committed; the reader runs
+    for the first time then, and again after the writer's retry."""
+    path, (target, seen, watermark) = work_dir(spark, "log"), (work_dir(spark, n) for n in ("orders", "seen", "watermark"))
+    log, (known, delivery) = ChangeLog(spark, path), _order_versions(spark, sf)
+    tables.upsert(spark, target, known, ORDER_KEYS, ORDER_PART, log=log, delivery="first")
+    _broken_off(spark, target, delivery, _DiesBeforeCommit(spark, path))
+    for retry in (True, False):
+        new = read_incrementally(tables.read_table(spark, target), log, watermark)
+        tables.append_table(new.frame.withColumn("read_version", F.lit(new.version).cast("long")), seen)
+        new.commit()
+        if retry:
+            tables.upsert(spark, target, delivery, ORDER_KEYS, ORDER_PART, log=log, delivery="second")
+    return tables.read_table(spark, seen)
+
+
+@query
+def feed_after_retry(spark, sf):
+    """A writer dies after staging; before its retry the source has grown. The feed has
+    every order once, in the version that brought it to the table."""
+    path, target = work_dir(spark, "log"), work_dir(spark, "orders")
+    log, (known, delivery) = ChangeLog(spark, path), _order_versions(spark, sf)
+    tables.upsert(spark, target, known, ORDER_KEYS, ORDER_PART, log=log, delivery="first")
+    _broken_off(spark, target, delivery.where("o_orderdate < '1997-01-01'"), _DiesBeforeTable(spark, path))
+    tables.upsert(spark, target, delivery, ORDER_KEYS, ORDER_PART, log=log, delivery="second")
+    tables.upsert(spark, target, delivery, ORDER_KEYS, ORDER_PART, log=log, delivery="third")
+    return log.read(known.schema, 0, keep_meta=True).select("o_orderkey", "_commit_version")
+
+
+@query
+def file_sizes(spark, sf):
+    """The largest file of a table that is overwritten with a cap of 300 rows a file."""
+    tables.create_database(spark, "setwise_check", work_dir(spark, "warehouse"))
+    name = f"setwise_check.events_{work_dir(spark, 'n').rsplit('-', 1)[1]}"
+    rows = load(spark, sf, "events").select("event_id", "event_type")
+    out = []
+    for kind, target in (("catalog", name), ("path", work_dir(spark, "events"))):
+        tables.overwrite_partitions(rows, target, "event_type", 300)
+        files = tables.read_table(spark, target).groupBy(F.col("_metadata.file_path")).count()
+        out.append(files.agg(F.lit(kind).alias("target"), (F.max("count") <= 300).alias("capped"), F.sum("count").alias("n")))
+    return out[0].unionByName(out[1])
+
+
 @query
 def capped_append(spark, sf):
     path = work_dir(spark, "gold")
@@ -560,15 +654,18 @@ def capped_append(spark, sf):
 # --- streams ------------------------------------------------------------------------
 
 
-def _recordings(spark, sf) -> str:
-    """Every user's history as a session file in the recorder's format."""
+def _recordings(spark, sf, landing=None, part=None) -> str:
+    """Every user's history as session files in the recorder's format. ``part`` picks the
+    rows of one delivery. Files hold a bounded number of rows, so no user is too much for a
+    task."""
     df, _ = sessions(spark, sf)
+    df = df if part is None else df.join(part, ["filename", "event_id"], "left_semi")
     name = F.concat(F.lit("20240115-101112_000123_MPU6500_"), F.col("filename").cast("string"), F.lit(".csv"))
     buttons = {"button1": "trough", "button2": "peak", "button3": "start_end_excercise"}
     cells = [F.col(buttons.get(c, "value")).alias(c) for c in C.RAW if c != "timevector"]
-    landing = work_dir(spark, "landing")
+    landing = landing or work_dir(spark, "landing")
     rows = df.select(F.col("time_vector").alias("timevector"), *cells, name.alias("session"))
-    rows.repartition("session").write.partitionBy("session").option("header", True).csv(landing)
+    rows.hint("rebalance", "session").write.mode("append").partitionBy("session").option("header", True).csv(landing)
     return landing
 
 
@@ -588,11 +685,7 @@ def stream_ingest(spark, sf):
     return bronze.select("filename", "timevector", "ax1", "temp2", "button1", "button2", "button3", "_rescued_data")
 
 
-@query
-def stream_silver(spark, sf):
-    training, production, state = (work_dir(spark, n) for n in ("training", "production", "state"))
-    job = SilverJob(spark, _ingested(spark, sf), training, production, state)
-    job.run()
+def _silver_rows(spark, training, production):
     rows = tables.read_table(spark, training, C.TRAINING).withColumn("route", F.lit("training"))
     rest = tables.read_table(spark, production, C.PRODUCTION).withColumn("route", F.lit("production"))
     both = rows.unionByName(rest, allowMissingColumns=True)
@@ -602,6 +695,31 @@ def stream_silver(spark, sf):
     )
 
 
+@query
+def stream_silver(spark, sf):
+    training, production, state = (work_dir(spark, n) for n in ("training", "production", "state"))
+    SilverJob(spark, _ingested(spark, sf), training, production, state).run()
+    return _silver_rows(spark, training, production)
+
+
+@query
+def stream_silver_split(spark, sf):
+    """Each history comes in two deliveries, the first up to the first event with a button,
+    so that many sessions go to production first and to training when the rest is there."""
+    landing, bronze, state = (work_dir(spark, n) for n in ("landing", "bronze", "state"))
+    training, production, silver = (work_dir(spark, n) for n in ("training", "production", "silver"))
+    pressed = F.col("trough") + F.col("peak") + F.col("start_end_excercise") > 0
+    presses = F.sum(pressed.cast("int")).over(Window.partitionBy("filename").orderBy("time_us", "event_id"))
+    folder = F.regexp_extract(F.col("_metadata.file_path"), SESSION_FOLDER, 1)
+    for first in (True, False):
+        df, _ = sessions(spark, sf)
+        part = df.withColumn("__presses", presses).where((F.col("__presses") == 0) == first)
+        _recordings(spark, sf, landing, part.select("filename", "event_id"))
+        ingest(spark, landing, bronze, state, name=folder)
+        SilverJob(spark, bronze, training, production, silver).run()
+    return _silver_rows(spark, training, production)
+
+
 @query
 def rescued_cells(spark, sf):
     """Events as text, with a type that only some of the cells fit."""
@@ -623,12 +741,38 @@ def rescued_cells(spark, sf):
 
 # --- models -------------------------------------------------------------------------
 
-MODEL_INPUTS = ("time_vector", "value", "trough", "peak")
+MODEL_INPUTS = ("kind", "twin", "value")
+KINDS = {"click": 0, "error": 10, "purchase": 20, "signup": 30, "view": 40}
 
 
 def _training_rows(spark, sf):
-    rows = signals.label_session(*sessions(spark, sf))
-    return rows.select(*ID, *MODEL_INPUTS, *signals.LABELS).persist(StorageLevel.DISK_ONLY)
+    """Events whose labels are exact rules of their kind, which two inputs tell clearly; so
+    the rules say what a model has to predict, for known and for new sessions."""
+    number = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(float(n))) for k, n in KINDS.items()])
+    rows = event_rows(spark, sf).withColumns(
+        {
+            "kind": number,
+            "twin": -number + F.pmod("event_id", F.lit(3)),
+            models.SET_LABEL: predicted_class(),
+            models.UP_LABEL: F.col("event_type").isin("click", "purchase").cast("int"),
+            models.DOWN_LABEL: F.col("event_type").isin("error", "view").cast("int"),
+        }
+    )
+    return rows.select(*ID, *MODEL_INPUTS, models.SET_LABEL, models.UP_LABEL, models.DOWN_LABEL)
+
+
+@query
+def scaled_features(spark, sf):
+    rows = _training_rows(spark, sf)
+    scaled = models.fit(models.chained_specs(MODEL_INPUTS)[0], rows).transform(rows)
+    cells = vector_to_array(C.SCALED_COLUMN)
+    return scaled.select(*ID, *[F.round(cells[i], 6).alias(f"scaled_{c}") for i, c in enumerate(MODEL_INPUTS)])
+
+
+@query
+def fold_ids(spark, sf):
+    folds = relational.key_bucket("filename", C.SPLIT_SEED + 1, C.FOLDS)
+    return event_rows(spark, sf).select("filename", folds.alias("fold")).distinct()
 
 
 @query
@@ -656,5 +800,25 @@ def cv_by_group(spark, sf):
 def chained_scores(spark, sf):
     rows = _training_rows(spark, sf)
     fitted = [models.fit(spec, rows) for spec in models.chained_specs(MODEL_INPUTS)]
-    unlabelled = rows.drop(*signals.LABELS)
+    unlabelled = rows.drop(models.SET_LABEL, models.UP_LABEL, models.DOWN_LABEL)
     return models.score_chained(unlabelled, *fitted).select(*ID, models.SET_LABEL, models.UP_LABEL, models.DOWN_LABEL)
+
+
+@query
+def train_run(spark, sf):
+    """Train and store all three models; load them again and measure them on all rows."""
+    store, rows = RunStore(spark, work_dir(spark, "models")), _training_rows(spark, sf)
+    train(rows, store, MODEL_INPUTS)
+    run = store.latest(C.RUN_NAME, models=3)
+    loaded = [store.load(run["run_id"], spec.name) for spec in models.chained_specs(MODEL_INPUTS)]
+    labels = {models.SET_LABEL: "set", models.UP_LABEL: "up", models.DOWN_LABEL: "down"}
+    truth = rows.withColumnsRenamed(labels)
+    scored = models.score_chained(truth, *loaded)
+    measured = [
+        relational.confusion_metrics(scored, told, predicted).withColumn("model", F.lit(told)) for predicted, told in labels.items()
+    ]
+    stored = store.runs().select(
+        F.coalesce(*[F.when(F.col("model") == n, k) for n, k in ((C.SET_MODEL, "set"), (C.UP_MODEL, "up"), (C.DOWN_MODEL, "down"))]).alias("model"),
+        F.col("metrics.f1").alias("held_out_f1"), F.col("metrics.cv_f1").alias("cv_f1"),
+    )
+    return measured[0].unionByName(measured[1]).unionByName(measured[2]).join(stored, "model")

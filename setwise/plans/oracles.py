@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from setwise.contract import SPLIT_SEED, TRAIN_PERCENT
+from setwise.contract import FOLDS, SPLIT_SEED, TRAIN_PERCENT
 
 # One session per user.
 _SESSIONS = """
@@ -132,7 +132,7 @@ def _marked(legacy: bool = False) -> list[str]:
         f"""
 smooth AS (
   SELECT * REPLACE ({_named(f'''max(start_end_excercise_id) OVER (PARTITION BY filename
-    ORDER BY time_us, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)''')} AS start_end_excercise_id) FROM labelled)""",
+    ORDER BY time_us, event_id ROWS BETWEEN 50 PRECEDING AND 50 FOLLOWING)''')} AS start_end_excercise_id) FROM labelled)""",
         """
 moving AS (
   SELECT *, (start_end_excercise_id <> 'Unknown' AND concentric <> eccentric)::INTEGER AS events FROM smooth)""",
@@ -230,6 +230,15 @@ def _changes(*picks: tuple[str, str, str]) -> str:
 _NEW_PRICE = "o_totalprice * 1.1::DOUBLE"
 _BOTH = "o_orderdate >= '1994-01-01' AND o_orderdate < '1996-01-01'"
 
+# What the models learn: inputs and labels are rules of the event type.
+_LEARNED = f"""
+l AS (
+  SELECT user_id AS filename, event_id, value, {_CODE} AS start_end_excercise_id,
+    CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 10 WHEN 'purchase' THEN 20 WHEN 'signup' THEN 30 ELSE 40 END::DOUBLE AS kind,
+    (event_id % 3 - CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 10 WHEN 'purchase' THEN 20 WHEN 'signup' THEN 30 ELSE 40 END)::DOUBLE AS twin,
+    (event_type IN ('click', 'purchase'))::INTEGER AS concentric, (event_type IN ('error', 'view'))::INTEGER AS eccentric
+  FROM events)"""
+
 _RECORDED = """
 rec AS (
   SELECT '20240115-101112_000123_MPU6500_' || user_id::VARCHAR || '.csv' AS session, * FROM events)"""
@@ -359,14 +368,19 @@ SELECT event_id, make_timestamp((epoch_us(started) + round(value * 1000000))::BI
   strftime(make_timestamp(floor(floor(epoch_us(started) / 1000000.0) + value)::BIGINT * 1000000), '%Y-%m-%d %H:%M:%S') AS at_text
 FROM n""",
     "temperature_c": "SELECT user_id AS filename, event_id, round(value / 340.0 + 36.53::DOUBLE, 6) AS celsius FROM events",
+    # The Hamilton product, once with the quaternion and once with its conjugate, over |q|^2.
     "world_frame": """
-WITH q AS (
-  SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z,
-    embedding[4]::DOUBLE AS w, embedding[5]::DOUBLE AS i, embedding[6]::DOUBLE AS j, embedding[7]::DOUBLE AS k
-  FROM embeddings),
-t AS (SELECT *, j * z - k * y AS tx, k * x - i * z AS ty, i * y - j * x AS tz FROM q)
-SELECT vec_id, round(x + 2 * w * tx + 2 * (j * tz - k * ty), 6) AS wx,
-  round(y + 2 * w * ty + 2 * (k * tx - i * tz), 6) AS wy, round(z + 2 * w * tz + 2 * (i * ty - j * tx), 6) AS wz FROM t""",
+WITH p AS (SELECT vec_id, embedding AS e, unnest(range(0, 57, 7)) AS s FROM embeddings),
+q AS (
+  SELECT vec_id, s, e[s + 1]::DOUBLE AS x, e[s + 2]::DOUBLE AS y, e[s + 3]::DOUBLE AS z,
+    e[s + 4]::DOUBLE AS w, e[s + 5]::DOUBLE AS i, e[s + 6]::DOUBLE AS j, e[s + 7]::DOUBLE AS k FROM p),
+h AS (
+  SELECT *, -i * x - j * y - k * z AS a, w * x + j * z - k * y AS b, w * y - i * z + k * x AS c,
+    w * z + i * y - j * x AS d, w * w + i * i + j * j + k * k AS n FROM q)
+SELECT vec_id, s::INTEGER AS start,
+  round((-a * i + b * w - c * k + d * j) / nullif(n, 0), 6) AS wx,
+  round((-a * j + b * k + c * w - d * i) / nullif(n, 0), 6) AS wy,
+  round((-a * k - b * j + c * i + d * w) / nullif(n, 0), 6) AS wz FROM h""",
     "button_codes": _s("SELECT filename, event_id, 4 * start_end_excercise + 2 * peak + trough AS code FROM s"),
     "plot_traces": _s(
         """SELECT 'chest' AS sensor, value AS x, value + 2 AS y, value + 4 AS z, run_id::BIGINT AS color FROM r
@@ -380,7 +394,7 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
 SELECT o_orderkey, o_custkey AS c_custkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "asof_hold_last": _s(_ASOF),
     "asof_hold_last_chunked": _s(_ASOF),
-    "top1_latest": "SELECT event_id, user_id FROM events ORDER BY ts DESC LIMIT 1",
+    "top1_latest": "SELECT event_id, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1",
     "distinct_keys": "SELECT DISTINCT user_id FROM events",
     "sorted_scan": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey",
     "split_by_key": f"""
@@ -415,6 +429,22 @@ FROM r""",
         ("0::BIGINT AS read_version", "o_orderdate < '1996-01-01'", "o_totalprice"),
         ("1::BIGINT AS read_version", "o_orderdate >= '1996-01-01'", _NEW_PRICE),
     ),
+    "upsert_duplicates": _MERGED,
+    "upsert_null_partition": """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN o_orderdate >= '1994-01-01' AND o_orderkey % 2 = 0 THEN o_totalprice * 1.1::DOUBLE ELSE o_totalprice END AS o_totalprice,
+  o_orderdate, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, listed
+FROM orders, (SELECT unnest([true, false]) AS listed)
+WHERE o_orderdate < '1996-01-01' OR o_orderkey % 2 = 0""",
+    "incremental_read_after_crash": _changes(
+        ("0::BIGINT AS read_version", "o_orderdate < '1996-01-01'", "o_totalprice"),
+        ("1::BIGINT AS read_version", "o_orderdate >= '1996-01-01'", _NEW_PRICE),
+    ),
+    "feed_after_retry": """
+SELECT o_orderkey, CASE WHEN o_orderdate < '1996-01-01' THEN 0 WHEN o_orderdate < '1997-01-01' THEN 1 ELSE 2 END::BIGINT AS _commit_version
+FROM orders""",
+    "file_sizes": """
+SELECT target, true AS capped, n FROM (SELECT count(*) AS n FROM events), (SELECT unnest(['catalog', 'path']) AS target)""",
     "capped_append": "SELECT event_id, user_id, value FROM events",
     "stream_ingest": "WITH" + _RECORDED + """
 SELECT session AS filename, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id))::DOUBLE / 1e6::DOUBLE AS timevector,
@@ -442,7 +472,27 @@ SELECT '20240115-101112_000123_MPU6500_' || filename::VARCHAR || '.csv' AS filen
     '%Y-%m-%d %H:%M:%S') AS "timestamp",
   'MPU6500' AS mpuVersion, CASE WHEN excercise_id <> 0 THEN 'training' ELSE 'production' END AS route
 FROM labelled""".replace("FROM labelled", "FROM labelled JOIN (SELECT filename AS f, event_id AS e, latch_run FROM latch_runs) ON f = filename AND e = event_id"),
+    "scaled_features": "WITH" + _LEARNED + """
+SELECT filename, event_id, round((kind - avg(kind) OVER ()) / stddev_samp(kind) OVER (), 6) AS scaled_kind,
+  round((twin - avg(twin) OVER ()) / stddev_samp(twin) OVER (), 6) AS scaled_twin,
+  round((value - avg(value) OVER ()) / stddev_samp(value) OVER (), 6) AS scaled_value FROM l""",
+    "fold_ids": f"""
+SELECT DISTINCT user_id AS filename, (('0x' || substr(md5('{SPLIT_SEED + 1}' || user_id::VARCHAR), 1, 8))::BIGINT % {FOLDS})::INTEGER AS fold
+FROM events""",
+    "tree_scores": "WITH" + _LEARNED + """
+SELECT filename, event_id, start_end_excercise_id, start_end_excercise_id::DOUBLE AS prediction FROM l""",
+    "forest_scores": "WITH" + _LEARNED + "\nSELECT filename, event_id, concentric, concentric::DOUBLE AS prediction FROM l",
+    "cv_by_group": """
+SELECT 1::DOUBLE AS accuracy, 1::DOUBLE AS weighted_precision, 1::DOUBLE AS weighted_recall, 1::DOUBLE AS f1, 1::DOUBLE AS cv_f1""",
+    "chained_scores": "WITH" + _LEARNED + """
+SELECT filename, event_id, start_end_excercise_id::DOUBLE AS start_end_excercise_id, concentric::DOUBLE AS concentric,
+  eccentric::DOUBLE AS eccentric FROM l""",
+    "train_run": """
+SELECT unnest(['set', 'up', 'down']) AS model, 1::DOUBLE AS accuracy, 1::DOUBLE AS weighted_precision,
+  1::DOUBLE AS weighted_recall, 1::DOUBLE AS f1, 1::DOUBLE AS held_out_f1, 1::DOUBLE AS cv_f1""",
     "rescued_cells": """
 SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS user_id, (props::JSON ->> 'k')::INTEGER AS k,
   CASE WHEN event_type = 'error' THEN 'error' END AS rescued FROM events""",
 }
+# However the deliveries are cut, the tables are those of whole sessions.
+ORACLES["stream_silver_split"] = ORACLES["stream_silver"]

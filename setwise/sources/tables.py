@@ -151,18 +151,19 @@ def append_table(
     writer.partitionBy(*partition_on).parquet(target)
 
 
-def listed_values(values: DataFrame, partition: str) -> list[str | None] | None:
-    """The partition values as text, or None if there are more than ``PRUNED_KEYS``."""
-    found = values.select(F.col(partition).cast("string")).distinct().limit(PRUNED_KEYS + 1).collect()
-    return None if len(found) > PRUNED_KEYS else [row[0] for row in found]
+def listed_values(values: DataFrame, partition: str, most: int | None = None) -> list[str | None] | None:
+    """The partition values as text, or None if there are more than ``most``."""
+    most = PRUNED_KEYS if most is None else most
+    found = values.select(F.col(partition).cast("string")).distinct().limit(most + 1).collect()
+    return None if len(found) > most else [row[0] for row in found]
 
 
-def touched_rows(table: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
+def touched_rows(table: DataFrame, updates: DataFrame, partition: str, most: int | None = None) -> DataFrame:
     """The rows of ``table`` in partitions that occur in ``updates``, null among them.
 
     A short list of values prunes the scan; a long one becomes a semi-join.
     """
-    listed = listed_values(updates, partition)
+    listed = listed_values(updates, partition, most)
     if listed is None:
         values = updates.select(F.col(partition).alias("__touched")).distinct()
         return table.join(values, F.col(partition).eqNullSafe(F.col("__touched")), "left_semi")
@@ -171,12 +172,14 @@ def touched_rows(table: DataFrame, updates: DataFrame, partition: str) -> DataFr
     return table.where(found | F.col(partition).isNull() if None in listed else found)
 
 
-def read_touched(spark: SparkSession, target: str, updates: DataFrame, partition: str, schema: T.StructType) -> DataFrame:
+def read_touched(
+    spark: SparkSession, target: str, updates: DataFrame, partition: str, schema: T.StructType, most: int | None = None
+) -> DataFrame:
     """The same from a target. A path is not listed as a whole: only the folders of the
     values are looked at, unless there are very many."""
-    listed = listed_values(updates, partition) if is_path(target) else None
+    listed = listed_values(updates, partition, most) if is_path(target) else None
     if listed is None:
-        return touched_rows(read_table(spark, target, schema), updates, partition)
+        return touched_rows(read_table(spark, target, schema), updates, partition, most)
     folders = [partition_folder(spark, target, partition, value) for value in listed]
     there = [folder for folder in folders if exists(spark, folder)]
     if not there:
@@ -245,6 +248,7 @@ def upsert(
     delivery: object = None,
     replace: DataFrame | None = None,
     latest_by: str | None = None,
+    max_listed: int | None = None,
 ) -> int | None:
     """Update rows with a known key, insert the others; touches only their partitions.
 
@@ -266,7 +270,7 @@ def upsert(
         schema = updates.schema if schema is None else schema
         touched = updates.select(partition)
         touched = touched if replace is None else touched.union(replace.select(partition))
-        old = read_touched(spark, target, touched.distinct(), partition, schema)
+        old = read_touched(spark, target, touched.distinct(), partition, schema, max_listed)
         matched = match_keys(old, updates, keys, latest_by)
     if staged is not None:
         matched = log.stage(staged, matched) if matched is not None else log.staged(staged)
