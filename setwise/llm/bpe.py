@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from setwise.llm.common import whole
-from setwise.llm.merges import merge
+from setwise.llm.merges import NEVER, merge
 from setwise.llm.words import small_batches
 
 LEAF = 256
@@ -38,6 +38,8 @@ LEAF = 256
 GIANT = 1 << 16
 """Symbols from which on the pieces of a run are rows of their own."""
 MAX_WORDS = 1 << 19
+MAX_CHARACTERS = 1 << 23
+"""Words, and characters of words, up to which a task remembers encodings."""
 END = "</w>"
 
 # The pattern that splits words, as the vocabulary file states it, and the
@@ -69,7 +71,7 @@ class WordVocabulary:
             spec = json.load(file)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): float(i) for i, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self._split = regex.compile(SPLIT)
@@ -83,10 +85,11 @@ class WordVocabulary:
 
     def runs(self, word: str) -> list[str]:
         """A word without white space, normalised and split."""
-        word = unicodedata.normalize("NFC", word)
+        if not word.isascii():
+            word = unicodedata.normalize("NFC", word)
         # Each character on its own: str.lower() would look at the neighbours of a sigma.
         word = "".join(c.lower() for c in word) if "Σ" in word else word.lower()
-        return self._split.findall(word)
+        return [word] if word.isalpha() else self._split.findall(word)
 
     def words(self, text: str) -> Iterator[str]:
         """Words and special tokens of a text, in order."""
@@ -105,7 +108,7 @@ class WordVocabulary:
 
     def encode_symbols(self, symbols: list[str]) -> Joined:
         ranks = self.ranks
-        return merge(symbols, lambda a, b: ranks.get((a, b)))
+        return merge(symbols, lambda a, b: ranks.get((a, b), NEVER))
 
     def parts(self, token: str) -> list[str]:
         """The symbols of a token."""
@@ -146,29 +149,36 @@ class WordVocabulary:
         return self.ids[token] if found is None else found
 
 
-class Encoder(dict):
+class Encoder:
     """Ids and tokens of words as texts, kept up to a bound."""
 
     def __init__(self, vocabulary: WordVocabulary):
-        super().__init__()
         self.vocabulary = vocabulary
+        self.shown_ids = {t: str(vocabulary.id_of(t)) for t in [*vocabulary.ids, *vocabulary.special]}
+        self._forget()
 
-    def __missing__(self, word: str) -> tuple[str, str]:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        found = self.shown(self.vocabulary.encode_word(word))
-        if len(word) <= LEAF:
-            self[word] = found
-        return found
+    def _forget(self) -> None:
+        self.ids: dict[str, str] = {}
+        self.tokens: dict[str, str] = {}
+        self.held = 0
+
+    def _learn(self, words: set[str]) -> None:
+        for word in words:
+            self.ids[word], self.tokens[word] = self.shown(self.vocabulary.encode_word(word))
+            self.held += len(word)
 
     def shown(self, tokens: Joined) -> tuple[str, str]:
         """Decimal ids, and the decoded text: this vocabulary has no decoder, so decoding
         sets the tokens themselves side by side."""
-        return " ".join(str(self.vocabulary.id_of(t)) for t in tokens), " ".join(tokens)
+        return " ".join(map(self.shown_ids.__getitem__, tokens)), " ".join(tokens)
 
     def text(self, text: str) -> tuple[str, str]:
-        both = [found for word in self.vocabulary.words(text) if (found := self[word])[0]]
-        return " ".join([ids for ids, _ in both]), " ".join([tokens for _, tokens in both])
+        words = list(self.vocabulary.words(text))
+        if len(self.ids) > MAX_WORDS or self.held > MAX_CHARACTERS:
+            self._forget()
+        self._learn(set(words).difference(self.ids))
+        ids, tokens = map(self.ids.__getitem__, words), map(self.tokens.__getitem__, words)
+        return " ".join(filter(None, ids)), " ".join(filter(None, tokens))
 
 
 @lru_cache(maxsize=4)

@@ -9,12 +9,13 @@ ends. Both operators rest on that.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Hashable
+from collections.abc import Callable
 
-Rank = Callable[[str, str], Hashable | None]
-"""Rank of a pair of neighbours, smaller first; None if they never merge."""
+Rank = Callable[[str, str], float]
+"""Rank of a pair of neighbours, smaller first; ``NEVER`` if they do not merge."""
 
-SHORT = 24
+NEVER = float("inf")
+SHORT = 40
 
 
 def merge(symbols: list[str], rank: Rank) -> list[str]:
@@ -23,20 +24,16 @@ def merge(symbols: list[str], rank: Rank) -> list[str]:
 
 def _merge_short(symbols: list[str], rank: Rank) -> list[str]:
     parts = list(symbols)
-    ranks = [rank(a, b) for a, b in zip(parts, parts[1:])]
-    while True:
-        best, at = None, -1
-        for i, r in enumerate(ranks):
-            if r is not None and (best is None or r < best):
-                best, at = r, i
-        if at < 0:
-            return parts
+    ranks = list(map(rank, parts, parts[1:]))
+    while ranks and (best := min(ranks)) != NEVER:
+        at = ranks.index(best)  # the leftmost
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
         del ranks[at]
         if at:
             ranks[at - 1] = rank(parts[at - 1], parts[at])
         if at < len(ranks):
             ranks[at] = rank(parts[at], parts[at + 1])
+    return parts
 
 
 def _merge_long(symbols: list[str], rank: Rank) -> list[str]:
@@ -48,7 +45,7 @@ def _merge_long(symbols: list[str], rank: Rank) -> list[str]:
 
     def offer(i: int) -> None:
         j = after[i]
-        if j < n and (r := rank(parts[i], parts[j])) is not None:
+        if j < n and (r := rank(parts[i], parts[j])) != NEVER:
             heapq.heappush(heap, (r, i, parts[i], parts[j]))
 
     for i in range(n):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from setwise.llm.common import whole
-from setwise.llm.merges import merge
+from setwise.llm.merges import NEVER, merge
 from setwise.llm.words import small_batches
 
 SPACE = "▁"
@@ -71,8 +71,8 @@ class Pieces:
         """The tokens of ``text``; without the last merge, the two that would make it one."""
         ranks = self.ranks
 
-        def rank(a: str, b: str) -> float | None:
-            return ranks.get(a + b) if last_merge or len(a) + len(b) < len(text) else None
+        def rank(a: str, b: str) -> float:
+            return ranks.get(a + b, NEVER) if last_merge or len(a) + len(b) < len(text) else NEVER
 
         return merge(list(text), rank)
 
@@ -83,7 +83,7 @@ class Pieces:
         ends that meet could have merged before the merge undone last, they would have.
         """
         ranks, parts = self.ranks, self.parts
-        limit, right_last = float("inf"), True
+        limit, right_last = NEVER, True
         while True:
             rank = ranks.get(left + right)
             # Among equal ranks the leftmost merges first, so a tie counts only against the right.
