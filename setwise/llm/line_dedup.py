@@ -15,8 +15,9 @@ Lines are equal if they are the same without white space at both ends. Earlier m
 smaller id.
 
 Cases: null or empty text has no lines. A null id is smaller than all others. Rows that repeat
-an id are one document as long as their texts are equal, and never lose lines to each other.
-An empty table gives an empty result.
+both id and text are one document, and never lose lines to each other; rows that repeat only
+the id are documents in the order of a hash of their text. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setwise.llm.common import store, whole
@@ -37,6 +38,11 @@ RARE = 50
 LEAST_WORDS = 20
 LEAST_ID = -(1 << 63)
 
+def document() -> Column:
+    """Documents in their order."""
+    return F.struct("doc_id", "tie")
+
+
 Block = tuple[int, int, int]
 """Where a common block begins on the left and on the right, and its number of lines."""
 
@@ -114,8 +120,8 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes.append(own.view(np.int64))
             counts.append(n)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
-            ["doc_id", "lines", "words"],
+            [batch.column("doc_id"), batch.column("tie"), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
+            ["doc_id", "tie", "lines", "words"],
         )
 
 
@@ -123,7 +129,7 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different lines of each document, and the hash of each with the line after it."""
     factor = constants(1, 61)[0]
     for batch in batches:
-        for doc, lines in zip(batch.column("doc_id").to_pylist(), batch.column("lines")):
+        for doc, tie, lines in zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), batch.column("lines")):
             own = lines.values.to_numpy().view(np.uint64) if lines.is_valid and len(lines) else np.zeros(0, np.uint64)
             if not len(own):
                 continue
@@ -131,14 +137,17 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.unique(np.c_[own, pair], axis=0)
             fresh = np.r_[True, both[1:, 0] != both[:-1, 0]]
             yield pa.record_batch(
-                [pa.array(np.full(len(both), doc)), signed(both[:, 0].copy()), signed(both[:, 1].copy()), pa.array(fresh)],
-                ["doc_id", "line", "pair", "fresh"],
+                [
+                    pa.array(np.full(len(both), doc)), pa.array(np.full(len(both), tie)),
+                    signed(both[:, 0].copy()), signed(both[:, 1].copy()), pa.array(fresh),
+                ],
+                ["doc_id", "tie", "line", "pair", "fresh"],
             )
 
 
 def _first_holders(rows: DataFrame, key: str) -> DataFrame:
     """First document of each key that several have. Counted before the shuffle."""
-    held = rows.groupBy(F.col(key).alias("of")).agg(F.min("doc_id").alias("first"), F.count_if("fresh").alias("holders"))
+    held = rows.groupBy(F.col(key).alias("of")).agg(F.min(document()).alias("first"), F.count_if("fresh").alias("holders"))
     return store(held.where("holders > 1"), "holders")
 
 
@@ -149,38 +158,44 @@ def partners(rows: DataFrame, rare: int = RARE) -> DataFrame:
     common = rows.join(held.where(F.col("holders") > rare).select("of"), F.col("line") == F.col("of"), "left_semi")
     common = store(common.withColumn("fresh", F.lit(True)), "common_lines")
     by_pair = common.join(_first_holders(common, "pair"), F.col("pair") == F.col("of"))
-    later = "first < doc_id"
-    pairs = found.where(F.col("holders") <= rare).where(later).select("first", "doc_id")
-    return pairs.union(by_pair.where(later).select("first", "doc_id")).distinct()
+    later, pair = F.col("first") < document(), ("first", "doc_id", "tie")
+    pairs = found.where(F.col("holders") <= rare).where(later).select(*pair)
+    return pairs.union(by_pair.where(later).select(*pair)).distinct()
 
 
 def _align(least_words: int):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, starts, sizes = [], [], []
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "left_lines", "lines", "words")]
-            for doc, left, right, words in zip(*columns):
+            docs, ties, starts, sizes = [], [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "tie", "left_lines", "lines", "words")]
+            for doc, tie, left, right, words in zip(*columns):
                 for _, at, n in patience(left, right):
                     if sum(words[at : at + n]) >= least_words:
                         docs.append(doc)
+                        ties.append(tie)
                         starts.append(at)
                         sizes.append(n)
-            yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())], ["doc_id", "at", "n"])
+            yield pa.record_batch(
+                [pa.array(docs, pa.int64()), pa.array(ties, pa.int64()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())],
+                ["doc_id", "tie", "at", "n"],
+            )
 
     return align
 
 
 def repeated_blocks(docs: DataFrame, rare: int = RARE, least_words: int = LEAST_WORDS) -> DataFrame:
-    """Blocks to delete: ``doc_id``, first line ``at`` and number of lines ``n``, counted
-    over the lines that are not blank."""
-    rows = docs.select(F.coalesce("doc_id", F.lit(LEAST_ID)).alias("doc_id"), whole().alias("text"))
-    sequences = rows.mapInArrow(_sequences, "doc_id long, lines array<long>, words array<int>").dropDuplicates(["doc_id"])
+    """Blocks to delete: ``doc_id``, the hash ``tie`` of the text, first line ``at`` and number
+    of lines ``n``, counted over the lines that are not blank."""
+    rows = docs.select(F.coalesce("doc_id", F.lit(LEAST_ID)).alias("doc_id"), F.xxhash64(whole()).alias("tie"), whole().alias("text"))
+    sequences = rows.mapInArrow(_sequences, "doc_id long, tie long, lines array<long>, words array<int>")
+    sequences = sequences.dropDuplicates(["doc_id", "tie"])
     sequences = store(sequences, "sequences")
-    lines = store(sequences.mapInArrow(_line_rows, "doc_id long, line long, pair long, fresh boolean"), "lines")
+    lines = store(sequences.mapInArrow(_line_rows, "doc_id long, tie long, line long, pair long, fresh boolean"), "lines")
     pairs = store(partners(lines, rare), "partners")
-    left = sequences.select(F.col("doc_id").alias("first"), F.col("lines").alias("left_lines"))
-    both = pairs.join(left, "first").join(sequences, "doc_id").select("doc_id", "left_lines", "lines", "words")
-    return both.mapInArrow(_align(least_words), "doc_id long, at int, n int")
+    left = sequences.select(document().alias("first"), F.col("lines").alias("left_lines"))
+    both = pairs.join(left, "first").join(sequences, ["doc_id", "tie"])
+    both = both.select("doc_id", "tie", "left_lines", "lines", "words")
+    return both.mapInArrow(_align(least_words), "doc_id long, tie long, at int, n int")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +222,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeated_lines(docs: DataFrame, rare: int = RARE, least_words: int = LEAST_WORDS) -> DataFrame:
     """Per row of ``docs``: its lines that are not blank, how many went, and the text left."""
     blocks = repeated_blocks(docs, rare, least_words)
-    blocks = blocks.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set(F.struct("at", "n")).alias("blocks"))
-    rows = docs.select("doc_id", whole().alias("text"))
-    joined = rows.join(blocks, F.coalesce("doc_id", F.lit(LEAST_ID)) == F.col("of"), "left").select("doc_id", "text", "blocks")
+    blocks = blocks.groupBy(F.col("doc_id").alias("of"), F.col("tie").alias("of_tie")).agg(
+        F.collect_set(F.struct("at", "n")).alias("blocks")
+    )
+    rows = docs.select("doc_id", whole().alias("text"), F.xxhash64(whole()).alias("tie"))
+    same = (F.coalesce("doc_id", F.lit(LEAST_ID)) == F.col("of")) & (F.col("tie") == F.col("of_tie"))
+    joined = rows.join(blocks, same, "left").select("doc_id", "text", "blocks")
     return joined.mapInArrow(_cut, "doc_id long, n_lines long, n_removed long, text string")

@@ -16,8 +16,9 @@ look-ups are one shuffle by hash. Rows that share a hash within a batch are sett
 a passage that a third of all texts have costs one row per batch and not one per text.
 
 Cases: a null text is empty; a text of fewer words than a window is never cut. A null id is
-smaller than all others. Rows that repeat an id are one text as long as they have equal
-words: none of them is earlier than the other. An empty table gives an empty result.
+smaller than all others. Rows that repeat an id are one document: a window is earlier only if
+it starts further up, and what goes from one of them goes from all. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -124,8 +125,9 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(batch.num_rows), np.asarray(parts.value_lengths().fill_null(0)))
         lo, n = (pa.compute.struct_field(parts.flatten(), i).to_numpy() for i in range(2))
         at = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        owner = np.repeat(owner, n)
-        at = at.astype(np.int64)
+        owner, at = np.repeat(owner, n), at.astype(np.int64)
+        inside = at + WINDOW <= words.counts()[owner]  # a row of the same id may be shorter
+        owner, at = owner[inside], at[inside]
         first = words.first[owner] + at
         a = run_hashes(words.hashes, first, first + WINDOW, seed=3)
         b = run_hashes(words.hashes, first, first + WINDOW, seed=4)
@@ -175,8 +177,8 @@ def _without_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             n_words.append(len(words))
             if parts:
                 edges = np.zeros(len(words) + 1, dtype=np.int64)
-                np.add.at(edges, [p["lo"] for p in parts], 1)
-                np.add.at(edges, [p["lo"] + p["n"] + WINDOW - 1 for p in parts], -1)
+                np.add.at(edges, [min(p["lo"], len(words)) for p in parts], 1)
+                np.add.at(edges, [min(p["lo"] + p["n"] + WINDOW - 1, len(words)) for p in parts], -1)
                 words = [words[j] for j in np.flatnonzero(np.cumsum(edges[:-1]) == 0)]
             n_removed.append(n_words[-1] - len(words))
             kept.append(b" ".join(words).decode("utf-8"))
