@@ -14,6 +14,7 @@ from setwise import contract as C
 from setwise.functions import scalars as S
 from setwise.operators import cleaning, models, phases, relational, signals
 from setwise.operators.ordered import rolling_max, row_numbers
+from setwise.plans.scoring import ScoringJob
 from setwise.plans.training import train
 from setwise.plans.views import event_rows, load, sessions
 from setwise.session import cut, work_dir
@@ -822,3 +823,40 @@ def train_run(spark, sf):
         F.col("metrics.f1").alias("held_out_f1"), F.col("metrics.cv_f1").alias("cv_f1"),
     )
     return measured[0].unionByName(measured[1]).unionByName(measured[2]).join(stored, "model")
+
+
+def _sensor_rows(spark, sf):
+    """The labelled events in the shape of the silver tables. Times are whole microseconds,
+    so that all spans are exact."""
+    rows = _training_rows(spark, sf).drop("kind", "twin", "value")
+    timed, _ = sessions(spark, sf)
+    number = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(float(n))) for k, n in KINDS.items()])
+    cells = {c: number * (i % 3 + 1) + F.pmod("event_id", F.lit(2 + i % 5)) for i, c in enumerate(C.SENSOR_CHANNELS)}
+    timed = timed.withColumns(cells).withColumn("time_vector", F.col("time_us").cast("double"))
+    rows = timed.select(*ID, "time_vector", *C.SENSOR_CHANNELS).join(rows, list(ID))
+    return rows.withColumn("filename", F.col("filename").cast("string")).drop("event_id")
+
+
+@query
+def score_sessions(spark, sf):
+    """The scoring job over a production table that comes in two deliveries, each session
+    cut in two: a run after each, and one with nothing new. Every session has one summary."""
+    production, gold, reports, log, mark, models_at = (
+        work_dir(spark, n) for n in ("production", "gold", "reports", "log", "mark", "models")
+    )
+    store, rows, changes = RunStore(spark, models_at), cut(_sensor_rows(spark, sf)), ChangeLog(spark, log)
+    run = store.start()
+    for spec in models.chained_specs():
+        store.save(run, C.RUN_NAME, spec.name, models.fit(spec, rows), spec.settings(), {})
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in C.PRODUCTION.fields if f.name not in rows.columns}
+    samples = rows.withColumns(absent).select(*C.PRODUCTION.names)
+    job = ScoringJob(spark, production, changes, mark, store, gold, reports)
+    even = F.pmod(F.xxhash64("time_vector"), F.lit(2)) == 0
+    for number, part in enumerate((samples.where(even), samples.where(~even))):
+        tables.upsert(spark, production, part, ("filename", "time_vector"), "filename", C.PRODUCTION, changes, number)
+        job.run()
+    if job.run() is not None:
+        raise AssertionError("nothing was new")
+    if tables.read_table(spark, gold).count() != samples.count():
+        raise AssertionError("gold must have every sample once")
+    return tables.read_report(spark, reports, C.SUMMARY)

@@ -496,3 +496,17 @@ SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS user_id, (p
 }
 # However the deliveries are cut, the tables are those of whole sessions.
 ORACLES["stream_silver_split"] = ORACLES["stream_silver"]
+
+# The scoring job with labels by rule, instead of those that buttons give.
+_PREDICTED = f"""
+labelled AS (
+  SELECT filename, event_id, time_us, {_CODE} AS start_end_excercise_id,
+    (event_type IN ('click', 'purchase'))::INTEGER AS concentric, (event_type IN ('error', 'view'))::INTEGER AS eccentric
+  FROM s)"""
+ORACLES["score_sessions"] = _s(
+    """SELECT totals.* REPLACE (totals.filename::VARCHAR AS filename, total_concentric_time::DOUBLE AS total_concentric_time,
+    total_eccentric_time::DOUBLE AS total_eccentric_time, total_rest_time::DOUBLE AS total_rest_time),
+  NULL::TIMESTAMP AS measure_date, coalesce(votes.name, 'Unknown') AS excercise
+FROM totals LEFT JOIN votes ON votes.filename = totals.filename AND votes.place = 1""",
+    _PREDICTED, *_marked()[len(_label()):], *_SETS, *_SUMMARY,
+)
