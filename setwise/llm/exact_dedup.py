@@ -79,7 +79,11 @@ def copies(docs: DataFrame, key: str = "doc_id", text: str = "text", max_cells:
     )
     # A row per text and id first: repeated rows become a count, before anything is joined.
     rows = flagged.where("suspect").groupBy("digest", "key").agg(F.count(F.lit(1)).alias("times"))
+    rows = store(rows, "suspects")
+    # Stored, so that the join below has a plain table on either side: a text with very many
+    # copies is then split over tasks.
     groups = rows.groupBy("digest").agg(F.max("key").alias("keep_id"), F.sum("times").alias("group_size"))
+    groups = store(groups, "groups")
     compared = rows.join(groups, "digest").withColumn("nth", F.explode(F.expr("sequence(1L, times)")))
     kept = F.col("key").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)
     compared = compared.select("key", "keep_id", "group_size", kept.alias("kept"), "digest")
