@@ -93,6 +93,31 @@ def test_ingest_takes_every_file_once(spark, landing, tmp_path):
     assert spark.read.parquet(bronze).count() == n + len(REST)
 
 
+def test_ingest_cuts_batches_by_bytes(spark, landing, tmp_path):
+    sizes = [path.stat().st_size for path in landing.iterdir()]
+    query = ingest(spark, str(landing), str(tmp_path / "bronze"), str(tmp_path / "state"), max_bytes=2 * max(sizes))
+    batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(batches) >= len(sizes) // 2 > 1
+    assert sum(batches) == 4 * len(SQUAT) + 2 * len(REST)
+
+
+def test_a_session_that_gets_buttons_later_leaves_production(spark, tmp_path):
+    """The first delivery has no button and goes to production; the whole session then goes to
+    training, and the log says that its old rows went."""
+    name, landing, where = F.lit(stamped(1)), tmp_path / "landing", work_dir(spark, "lake")
+    write_recording(tmp_path / "whole", stamped(1), SQUAT)
+    lines = (tmp_path / "whole" / stamped(1)).read_text().splitlines()
+    os.makedirs(landing)
+    for part, body in (("a.csv", lines[1:3]), ("b.csv", lines[3:])):
+        (landing / part).write_text("\n".join([lines[0], *body]) + "\n")
+        ingest(spark, str(landing), f"{where}/bronze", f"{where}/state/bronze", name=name)
+        job = silver.SilverJob(spark, f"{where}/bronze", f"{where}/training", f"{where}/production", f"{where}/state/silver")
+        job.run()
+    assert both_tables(spark, job) == both_tables(spark, run_all(spark, tmp_path / "whole"))
+    log = job.production_log()
+    assert log.read(C.PRODUCTION, 0).count() == log.read(C.PRODUCTION, 0, kinds=("delete",)).count() == 2
+
+
 def test_jobs_work_on_catalog_tables(spark, landing, lake, tmp_path):
     tables.create_database(spark, "lake", work_dir(spark, "db"))
     ingest(spark, str(landing), "lake.bronze_table", str(tmp_path / "state"))
