@@ -37,7 +37,7 @@ LEAF = 256
 """Symbols up to which a run is encoded at once."""
 GIANT = 1 << 16
 """Symbols from which on the pieces of a run are rows of their own."""
-MAX_WORDS = 1 << 19
+MAX_WORDS = 1 << 18
 MAX_CHARACTERS = 1 << 23
 """Words, and characters of words, up to which a task remembers encodings."""
 END = "</w>"
@@ -155,13 +155,20 @@ class Encoder:
     def __init__(self, vocabulary: WordVocabulary):
         self.vocabulary = vocabulary
         self.shown_ids = {t: str(vocabulary.id_of(t)) for t in [*vocabulary.ids, *vocabulary.special]}
-        self._forget()
-
-    def _forget(self) -> None:
         self.ids: dict[str, str] = {}
         self.tokens: dict[str, str] = {}
+        self.again: set[str] = set()
         self.held = 0
 
+    def _forget(self) -> None:
+        """Keep the words that came again in a later text, unless these are too many."""
+        kept = self.again if len(self.again) <= MAX_WORDS // 2 else set()
+        self.ids, self.tokens = ({word: known[word] for word in kept} for known in (self.ids, self.tokens))
+        self.held = sum(map(len, kept))
+        if self.held > MAX_CHARACTERS // 2:
+            self.ids, self.tokens, self.held = {}, {}, 0
+        self.again = set()
+
     def _learn(self, words: set[str]) -> None:
         for word in words:
             self.ids[word], self.tokens[word] = self.shown(self.vocabulary.encode_word(word))
@@ -176,15 +183,23 @@ class Encoder:
         words = list(self.vocabulary.words(text))
         if len(self.ids) > MAX_WORDS or self.held > MAX_CHARACTERS:
             self._forget()
-        self._learn(set(words).difference(self.ids))
+        different = set(words)
+        new = different.difference(self.ids)
+        self._learn(new)
+        self.again.update(different - new)
         ids, tokens = map(self.ids.__getitem__, words), map(self.tokens.__getitem__, words)
         return " ".join(filter(None, ids)), " ".join(filter(None, tokens))
 
 
 @lru_cache(maxsize=4)
-def _encoder(path: str) -> Encoder:
+def _vocabulary(path: str) -> WordVocabulary:
     """One for each worker process."""
-    return Encoder(WordVocabulary(path))
+    return WordVocabulary(path)
+
+
+def _encoder(path: str) -> Encoder:
+    """One for each task, so that what it remembers is given back."""
+    return Encoder(_vocabulary(path))
 
 
 def n_ids(ids: str) -> int:
@@ -235,7 +250,7 @@ def _with_giants(rows: DataFrame, path: str, form: str, giant: int) -> DataFrame
     kind = dict(rows.dtypes)["doc_id"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _encoder(path).vocabulary
+        vocabulary = _vocabulary(path)
         for batch in small_batches(batches, "text"):
             for i, text in enumerate(batch.column("text").to_pylist()):
                 parts = list(_cut(vocabulary, text, giant))

@@ -23,8 +23,7 @@ def merge(symbols: list[str], rank: Rank) -> list[str]:
 
 
 def _merge_short(symbols: list[str], rank: Rank) -> list[str]:
-    parts = list(symbols)
-    ranks = list(map(rank, parts, parts[1:]))
+    parts, ranks = list(symbols), list(map(rank, symbols, symbols[1:]))
     while ranks and (best := min(ranks)) != NEVER:
         at = ranks.index(best)  # the leftmost
         parts[at : at + 2] = [parts[at] + parts[at + 1]]

@@ -37,7 +37,7 @@ from setwise.llm.words import small_batches
 
 SPACE = "▁"
 MAX_STATES = 1 << 17
-MAX_WORDS = 1 << 20
+MAX_WORDS = 1 << 19
 LONG = 1 << 16
 """Texts of more characters are cut into rows of so many."""
 

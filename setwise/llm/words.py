@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 1 << 20
-BATCH_BYTES = 4 << 20
+SLICE_BYTES = (1 << 18) - 1
+BATCH_BYTES = 2 << 20
 
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = 0x9E3779B97F4A7C15
@@ -37,7 +37,7 @@ def constants(n: int, seed: int) -> np.ndarray:
 _BYTE_VALUES = constants(256, 11)
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=6)
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64, and of its inverse."""
 
@@ -132,7 +132,7 @@ def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """Hashes of byte ranges in order, in slices of about a million bytes."""
+    """Hashes of byte ranges in order, in slices of bounded length."""
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
