@@ -1,9 +1,9 @@
 """Repeated lines by pairwise alignment.
 
-1. Every line that is not blank is hashed. A line that at most ``RARE`` documents have points
-   to the document that has it first; a commoner line only does so together with the line
-   after it. So a document has no more partners than lines, however many documents share a
-   line, and each partner is earlier.
+1. Every line that is not blank is hashed. A line that at most ``RARE`` documents have, or that
+   has ``LEAST_WORDS`` words by itself, points to the document that has it first; a commoner
+   line does so together with the line after it. So a document has no more than two partners
+   a line, however many documents share a line, and each partner is earlier.
 2. Each document is aligned with its partners by patience diff: lines that occur once on both
    sides are matched in the longest common order, matches are extended to equal neighbours,
    and the gaps between are aligned in the same way.
@@ -125,24 +125,31 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different lines of each document, and the hash of each with the line after it."""
+def _line_rows(least_words: int):
+    """The different lines of each document, the hash of each with the line after it, and
+    whether it is long enough to be a block alone."""
     factor = constants(1, 61)[0]
-    for batch in batches:
-        for doc, tie, lines in zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), batch.column("lines")):
-            own = lines.values.to_numpy().view(np.uint64) if lines.is_valid and len(lines) else np.zeros(0, np.uint64)
-            if not len(own):
-                continue
-            pair = mix(own * factor + np.r_[own[1:], np.zeros(1, np.uint64)])
-            both = np.unique(np.c_[own, pair], axis=0)
-            fresh = np.r_[True, both[1:, 0] != both[:-1, 0]]
-            yield pa.record_batch(
-                [
-                    pa.array(np.full(len(both), doc)), pa.array(np.full(len(both), tie)),
-                    signed(both[:, 0].copy()), signed(both[:, 1].copy()), pa.array(fresh),
-                ],
-                ["doc_id", "tie", "line", "pair", "fresh"],
-            )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), batch.column("lines"), batch.column("words")]
+            for doc, tie, lines, words in zip(*columns):
+                own = lines.values.to_numpy().view(np.uint64) if lines.is_valid and len(lines) else np.zeros(0, np.uint64)
+                if not len(own):
+                    continue
+                pair = mix(own * factor + np.r_[own[1:], np.zeros(1, np.uint64)])
+                both, at = np.unique(np.c_[own, pair], axis=0, return_index=True)
+                fresh = np.r_[True, both[1:, 0] != both[:-1, 0]]
+                long = words.values.to_numpy()[at] >= least_words
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(len(both), doc)), pa.array(np.full(len(both), tie)),
+                        signed(both[:, 0].copy()), signed(both[:, 1].copy()), pa.array(fresh), pa.array(long),
+                    ],
+                    ["doc_id", "tie", "line", "pair", "fresh", "long"],
+                )
+
+    return rows
 
 
 def _first_holders(rows: DataFrame, key: str) -> DataFrame:
@@ -159,7 +166,8 @@ def partners(rows: DataFrame, rare: int = RARE) -> DataFrame:
     common = store(common.withColumn("fresh", F.lit(True)), "common_lines")
     by_pair = common.join(_first_holders(common, "pair"), F.col("pair") == F.col("of"))
     later, pair = F.col("first") < document(), ("first", "doc_id", "tie")
-    pairs = found.where(F.col("holders") <= rare).where(later).select(*pair)
+    alone = F.col("fresh") & ((F.col("holders") <= rare) | F.col("long"))
+    pairs = found.where(alone).where(later).select(*pair)
     return pairs.union(by_pair.where(later).select(*pair)).distinct()
 
 
@@ -190,7 +198,7 @@ def repeated_blocks(docs: DataFrame, rare: int = RARE, least_words: int = LEAST_
     sequences = rows.mapInArrow(_sequences, "doc_id long, tie long, lines array<long>, words array<int>")
     sequences = sequences.dropDuplicates(["doc_id", "tie"])
     sequences = store(sequences, "sequences")
-    lines = store(sequences.mapInArrow(_line_rows, "doc_id long, tie long, line long, pair long, fresh boolean"), "lines")
+    lines = store(sequences.mapInArrow(_line_rows(least_words), "doc_id long, tie long, line long, pair long, fresh boolean, long boolean"), "lines")
     pairs = store(partners(lines, rare), "partners")
     left = sequences.select(document().alias("first"), F.col("lines").alias("left_lines"))
     both = pairs.join(left, "first").join(sequences, ["doc_id", "tie"])
