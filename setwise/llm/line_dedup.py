@@ -1,9 +1,11 @@
 """Repeated lines by pairwise alignment.
 
-1. Every line that is not blank is hashed. A line that at most ``RARE`` documents have, or that
-   has ``LEAST_WORDS`` words by itself, points to the document that has it first; a commoner
-   line does so together with the line after it. So a document has no more than two partners
-   a line, however many documents share a line, and each partner is earlier.
+1. Lines that are not blank are hashed, and so is every shortest run of lines, from each line
+   on and up to each line, that has ``LEAST_WORDS`` words. A run points to the document that
+   has it first, so each line of a block that an earlier document has is compared with one.
+   A line that at most ``RARE`` documents have points to its first holder too, and a commoner
+   one together with the line after it. So a document has no more than three partners a line,
+   however many documents share a line, and each partner is earlier.
 2. Each document is aligned with its partners by patience diff: lines that occur once on both
    sides are matched in the longest common order, matches are extended to equal neighbours,
    and the gaps between are aligned in the same way.
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setwise.llm.common import store, whole
-from setwise.llm.words import constants, hash_ranges, mix, signed, small_batches, text_bytes
+from setwise.llm.words import constants, hash_ranges, mix, run_hashes, signed, small_batches, text_bytes
 
 RARE = 50
 LEAST_WORDS = 20
@@ -125,9 +127,28 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def shortest_runs(words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the shortest runs from each line on with so many words."""
+    before = np.r_[0, np.cumsum(words, dtype=np.int64)]
+    ends = np.searchsorted(before, before[:-1] + max(1, least_words))
+    starts = np.flatnonzero(ends < len(before))
+    return starts, ends[starts]
+
+
+def _run_keys(lines: np.ndarray, words: np.ndarray, least_words: int) -> np.ndarray:
+    """Hashes of the runs of two or more lines that are shortest from their first line on or
+    up to their last one."""
+    starts, ends = shortest_runs(words, least_words)
+    back_ends, back_starts = (len(words) - x for x in shortest_runs(words[::-1], least_words))
+    starts, ends = np.r_[starts, back_starts], np.r_[ends, back_ends]
+    several = ends - starts > 1
+    return np.unique(run_hashes(lines, starts[several], ends[several], 1))
+
+
 def _line_rows(least_words: int):
     """The different lines of each document, the hash of each with the line after it, and
-    whether it is long enough to be a block alone."""
+    whether it is long enough to be a block alone; runs that are long enough count as lines,
+    with nothing after them."""
     factor = constants(1, 61)[0]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,12 +160,15 @@ def _line_rows(least_words: int):
                     continue
                 pair = mix(own * factor + np.r_[own[1:], np.zeros(1, np.uint64)])
                 both, at = np.unique(np.c_[own, pair], axis=0, return_index=True)
-                fresh = np.r_[True, both[1:, 0] != both[:-1, 0]]
-                long = words.values.to_numpy()[at] >= least_words
+                runs = _run_keys(own, words.values.to_numpy(), least_words)
+                n, yes = len(both) + len(runs), np.ones(len(runs), dtype=bool)
+                fresh = np.r_[True, both[1:, 0] != both[:-1, 0], yes]
+                long = np.r_[words.values.to_numpy()[at] >= least_words, yes]
                 yield pa.record_batch(
                     [
-                        pa.array(np.full(len(both), doc)), pa.array(np.full(len(both), tie)),
-                        signed(both[:, 0].copy()), signed(both[:, 1].copy()), pa.array(fresh), pa.array(long),
+                        pa.array(np.full(n, doc)), pa.array(np.full(n, tie)), signed(np.r_[both[:, 0], runs]),
+                        pa.array(np.r_[both[:, 1], runs].view(np.int64), mask=np.arange(n) >= len(both)),
+                        pa.array(fresh), pa.array(long),
                     ],
                     ["doc_id", "tie", "line", "pair", "fresh", "long"],
                 )
@@ -163,7 +187,7 @@ def partners(rows: DataFrame, rare: int = RARE) -> DataFrame:
     held = _first_holders(rows, "line")
     found = rows.join(held, F.col("line") == F.col("of")).drop("of")
     common = rows.join(held.where(F.col("holders") > rare).select("of"), F.col("line") == F.col("of"), "left_semi")
-    common = store(common.withColumn("fresh", F.lit(True)), "common_lines")
+    common = store(common.where("pair IS NOT NULL").withColumn("fresh", F.lit(True)), "common_lines")
     by_pair = common.join(_first_holders(common, "pair"), F.col("pair") == F.col("of"))
     later, pair = F.col("first") < document(), ("first", "doc_id", "tie")
     alone = F.col("fresh") & ((F.col("holders") <= rare) | F.col("long"))

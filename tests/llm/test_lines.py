@@ -1,5 +1,7 @@
 """Repeated lines against a plain version without a limit on the holders of a line."""
 
+import random
+
 import plain
 import plain_lines
 
@@ -22,3 +24,18 @@ def test_a_common_passage_of_one_line(spark):
     got = removed(spark, rows)
     assert got == plain_lines.removed(rows, plain.matched_lines)
     assert got == {i: int(i > 0) for i in range(60)}
+
+
+def test_a_block_of_lines_first_held_apart(spark):
+    a, b, x = text_of("a", 10), text_of("b", 10), text_of("x", 10)
+    rows = [(1, f"{a}\n{x}\n{b}"), (2, f"{a}\n{b}"), (3, f"{a}\n{b}")]
+    assert removed(spark, rows) == plain_lines.removed(rows, plain.matched_lines) == {1: 0, 2: 0, 3: 2}
+
+
+def test_blocks_of_short_lines(spark):
+    """Lines that all documents have in one order, so that only the pairing matters."""
+    dice = random.Random(11)
+    lines = [text_of(f"l{i}_", dice.choice([1, 2, 5, 9, 15, 22])) for i in range(40)]
+    rows = [(i, "\n\n".join(x for x in lines if dice.random() < 0.75)) for i in range(120)]
+    want = plain_lines.removed(rows, plain.matched_lines)
+    assert 0 < sum(want.values()) and removed(spark, rows) == want
