@@ -8,7 +8,9 @@
    however many documents share a line, and each partner is earlier.
 2. Each document is aligned with its partners by patience diff: lines that occur once on both
    sides are matched in the longest common order, matches are extended to equal neighbours,
-   and the gaps between are aligned in the same way.
+   and the gaps between are aligned in the same way. A gap without such lines is split at its
+   common run of most words, as long as that is a block to delete. Each line is matched
+   once: of a passage that the later document repeats, as many copies go as the earlier has.
 3. Aligned blocks of at least ``LEAST_WORDS`` words are deleted from the later document, with
    the blank lines that follow them. Documents are aligned as they were, not as others left
    them.
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,8 +73,9 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience(a: list[int], b: list[int]) -> list[Block]:
-    """Common blocks of two sequences of lines, in order on both sides."""
+def patience(a: list[int], b: list[int], in_gap: Callable[[list[int], list[int]], Block | None] | None = None) -> list[Block]:
+    """Common blocks of two sequences of lines, in order on both sides. ``in_gap`` may tell a
+    block of a gap where no line is unique on both sides."""
     matches: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -94,6 +97,12 @@ def patience(a: list[int], b: list[int]) -> list[Block]:
             # the begin of the gap that follows it.
             cuts = [(a0, b0), *anchors, (a1, b1)]
             todo += [(i, p, j, q) for (i, j), (p, q) in zip(cuts, cuts[1:])]
+        elif in_gap and not in_a.keys().isdisjoint(in_b):
+            block = in_gap(a[a0:a1], b[b0:b1])
+            if block:
+                i, j, n = a0 + block[0], b0 + block[1], block[2]
+                matches += [(i + k, j + k) for k in range(n)]
+                todo += [(a0, i, b0, j), (i + n, a1, j + n, b1)]
     blocks: list[Block] = []
     for i, j in sorted(matches):
         if blocks and blocks[-1][0] + blocks[-1][2] == i and blocks[-1][1] + blocks[-1][2] == j:
@@ -103,6 +112,45 @@ def patience(a: list[int], b: list[int]) -> list[Block]:
     return blocks
 
 
+def shortest_runs(words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the shortest runs from each line on with so many words."""
+    before = np.r_[0, np.cumsum(words, dtype=np.int64)]
+    ends = np.searchsorted(before, before[:-1] + max(1, least_words))
+    starts = np.flatnonzero(ends < len(before))
+    return starts, ends[starts]
+
+
+def aligned(a: list[int], b: list[int], words: list[int], least_words: int) -> list[Block]:
+    """Common blocks by patience diff, and by the common run of most words in gaps without
+    anchors. ``words``: word counts of the lines of ``b``."""
+    size = dict(zip(b, words))
+
+    def arrays(lines: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(lines, dtype=np.int64).view(np.uint64), np.array([size.get(x, 1) for x in lines], dtype=np.int64)
+
+    def longest_run(left: list[int], right: list[int]) -> Block | None:
+        (x, in_x), (y, in_y) = arrays(left), arrays(right)
+
+        def common(least: int) -> Block | None:
+            """The first on the right of the common runs with so many words."""
+            (s, e), (p, q) = shortest_runs(in_x, least), shortest_runs(in_y, least)
+            both, i, j = np.intersect1d(run_hashes(x, s, e, 1), run_hashes(y, p, q, 1), return_indices=True)
+            if not len(both):
+                return None
+            k = int(np.argmin(j))
+            return int(s[i[k]]), int(p[j[k]]), int(e[i[k]] - s[i[k]])
+
+        low, high = max(1, least_words), int(min(in_x.sum(), in_y.sum())) + 1
+        found = common(low)
+        while found and high - low > 1:
+            middle = (low + high) // 2
+            more = common(middle)
+            found, low, high = (more, middle, high) if more else (found, low, middle)
+        return found
+
+    return patience(a, b, longest_run)
+
+
 def _hash_lines(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hashes and word counts of the lines of each text that are not blank."""
     data, offsets = text_bytes(texts)
@@ -127,14 +175,6 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def shortest_runs(words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begins and ends of the shortest runs from each line on with so many words."""
-    before = np.r_[0, np.cumsum(words, dtype=np.int64)]
-    ends = np.searchsorted(before, before[:-1] + max(1, least_words))
-    starts = np.flatnonzero(ends < len(before))
-    return starts, ends[starts]
-
-
 def _run_keys(lines: np.ndarray, words: np.ndarray, least_words: int) -> np.ndarray:
     """Hashes of the runs of two or more lines that are shortest from their first line on or
     up to their last one."""
@@ -201,7 +241,7 @@ def _align(least_words: int):
             docs, ties, starts, sizes = [], [], [], []
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "tie", "left_lines", "lines", "words")]
             for doc, tie, left, right, words in zip(*columns):
-                for _, at, n in patience(left, right):
+                for _, at, n in aligned(left, right, words, least_words):
                     if sum(words[at : at + n]) >= least_words:
                         docs.append(doc)
                         ties.append(tie)

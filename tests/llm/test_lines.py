@@ -39,3 +39,29 @@ def test_blocks_of_short_lines(spark):
     rows = [(i, "\n\n".join(x for x in lines if dice.random() < 0.75)) for i in range(120)]
     want = plain_lines.removed(rows, plain.matched_lines)
     assert 0 < sum(want.values()) and removed(spark, rows) == want
+
+
+def test_a_passage_that_the_later_document_repeats(spark):
+    p = "\n".join(text_of(f"p{i}_", 12) for i in range(3))
+    u, v, x, y, z = (text_of(name, 15) for name in "uvxyz")
+    rows = [(1, f"{u}\n{p}\n{v}"), (2, f"{x}\n{p}\n{y}\n{p}\n{z}"), (3, f"{p}\n{u}\n{p}\n{x}\n{p}")]
+    want = plain_lines.removed(rows, lambda a, b: plain_lines.matched(a, b, lambda s: len(s.split())))
+    assert removed(spark, rows) == want
+    assert want[2] == 3
+
+
+def test_blocks_in_gaps_without_anchors():
+    dice = random.Random(4)
+    more = 0
+    for _ in range(1500):
+        size = [dice.randint(1, 12) for _ in range(9)]
+        a, b = ([dice.randrange(9) for _ in range(dice.randrange(22))] for _ in range(2))
+        words = [size[x] for x in b]
+
+        def long(blocks):
+            return {(i, j, n) for i, j, n in blocks if sum(words[j : j + n]) >= 20}
+
+        got = long(line_dedup.aligned(a, b, words, 20))
+        assert got == long(plain_lines.blocks_of(plain_lines.matched(a, b, size.__getitem__)))
+        more += len(got - long(line_dedup.patience(a, b)))
+    assert more > 0
