@@ -1,6 +1,7 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts the n-grams of a bounded sample of labelled documents in Spark. The matrix
+Training counts the n-grams of a bounded sample of labelled documents in Spark, drawn within
+each language, so that a rare language is learned however many rows the others have. The matrix
 of log-probabilities (languages by buckets) is broadcast, and batches of texts are scored as
 sparse rows: the buckets of a text's n-grams point at rows of the matrix, which are summed
 by text. A batch is worked through in chunks of bounded length, also within a long text.
@@ -30,9 +31,12 @@ ORDERS = (2, 3)
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 MAX_TRAINING_DOCUMENTS = 8000
-"""Documents to learn from: a sample by hash of the id with about this many."""
+"""Documents to learn from, about: all of the small languages, and as many of each other one,
+by hash of the id and text."""
+LEAST_OF_LANGUAGE = 30
+"""Documents of a language that has so many, however small the sample."""
 MAX_LANGUAGES = 256
-"""Languages to learn: the commonest of the sample. Bounds the matrix to 64 MB."""
+"""Languages to learn: those with most labelled documents. Bounds the matrix to 64 MB."""
 CHUNK_CELLS = 1 << 20
 
 _PREDICTED = (T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()))
@@ -103,43 +107,56 @@ class LanguageModel:
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (language, bucket) for all texts of a task, with the number of texts in
-    bucket -1. At most one row of counts for each language seen is held."""
+    """Counts of (language, bucket) for all texts of a task. At most one row of counts for
+    each language to learn is held."""
     counts: dict[str, np.ndarray] = {}
     for batch in small_batches(batches, "text"):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            own = counts.setdefault(lang, np.zeros(BUCKETS + 1, dtype=np.int64))
-            own[BUCKETS] += 1
+            own = counts.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
             for cells in grams(text):
-                own[:BUCKETS] += np.bincount(cells, minlength=BUCKETS)
+                own += np.bincount(cells, minlength=BUCKETS)
     for lang, own in counts.items():
         full = np.flatnonzero(own)
-        buckets = np.where(full == BUCKETS, -1, full).astype(np.int32)
-        yield pa.record_batch([pa.array([lang] * len(full), pa.string()), pa.array(buckets), pa.array(own[full])], ["lang", "bucket", "n"])
+        yield pa.record_batch([pa.array([lang] * len(full), pa.string()), pa.array(full.astype(np.int32)), pa.array(own[full])], ["lang", "bucket", "n"])
+
+
+def quota(sizes: list[int], most: int) -> float:
+    """How many documents to take of a language at most, so that there are ``most`` in all."""
+    left = most
+    for i, n in enumerate(sorted(sizes)):
+        each = left / (len(sizes) - i)
+        if n > each:
+            return max(each, LEAST_OF_LANGUAGE)
+        left -= n
+    return float("inf")
 
 
 def train(labelled: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> LanguageModel:
-    """Learn from ``labelled`` (doc_id, lang, text): from about ``most`` of its rows, chosen by
-    the hash of their id. Counts are summed in Spark; what reaches the driver is bounded by
+    """Learn from ``labelled`` (doc_id, lang, text): from about ``most`` of its rows, chosen
+    within each language by the hash of their id and text. A language's prior is its share of
+    all labelled rows. Counts are summed in Spark; what reaches the driver is bounded by
     languages times buckets."""
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    n = labelled.count()
-    steps = 1 << 20
-    chosen = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(steps)) < max(1, steps * most // max(n, 1))
-    sample = labelled.where(chosen).select("lang", "text") if n > most else labelled.select("lang", "text")
+    commonest = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    texts = {r["lang"]: r["n"] for r in commonest.collect()}
+    languages = sorted(texts)
+    matrix = np.full((BUCKETS, len(languages)), SMOOTHING)
+    if not languages:
+        return LanguageModel(languages, matrix.astype(np.float32), np.zeros(0))
+    steps = 1 << 40
+    each = quota(list(texts.values()), most)
+    below = {lang: steps if n <= each else int(steps * each / n) for lang, n in texts.items()}
+    limits = F.create_map(*[F.lit(x).cast(kind) for lang in languages for x, kind in ((lang, "string"), (below[lang], "long"))])
+    chosen = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(steps)) < F.try_element_at(limits, F.col("lang"))
+    sample = labelled.where(chosen).select("lang", "text")
     counts = sample.mapInArrow(_sample_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
-    langs, buckets, n = found["lang"].to_pylist(), found["bucket"].to_numpy(), found["n"].to_numpy()
-    texts = {langs[i]: int(n[i]) for i in np.flatnonzero(buckets == -1)}
-    languages = sorted(sorted(texts, key=lambda x: (-texts[x], x))[:MAX_LANGUAGES])
     place = {lang: i for i, lang in enumerate(languages)}
-    matrix = np.full((BUCKETS, len(languages)), SMOOTHING)
-    column = np.array([place.get(lang, -1) for lang in langs], dtype=np.int64)
-    use = (column >= 0) & (buckets >= 0)
-    matrix[buckets[use], column[use]] += n[use]
-    logs = np.log(matrix) - np.log(matrix.sum(axis=0)) if languages else matrix
+    column = np.array([place[lang] for lang in found["lang"].to_pylist()], dtype=np.int64)
+    matrix[found["bucket"].to_numpy(), column] += found["n"].to_numpy()
+    logs = np.log(matrix) - np.log(matrix.sum(axis=0))
     share = np.array([texts[lang] for lang in languages], dtype=float)
-    return LanguageModel(languages, logs.astype(np.float32), np.log(share / share.sum()) if languages else share)
+    return LanguageModel(languages, logs.astype(np.float32), np.log(share / share.sum()))
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
