@@ -72,3 +72,28 @@ smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents d JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+_TERMS = r"""
+regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')
+"""
+
+ORACLES["op13_ranked_search"] = f"""
+WITH terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sizes),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+held AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, totals GROUP BY term, all_docs
+),
+scores AS (
+    SELECT item_id, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+    FROM wanted JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+    GROUP BY item_id, doc_id
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setwise.llm import bpe, exact_dedup, language, line_dedup, mixing, ngram_join, quality, substrings, token_counts, warc, whitening
+from setwise.llm import bpe, exact_dedup, language, line_dedup, mixing, ngram_join, quality, ranking, substrings, token_counts, warc, whitening
 from setwise.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,8 @@ def op12_embedding_whitening(spark, sf):
     whitened = whitening.whiten(load(spark, sf, "embeddings"))
     # A deviation beyond 64 bits (some ten million rows on) is null here; the decimal has it.
     return whitened.withColumnRenamed("deviation", "exact_deviation").withColumn("deviation", F.expr("try_cast(exact_deviation AS BIGINT)"))
+
+
+@query
+def op13_ranked_search(spark, sf):
+    return ranking.search(load(spark, sf, "documents"), load(spark, sf, "benchmark"))

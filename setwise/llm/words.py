@@ -119,8 +119,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inside = ~_SEPARATOR[data]
+def word_ranges(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
+    inside = ~separator[data]
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
