@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setwise.llm import bpe, exact_dedup, language, line_dedup, mixing, ngram_join, quality, ranking, substrings, token_counts, warc, whitening
+from setwise.llm import (
+    bpe, exact_dedup, language, line_dedup, mixing, ngram_join, pii, quality, ranking, substrings, token_counts, warc, whitening,
+)
 from setwise.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +81,12 @@ def op10_ngram_jaccard_join(spark, sf):
     return ngram_join.near_duplicates(load(spark, sf, "documents"))
 
 
+@query
+def op11_personal_data(spark, sf):
+    found = pii.find_spans(load(spark, sf, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
 @query
 def op12_embedding_whitening(spark, sf):
     whitened = whitening.whiten(load(spark, sf, "embeddings"))
