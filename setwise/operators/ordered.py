@@ -22,6 +22,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from setwise.session import cut
+
 CHUNK = "__chunk"
 MAX_ROWS = 2_000_000
 """Rows of one session that a single task may sort and scan."""
@@ -299,32 +301,51 @@ def row_numbers(df: DataFrame, axis: Axis, out: str) -> DataFrame:
     return cumulate(df, axis, sums={out: F.lit(1)})
 
 
+def near_border(before: int, after: int, row: str = "__row", rows: str = "__rows") -> Column:
+    """Is a row, by its number in the chunk, so near a border that it matters to the chunks
+    around, or these to it?"""
+    reach = max(before, after)
+    return (F.col(row) <= reach) | (F.col(row) > F.col(rows) - reach)
+
+
+def numbered(df: DataFrame, axis: Axis) -> DataFrame:
+    """Add ``__row`` and ``__rows``: the number of the row in its chunk and their count."""
+    return df.withColumns({"__row": F.row_number().over(axis.rows()), "__rows": F.count(F.lit(1)).over(axis.everything())})
+
+
+def beyond_border(axis: Axis, value: str, before: int, after: int) -> Column:
+    """The maximum over the rows of other chunks that lie within reach, for rows near a
+    border. Only these rows are needed, in order: the ``before`` rows ahead of one near the
+    begin of its chunk are near a border too, and so are the ``after`` rows behind one near
+    the end, also where chunks have fewer rows than that."""
+    w = Window.partitionBy(*axis.keys).orderBy(CHUNK, "__row")
+    found = [F.lit(None)]
+    if before:
+        found.append(F.when(F.col("__row") <= before, F.max(value).over(w.rowsBetween(-before, -1))))
+    if after:
+        found.append(F.when(F.col("__row") > F.col("__rows") - after, F.max(value).over(w.rowsBetween(1, after))))
+    return F.greatest(*found, F.lit(None))
+
+
 @ordered
-def rolling_max(
-    df: DataFrame, axis: Axis, value: Column, out: str, before: int, after: int, block_rows: int = 200_000
-) -> DataFrame:
+def rolling_max(df: DataFrame, axis: Axis, value: Column, out: str, before: int, after: int) -> DataFrame:
     """Add the maximum over the ``before`` previous to the ``after`` next rows.
 
-    A chunked axis numbers the rows, cuts sessions into equal blocks and lends each
-    block the few rows its neighbours need at the border.
+    On a chunked axis the rows are shuffled once, by chunk, and written with the maximum
+    inside the chunk. The few rows near a border are put in order by session, and what they
+    find beyond it comes back as one row a chunk.
     """
-    if axis.chunk is None:
-        return df.withColumn(out, F.max(value).over(axis.rows().rowsBetween(-before, after)))
-    block_rows = max(block_rows, before + after + 1)
-    at = (F.col("__row") - 1) % block_rows
-    home = F.floor((F.col("__row") - 1) / block_rows)
-    guests = F.array_compact(
-        F.array(
-            home,
-            F.when(at < after, home - 1),
-            F.when(at >= block_rows - before, home + 1),
-        )
-    )
-    w = Window.partitionBy(*axis.keys, "__block").orderBy("__row").rowsBetween(-before, after)
-    return (
-        row_numbers(df, axis, "__row")
-        .withColumns({"__home": home, "__block": F.explode(guests)})
-        .withColumn(out, F.max(value).over(w))
-        .where("__block = __home")
-        .drop("__row", "__home", "__block")
+    frame = axis.rows().rowsBetween(-before, after)
+    if axis.chunk is None or not before + after:
+        return df.withColumn(out, F.max(value).over(frame))
+    rows = numbered(df.withColumn("__value", value), axis)
+    rows = cut(rows.withColumn(out, F.max("__value").over(frame)))
+    near = near_border(before, after)
+    edges = rows.where(near).select(*axis.cell, "__row", "__rows", "__value")
+    edges = edges.withColumn("__beyond", beyond_border(axis, "__value", before, after))
+    found = edges.groupBy(*axis.cell).agg(
+        F.map_from_entries(F.collect_list(F.struct("__row", "__beyond"))).alias("__found")
     )
+    joined = rows.join(found, axis.cell, "left")
+    higher = F.greatest(F.col(out), F.element_at("__found", F.col("__row")))
+    return joined.withColumn(out, F.when(near, higher).otherwise(F.col(out))).drop("__value", "__row", "__rows", "__found")

@@ -218,7 +218,7 @@ def label_session(df: DataFrame, axis: Axis, legacy: bool = False) -> DataFrame:
     else:
         rows = axis.split(df)
         labels = _label(cut(_state_changes(rows, axis)), axis, legacy, settle=cut)
-        labelled = _hold_labels(rows.drop(*BUTTONS), labels, axis)
+        labelled = hold_labels(rows.drop(*BUTTONS), labels, axis)
     labelled = labelled.withColumn("relative_time", F.col(axis.time) - F.col("__run_start"))
     return labelled.drop("__run_start", CHUNK)
 
@@ -230,7 +230,7 @@ def _state_changes(rows: DataFrame, axis: Axis) -> DataFrame:
     return narrow.withColumn("__before", F.lag(state).over(axis.rows())).where(~state.eqNullSafe(F.col("__before"))).drop("__before")
 
 
-def _hold_labels(rows: DataFrame, labels: DataFrame, axis: Axis) -> DataFrame:
+def hold_labels(rows: DataFrame, labels: DataFrame, axis: Axis) -> DataFrame:
     """Give each row the labels of the latest change in its chunk. A union and one
     window: the wide rows are shuffled once, by chunk, and not joined."""
     held = [c for c in labels.columns if c not in {*axis.cell, *axis.order}]

@@ -165,7 +165,7 @@ def rolling_max_values(spark, sf):
 @query
 def rolling_max_chunked(spark, sf):
     df, axis = sessions(spark, sf, chunked=True)
-    return rolling_max(df, axis, F.col("value"), "highest", 5, 3, block_rows=20).select(*ID, "highest")
+    return rolling_max(df, axis, F.col("value"), "highest", 5, 3).select(*ID, "highest")
 
 
 @query
@@ -206,14 +206,14 @@ def _marked(spark, sf, chunked=False, legacy=False):
     """Sessions whose own labels stand for predictions."""
     df, axis = sessions(spark, sf, chunked)
     df = signals.label_session(df, axis)
-    if chunked:  # several scans follow; read the labels back instead of repeating them
+    if chunked:  # read twice: for the stretches and to give these to the rows
         df = cut(df)
     rule = "legacy" if legacy else "both_zero"
-    return phases.mark_phases(df, axis, rest_rule=rule, legacy=legacy, ), axis
+    return phases.mark_phases(df, axis, rest_rule=rule, legacy=legacy), axis
 
 
-def _phases(spark, sf, chunked=False, legacy=False):
-    marked, axis = _marked(spark, sf, chunked, legacy)
+def _phases(spark, sf, legacy=False):
+    marked, axis = _marked(spark, sf, legacy=legacy)
     table = phases.phase_table(marked, ("filename",), "time_us")
     return table, phases.phase_axis(axis.chunk)
 
@@ -223,11 +223,27 @@ def movement_runs(spark, sf):
     return _marked(spark, sf)[0].select(*ID, phases.LABEL, "events", "events_groups")
 
 
+@query
+def movement_runs_chunked(spark, sf):
+    return _marked(spark, sf, chunked=True)[0].select(*ID, phases.LABEL, "events", "events_groups")
+
+
 @query
 def phase_spans(spark, sf):
     return _phases(spark, sf)[0]
 
 
+def _phases_of_chunks(spark, sf):
+    """Phases of sessions in chunks, straight from their labelled rows."""
+    df, axis = sessions(spark, sf, chunked=True)
+    return phases.phases_of(signals.label_session(df, axis), axis, ("filename",)), axis
+
+
+@query
+def phase_spans_chunked(spark, sf):
+    return _phases_of_chunks(spark, sf)[0]
+
+
 @query
 def phase_spans_legacy(spark, sf):
     return _phases(spark, sf, legacy=True)[0]
@@ -247,7 +263,7 @@ def session_summary(spark, sf):
 
 @query
 def session_summary_chunked(spark, sf):
-    return phases.session_summary(phases.set_ids(*_phases(spark, sf, chunked=True)), ("filename",))
+    return phases.summarise_phases(*_phases_of_chunks(spark, sf), ("filename",))
 
 
 @query

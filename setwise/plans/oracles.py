@@ -309,12 +309,16 @@ FROM e GROUP BY filename""",
   CASE WHEN up = 0 OR dn = 0 THEN time_vector ELSE 0 END AS rest_time FROM d""",
         _DIRECTIONS,
     ),
-    "movement_runs": _s(
-        """SELECT filename, event_id, start_end_excercise_id, events, events_groups::BIGINT AS events_groups
+    **{
+        name: _s(
+            """SELECT filename, event_id, start_end_excercise_id, events, events_groups::BIGINT AS events_groups
 FROM marked""",
-        *_marked(),
-    ),
+            *_marked(),
+        )
+        for name in ("movement_runs", "movement_runs_chunked")
+    },
     "phase_spans": _s(_PHASES, *_marked()),
+    "phase_spans_chunked": _s(_PHASES, *_marked()),
     "phase_spans_legacy": _s(
         _PHASES.replace("rest_time,", "rest_time::DOUBLE AS rest_time,"), *_marked(legacy=True)
     ),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from setwise.contract import GOLD_ROWS_PER_FILE, PRODUCTION, RUN_NAME, SUMMARY
 from setwise.operators.models import chained_specs, score_chained
 from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
-from setwise.operators.phases import mark_phases, phase_axis, phase_table, session_summary, set_ids
+from setwise.operators.phases import mark_phases, phase_table, summarise_phases
 from setwise.session import cut
 from setwise.sources.change_log import KINDS, ChangeLog, commit_read, last_read
 from setwise.sources.files import exists, partition_folder, remove
@@ -21,11 +21,7 @@ from setwise.sources.tables import read_report, read_table, read_touched, replac
 
 def summarise(marked: DataFrame, axis: Axis) -> DataFrame:
     """Per-session summary of rows that carry predictions and phase markers."""
-    session = ("filename", "measure_date")
-    phases = phase_table(marked, session)
-    if axis.chunk is not None:
-        phases = cut(phases)  # a long session may also have many phases
-    return session_summary(set_ids(phases, phase_axis(axis.chunk)), session)
+    return summarise_phases(phase_table(marked), axis)
 
 
 @dataclass(frozen=True)

@@ -161,7 +161,7 @@ def test_scans_carry_over_chunk_borders(spark, axis):
     df = samples(spark, **texts).withColumn("v", F.when(F.col("peak") == 1, F.col("time_vector")))
     df = cumulate(df, axis, sums={"n": F.lit(1), "peaks": F.col("peak")}, last={"seen": F.col("v")})
     df = neighbours(row_numbers(df, axis, "rn"), axis, lag={"prev": F.col("rn")}, lead={"next": F.col("rn")})
-    df = rolling_max(df, axis, F.col("v"), "high", 3, 2, block_rows=7)
+    df = rolling_max(df, axis, F.col("v"), "high", 3, 2)
     for rows in by_session(df, "v", "n", "peaks", "seen", "rn", "prev", "next", "high", "peak").values():
         peaks, seen = 0, None
         for i, (v, n, p, s, rn, prev, after, high, peak) in enumerate(rows):
@@ -171,6 +171,21 @@ def test_scans_carry_over_chunk_borders(spark, axis):
             assert (prev, after) == (i or None, i + 2 if i + 1 < len(rows) else None)
 
 
+@pytest.mark.parametrize("before, after", [(50, 50), (5, 0), (0, 4), (1, 9), (0, 0)])
+@pytest.mark.parametrize("chunk", [0.005, 0.035, 0.21, 0.9])
+def test_rolling_max_over_chunks_of_any_size(spark, before, after, chunk):
+    """Chunks of one row, shorter and longer than the reach, and gaps between rows."""
+    draw = random.Random(8)
+    rows = [(f"s{n}", draw.choice([0.01, 0.01, 0.3]) * i, i, draw.choice([None, *range(50)])) for n in range(4) for i in range(150)]
+    df = spark.createDataFrame(rows, "filename string, time_vector double, n int, v int").repartition(5)
+    plain = Axis(("filename",), "time_vector", ("n",))
+    high = [
+        sorted(map(tuple, rolling_max(df, axis, F.col("v"), "high", before, after).collect()), key=repr)
+        for axis in (plain, Axis(plain.keys, plain.time, plain.ties, chunk))
+    ]
+    assert high[0] == high[1]
+
+
 def test_fit_axis_chunks_only_heavy_sessions(spark):
     df = samples(spark, small="....", heavy="." * 500)
     assert fit_axis(df, ("filename",), "time_vector").chunk is None
