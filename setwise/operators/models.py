@@ -11,6 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from setwise.contract import (
     DOWN_LABEL, DOWN_MODEL, FEATURE_COLUMN, FEATURES, FOLDS, FOREST_PARAMS, SCALED_COLUMN, SET_LABEL, SET_MODEL,
@@ -105,3 +106,29 @@ def score_chained(df: DataFrame, set_model: PipelineModel, up: PipelineModel, do
     no join by key is needed. The set label is passed on before any smoothing."""
     df = predict(set_model, df, SET_LABEL)
     return predict(down, predict(up, df, UP_LABEL), DOWN_LABEL)
+
+
+def fold_metrics(scored: DataFrame, label: str, prediction: str, fold: str = "fold") -> DataFrame:
+    """``confusion_metrics`` of each fold, from stored predictions in one pass."""
+    return confusion_metrics(scored, label, prediction, by=(fold,))
+
+
+def out_of_fold(
+    specs: Sequence[ModelSpec], df: DataFrame, group: str, path: str, folds: int = FOLDS, seed: int = SPLIT_SEED
+) -> DataFrame:
+    """Predictions of chained models for rows they were not fitted on, stored by fold.
+
+    Whole groups form a fold. For each, the models are fitted on the others and score it; a
+    later model gets the prediction of the first one, as in production. What a row was labelled
+    is kept as ``told_<label>``. A fold is written as a whole, so a run that is repeated after
+    a failure replaces what it had.
+    """
+    labels = {spec.label: f"told_{spec.label}" for spec in specs}
+    rows = df.withColumn("fold", key_bucket(group, seed + 1, folds))
+    for fold in range(folds):
+        rest, own = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+        scored = own.withColumnsRenamed(labels)
+        for spec in specs:
+            scored = predict(fit(spec, rest, seed), scored, spec.label)
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fold").parquet(path)
+    return df.sparkSession.read.parquet(path)

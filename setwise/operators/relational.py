@@ -68,16 +68,17 @@ def latest(df: DataFrame, by: str, n: int = 1, ties: Sequence[str] = ()) -> Data
     return df.orderBy(*[F.col(c).desc_nulls_last() for c in (by, *ties)]).limit(n)
 
 
-def confusion_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """Accuracy, weighted precision, weighted recall and weighted F1 in one row.
+def confusion_metrics(df: DataFrame, label: str, prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, weighted precision, weighted recall and weighted F1: one row, or one for
+    each value of ``by``.
 
     One aggregation over the rows; the rest works on the (class, class) counts.
     """
-    counts = df.groupBy(F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    pairs = [F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p")]
+    counts = df.groupBy(*by, *pairs).agg(F.count(F.lit(1)).alias("n"))
     # Each count is a row of its label and a column of its prediction.
     sides = counts.select(
+        *by,
         F.explode(
             F.array(
                 F.struct(F.col("l").alias("c"), F.col("n").alias("actual"), F.lit(0).cast("long").alias("called")),
@@ -85,13 +86,13 @@ def confusion_metrics(df: DataFrame, label: str, prediction: str = "prediction")
             )
         ).alias("s"),
         F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(0).alias("hit"),
-    ).select("s.*", F.when(F.col("s.actual") > 0, F.col("hit")).otherwise(0).alias("hits"))
-    classes = sides.groupBy("c").agg(F.sum("actual").alias("a"), F.sum("called").alias("b"), F.sum("hits").alias("h"))
+    ).select(*by, "s.*", F.when(F.col("s.actual") > 0, F.col("hit")).otherwise(0).alias("hits"))
+    classes = sides.groupBy(*by, "c").agg(F.sum("actual").alias("a"), F.sum("called").alias("b"), F.sum("hits").alias("h"))
     precision = F.coalesce(F.try_divide("h", "b"), F.lit(0.0))
     recall = F.coalesce(F.try_divide("h", "a"), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
     total = F.sum("a")
-    return classes.agg(
+    return classes.groupBy(*by).agg(
         (F.sum("h") / total).alias("accuracy"),
         (F.sum(F.col("a") * precision) / total).alias("weighted_precision"),
         (F.sum(F.col("a") * recall) / total).alias("weighted_recall"),

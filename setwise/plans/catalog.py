@@ -841,6 +841,56 @@ def train_run(spark, sf):
     return measured[0].unionByName(measured[1]).unionByName(measured[2]).join(stored, "model")
 
 
+def _own_labels(spark, sf):
+    """Sessions with the labels that their own buttons give, and what each sample was."""
+    df, axis = sessions(spark, sf)
+    number = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(float(n))) for k, n in KINDS.items()])
+    rows = signals.label_session(df, axis).withColumn("kind", number)
+    return cut(rows.select(*ID, "kind", models.SET_LABEL, models.UP_LABEL, models.DOWN_LABEL))
+
+
+# Trees that split as long as there is anything to tell apart, and one tree on all rows in
+# place of a forest: each prediction is then the commonest label of equal inputs, which SQL
+# can work out.
+PLAIN_TREE = {"maxBins": 32, "maxDepth": 16, "minInfoGain": 0.0, "minInstancesPerNode": 1, "impurity": "entropy"}
+PLAIN_FOREST = {"numTrees": 1, "bootstrap": False, "maxDepth": 16, "maxBins": 32, "minInfoGain": 0.0, "impurity": "entropy"}
+
+
+@query
+def own_label_scores(spark, sf):
+    """What the chained models say of sessions they have not seen, by fold."""
+    specs = models.chained_specs(("kind",), PLAIN_TREE, PLAIN_FOREST)
+    scored = models.out_of_fold(specs, _own_labels(spark, sf), "filename", work_dir(spark, "folds"))
+    labels = [c for spec in specs for c in (f"told_{spec.label}", spec.label)]
+    return scored.select(*ID, "fold", *labels)
+
+
+@query
+def own_label_folds(spark, sf):
+    """Size and metrics of each fold of the set model, from its stored predictions."""
+    spec = models.chained_specs(("kind",), PLAIN_TREE)[0]
+    scored = models.out_of_fold([spec], _own_labels(spark, sf), "filename", work_dir(spark, "folds"))
+    told = f"told_{spec.label}"
+    sizes = scored.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("filename").alias("sessions"), F.count_if(F.col(told) != 0).alias("in_sets")
+    )
+    metrics = models.fold_metrics(scored, told, spec.label)
+    rounded = [F.round(c, 9).alias(c) for c in metrics.columns if c != "fold"]
+    return sizes.join(metrics.select("fold", *rounded), "fold")
+
+
+@query
+def own_label_run(spark, sf):
+    """Train and store on the sessions' own labels; what the run store says of the models. In a
+    fold, a chained model may meet inputs it was not fitted on, so only the first one's
+    validation is told."""
+    store, rows = RunStore(spark, work_dir(spark, "models")), _own_labels(spark, sf)
+    train(rows, store, ("kind",), tree=PLAIN_TREE, forest=PLAIN_FOREST)
+    metric = lambda name: F.round(F.col("metrics")[name], 9).alias(name)
+    told = store.runs().select("model", *map(metric, ("accuracy", "weighted_precision", "weighted_recall", "f1", "cv_f1")))
+    return told.withColumn("cv_f1", F.when(F.col("model") == C.SET_MODEL, F.col("cv_f1")))
+
+
 def _sensor_rows(spark, sf):
     """The labelled events in the shape of the silver tables. Times are whole microseconds,
     so that all spans are exact."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from setwise.contract import FOLDS, SPLIT_SEED, TRAIN_PERCENT
+from setwise.contract import DOWN_MODEL, FOLDS, SET_MODEL, SPLIT_SEED, TRAIN_PERCENT, UP_MODEL
 
 # One session per user.
 _SESSIONS = """
@@ -514,3 +514,95 @@ ORACLES["score_sessions"] = _s(
 FROM totals LEFT JOIN votes ON votes.filename = totals.filename AND votes.place = 1""",
     _PREDICTED, *_marked()[len(_label()):], *_SETS, *_SUMMARY,
 )
+
+# Models on the sessions' own labels: a prediction is the commonest label of the rows with
+# equal inputs in the sessions that a model was fitted on, the smaller one among equals.
+_OWN = [
+    *_label(),
+    f"""
+l AS (
+  SELECT filename, event_id, event_type, start_end_excercise_id AS told_set, concentric AS told_up, eccentric AS told_down,
+    (('0x' || substr(md5('{SPLIT_SEED + 1}' || filename::VARCHAR), 1, 8))::BIGINT % {FOLDS})::INTEGER AS fold,
+    ('0x' || substr(md5('{SPLIT_SEED}' || filename::VARCHAR), 1, 8))::BIGINT % 100 < {TRAIN_PERCENT} AS train
+  FROM labelled)""",
+    f"""
+folds AS (SELECT unnest(range({FOLDS}))::INTEGER AS fold)""",
+]
+
+
+def _commonest(name: str, label: str, inputs: str, rows: str, key: str = "f.fold") -> str:
+    """Votes of the rows outside a fold, or of those in ``rows``."""
+    keys = f"{key}, {inputs}" if key else inputs
+    return f"""
+{name} AS (
+  SELECT {f"{key} AS fold, " if key else ""}{inputs}, {label} AS p FROM {rows} GROUP BY {keys}, {label}
+  QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY count(*) DESC, {label}) = 1)"""
+
+
+def _metrics(scored: str, told: str, said: str, by: str) -> str:
+    """Accuracy and weighted precision, recall and F1 for each value of ``by``."""
+    return f"""
+SELECT {by}, sum(h) / sum(a) AS accuracy, sum(a * coalesce(h / nullif(b, 0), 0)) / sum(a) AS weighted_precision,
+  sum(a * coalesce(h / nullif(a, 0), 0)) / sum(a) AS weighted_recall,
+  sum(a * coalesce(2 * h / nullif(a + b, 0), 0)) / sum(a) AS f1
+FROM (
+  SELECT {by}, c, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b, sum(h)::DOUBLE AS h FROM (
+    SELECT {by}, {told} AS c, 1 AS a, 0 AS b, ({told} = {said})::INTEGER AS h FROM {scored}
+    UNION ALL SELECT {by}, {said}, 0, 1, 0 FROM {scored})
+  GROUP BY {by}, c)
+GROUP BY {by}"""
+
+
+def _rounded(*columns: str) -> str:
+    return ", ".join(f"round({c}, 9) AS {c}" for c in columns)
+
+
+_MEASURES = ("accuracy", "weighted_precision", "weighted_recall", "f1")
+_OUTSIDE = "l JOIN folds f ON l.fold <> f.fold"
+_SET_SCORES = [
+    _commonest("set_votes", "told_set", "event_type", _OUTSIDE),
+    """
+by_set AS (SELECT l.*, v.p AS said_set FROM l JOIN set_votes v USING (fold, event_type))""",
+]
+ORACLES["own_label_scores"] = _s(
+    """SELECT filename, event_id, s.fold, s.told_set AS told_start_end_excercise_id, said_set::DOUBLE AS start_end_excercise_id,
+  told_up AS told_concentric, u.p::DOUBLE AS concentric, told_down AS told_eccentric, d.p::DOUBLE AS eccentric
+FROM by_set s LEFT JOIN up_votes u ON u.fold = s.fold AND u.event_type = s.event_type AND u.told_set = said_set
+  LEFT JOIN down_votes d ON d.fold = s.fold AND d.event_type = s.event_type AND d.told_set = said_set""",
+    *_OWN, *_SET_SCORES,
+    _commonest("up_votes", "told_up", "event_type, told_set", _OUTSIDE),
+    _commonest("down_votes", "told_down", "event_type, told_set", _OUTSIDE),
+)
+ORACLES["own_label_folds"] = _s(
+    f"""SELECT n.fold, n, sessions, in_sets, {_rounded(*_MEASURES)}
+FROM (SELECT fold, count(*) AS n, count(DISTINCT filename) AS sessions, count(*) FILTER (told_set <> 0) AS in_sets FROM l GROUP BY fold) n
+JOIN measured USING (fold)""",
+    *_OWN, *_SET_SCORES, f"\nmeasured AS ({_metrics('by_set', 'told_set', 'said_set', 'fold')})",
+)
+
+
+def _model_run(model: str, label: str, inputs: str) -> tuple[list[str], str]:
+    """One model as ``train`` measures it: validated by fold on four fifths of the sessions,
+    tested on the others; both fitted on the labels themselves."""
+    n = label.removeprefix("told_")
+    equal = " AND ".join(f"v.{c} = l.{c}" for c in inputs.split(", "))
+    validated = f"(SELECT round(avg(f1), 9) FROM {n}_folds)" if inputs == "event_type" else "NULL::DOUBLE"
+    ctes = [
+        f"\n{n}_rows AS (SELECT * FROM l WHERE train)",
+        _commonest(f"{n}_out", label, inputs, f"{n}_rows l JOIN folds f ON l.fold <> f.fold"),
+        f"\n{n}_cv AS (SELECT l.*, v.p AS said FROM {n}_rows l JOIN {n}_out v ON v.fold = l.fold AND {equal})",
+        f"\n{n}_folds AS ({_metrics(f'{n}_cv', label, 'said', 'fold')})",
+        _commonest(f"{n}_all", label, inputs, f"{n}_rows", ""),
+        f"\n{n}_test AS (SELECT '{model}' AS model, l.*, v.p AS said FROM l JOIN {n}_all v ON {equal} WHERE NOT train)",
+        f"\n{n}_run AS ({_metrics(f'{n}_test', label, 'said', 'model')})",
+    ]
+    return ctes, f"""
+SELECT model, {_rounded(*_MEASURES)}, {validated} AS cv_f1 FROM {n}_run"""
+
+
+_MODEL_RUNS = [
+    _model_run(SET_MODEL, "told_set", "event_type"),
+    _model_run(UP_MODEL, "told_up", "event_type, told_set"),
+    _model_run(DOWN_MODEL, "told_down", "event_type, told_set"),
+]
+ORACLES["own_label_run"] = _s(" UNION ALL ".join(body for _, body in _MODEL_RUNS), *_OWN, *[c for ctes, _ in _MODEL_RUNS for c in ctes])
