@@ -19,7 +19,7 @@ from setwise.plans.training import train
 from setwise.plans.views import event_rows, load, sessions
 from setwise.session import cut, work_dir
 from setwise.sources import tables
-from setwise.sources.change_log import ChangeLog, diff_changes, read_incrementally
+from setwise.sources.change_log import ChangeLog, diff_changes, new_rows
 from setwise.sources.run_store import RunStore
 from setwise.sources.session_files import rescue_cells
 from setwise.streaming.ingest import ingest
@@ -537,7 +537,7 @@ def upsert_null_partition(spark, sf):
     out = []
     for most in (tables.PRUNED_KEYS, 1):
         target = work_dir(spark, "orders")
-        for updates in (known, delivery.where("o_orderkey % 2 = 0")):
+        for updates in (known, delivery):
             updates = updates.withColumn(ORDER_PART, unknown)
             tables.upsert(spark, target, updates, ORDER_KEYS, ORDER_PART, max_listed=most)
         out.append(tables.read_table(spark, target).withColumn("listed", F.lit(most > 1)))
@@ -579,83 +579,67 @@ def upsert_changes(spark, sf):
     return log.read(tables.read_table(spark, target).schema, 0, None, kinds, keep_meta=True).drop("_commit_timestamp")
 
 
-@query
-def incremental_read(spark, sf):
-    """A reader that runs after each version and appends what is new to it."""
-    log = ChangeLog(spark, work_dir(spark, "log"))
-    target, seen, watermark = (work_dir(spark, n) for n in ("orders", "seen", "watermark"))
-
-    def consume():
-        new = read_incrementally(tables.read_table(spark, target), log, watermark)
-        rows = new.frame.withColumn("read_version", F.lit(new.version).cast("long"))
-        tables.append_table(rows, seen)
-        new.commit()
-
-    _upserted(spark, target, sf, log, between=consume)
-    return tables.read_table(spark, seen)
-
+def _reader(log, schema, times=1):
+    """A reader that runs as a stream and writes what is new to it, with the batch that
+    brought it. ``times``: how often it does its work for a batch."""
+    seen, checkpoint = (work_dir(log.spark, n) for n in ("seen", "checkpoint"))
 
-class _Crash(Exception):
-    pass
+    def use(records, batch):
+        for _ in range(times):
+            rows = new_rows(records, batch).withColumn("read_version", F.lit(batch).cast("long"))
+            rows.write.mode("overwrite").parquet(f"{seen}/batch={batch}")
 
+    def read():
+        log.follow(schema, checkpoint, use)
+        return log.spark.read.parquet(seen).drop("batch")
 
-class _DiesBeforeCommit(ChangeLog):
-    def commit(self, staged):
-        raise _Crash
+    return read
 
 
-class _DiesBeforeTable(ChangeLog):
-    def write(self, changes, version):
-        raise _Crash
-
-
-def _broken_off(spark, target, updates, log):
-    try:
-        tables.upsert(spark, target, updates, ORDER_KEYS, ORDER_PART, log=log, delivery="second")
-    except _Crash:
-        return
-    raise AssertionError("the writer should have died")
+@query
+def incremental_read(spark, sf):
+    """A reader that runs after each version and keeps what is new to it."""
+    log, target = ChangeLog(spark, work_dir(spark, "log")), work_dir(spark, "orders")
+    read = _reader(log, load(spark, sf, "orders").schema)
+    _upserted(spark, target, sf, log, between=read)
+    return read()
 
 
 @query
 def incremental_read_after_crash(spark, sf):
-    """A writer dies with the table written and the version not committed; the reader runs
-    for the first time then, and again after the writer's retry."""
-    path, (target, seen, watermark) = work_dir(spark, "log"), (work_dir(spark, n) for n in ("orders", "seen", "watermark"))
-    log, (known, delivery) = ChangeLog(spark, path), _order_versions(spark, sf)
-    tables.upsert(spark, target, known, ORDER_KEYS, ORDER_PART, log=log, delivery="first")
-    _broken_off(spark, target, delivery, _DiesBeforeCommit(spark, path))
-    for retry in (True, False):
-        new = read_incrementally(tables.read_table(spark, target), log, watermark)
-        tables.append_table(new.frame.withColumn("read_version", F.lit(new.version).cast("long")), seen)
-        new.commit()
-        if retry:
-            tables.upsert(spark, target, delivery, ORDER_KEYS, ORDER_PART, log=log, delivery="second")
-    return tables.read_table(spark, seen)
+    """As after crashes: every delivery comes twice, and the reader does its work twice."""
+    log, target = ChangeLog(spark, work_dir(spark, "log")), work_dir(spark, "orders")
+    read = _reader(log, load(spark, sf, "orders").schema, times=2)
+    for version, updates in enumerate(_order_versions(spark, sf)):
+        for _ in range(2):
+            tables.upsert(spark, target, updates, ORDER_KEYS, ORDER_PART, log=log, delivery=version)
+        read()
+    return read()
 
 
 @query
 def feed_after_retry(spark, sf):
-    """A writer dies after staging; before its retry the source has grown. The feed has
-    every order once, in the version that brought it to the table."""
-    path, target = work_dir(spark, "log"), work_dir(spark, "orders")
-    log, (known, delivery) = ChangeLog(spark, path), _order_versions(spark, sf)
-    tables.upsert(spark, target, known, ORDER_KEYS, ORDER_PART, log=log, delivery="first")
-    _broken_off(spark, target, delivery.where("o_orderdate < '1997-01-01'"), _DiesBeforeTable(spark, path))
-    tables.upsert(spark, target, delivery, ORDER_KEYS, ORDER_PART, log=log, delivery="second")
-    tables.upsert(spark, target, delivery, ORDER_KEYS, ORDER_PART, log=log, delivery="third")
+    """A delivery comes again after its source has grown. The feed has every order once, in
+    the version that brought it to the table."""
+    log, target = ChangeLog(spark, work_dir(spark, "log")), work_dir(spark, "orders")
+    known, delivery = _order_versions(spark, sf)
+    deliveries = (0, known), (1, delivery.where("o_orderdate < '1997-01-01'")), (1, delivery), (2, delivery)
+    for version, updates in deliveries:
+        tables.upsert(spark, target, updates, ORDER_KEYS, ORDER_PART, log=log, delivery=version)
     return log.read(known.schema, 0, keep_meta=True).select("o_orderkey", "_commit_version")
 
 
 @query
 def file_sizes(spark, sf):
-    """The largest file of a table that is overwritten with a cap of 300 rows a file."""
+    """The largest file of a table that is overwritten with a cap of 300 rows a file, after
+    it was written with another one."""
     tables.create_database(spark, "setwise_check", work_dir(spark, "warehouse"))
     name = f"setwise_check.events_{work_dir(spark, 'n').rsplit('-', 1)[1]}"
     rows = load(spark, sf, "events").select("event_id", "event_type")
     out = []
     for kind, target in (("catalog", name), ("path", work_dir(spark, "events"))):
-        tables.overwrite_partitions(rows, target, "event_type", 300)
+        for most in (2000, 300):
+            tables.overwrite_partitions(rows, target, "event_type", most)
         files = tables.read_table(spark, target).groupBy(F.col("_metadata.file_path")).count()
         out.append(files.agg(F.lit(kind).alias("target"), (F.max("count") <= 300).alias("capped"), F.sum("count").alias("n")))
     return out[0].unionByName(out[1])

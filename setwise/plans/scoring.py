@@ -5,15 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from setwise.contract import GOLD_ROWS_PER_FILE, PRODUCTION, RUN_NAME, SUMMARY
 from setwise.operators.models import chained_specs, score_chained
 from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
 from setwise.operators.phases import mark_phases, phase_table, summarise_phases
 from setwise.session import cut
-from setwise.sources.change_log import KINDS, ChangeLog, commit_read, last_read
+from setwise.sources.change_log import ChangeLog
 from setwise.sources.files import exists, partition_folder, remove
 from setwise.sources.run_store import RunStore
 from setwise.sources.tables import read_report, read_table, read_touched, replace_partitions, write_report
@@ -32,13 +32,13 @@ class ScoringJob:
     Gold and the reports are partitioned by session, and a session replaces what was there;
     one that has left the production table is removed. So a session that came in several
     deliveries has one summary, and a run that is repeated after a failure gives the same
-    tables. The watermark moves last.
+    tables. The change log is followed as a stream, whose ``checkpoint`` moves last.
     """
 
     spark: SparkSession
     production: str
     log: ChangeLog
-    watermark: str
+    checkpoint: str
     store: RunStore
     gold: str
     reports: str
@@ -47,46 +47,49 @@ class ScoringJob:
     legacy: bool = False
     max_rows: int = MAX_ROWS
 
-    def _touched(self, version: int | None, last: int | None) -> DataFrame:
-        """The sessions with any change that was not read before."""
-        if last is None:
-            return read_table(self.spark, self.production, PRODUCTION).select("filename").distinct()
-        return self.log.read(PRODUCTION, last + 1, version, KINDS).select("filename").distinct()
-
     def run(self) -> DataFrame | None:
         """The summary of the changed sessions, or None if nothing has changed."""
-        spark = self.spark
-        version, last = self.log.latest(), last_read(spark, self.watermark)
-        if version is None or (last is not None and version <= last):
-            return None
-        touched = cut(self._touched(version, last))
-        if touched.isEmpty():
-            commit_read(spark, self.watermark, version, 0)
-            return None
         specs = chained_specs()
         run = self.store.latest(self.run_name, models=len(specs))
         if run is None:
             raise LookupError(f"no complete run named {self.run_name}")
         models = [self.store.load(run["run_id"], spec.name) for spec in specs]
+        scored: list[DataFrame] = []
+
+        def use(records: DataFrame, batch: int) -> None:
+            touched = cut(records.select("filename").distinct())
+            if not touched.isEmpty():
+                self._score(touched, models)
+                scored.append(touched)
+
+        self.log.follow(PRODUCTION, self.checkpoint, use)
+        if not scored:
+            return None
+        touched = scored[0]
+        for more in scored[1:]:
+            touched = touched.union(more)
+        return read_report(touched.sparkSession, self.reports, SUMMARY).join(touched, "filename", "left_semi")
+
+    def _score(self, touched: DataFrame, models: list[PipelineModel]) -> None:
+        spark = touched.sparkSession
         sessions = read_touched(spark, self.production, touched, "filename", PRODUCTION)
         axis = fit_axis(sessions, ("filename",), "time_vector", max_rows=self.max_rows)
-        # Scored once: the frame is read for the gold rows, the summary and the row count,
-        # and on a chunked axis several times by the scans.
+        # Scored once: the frame is read for the gold rows and the summary, and on a chunked
+        # axis twice by the scans.
         scored = score_chained(sessions, *models).persist(StorageLevel.DISK_ONLY)
         marked = mark_phases(scored, axis, rest_rule=self.rest_rule, legacy=self.legacy).persist(StorageLevel.DISK_ONLY)
         try:
             replace_partitions(marked, self.gold, "filename", touched, GOLD_ROWS_PER_FILE)
             write_report(summarise(marked, axis), self.reports)
             self._drop_reports(touched, marked)
-            commit_read(spark, self.watermark, version, marked.count())
         finally:
             marked.unpersist()
             scored.unpersist()
-        return read_report(spark, self.reports, SUMMARY).join(touched, "filename", "left_semi")
 
     def _drop_reports(self, touched: DataFrame, marked: DataFrame) -> None:
+        spark = touched.sparkSession
         gone = touched.join(marked.select("filename").distinct(), "filename", "left_anti")
         for row in gone.toLocalIterator():
-            folder = partition_folder(self.spark, self.reports, "filename", row["filename"])
-            if exists(self.spark, folder):
-                remove(self.spark, folder)
+            folder = partition_folder(spark, self.reports, "filename", row["filename"])
+            if exists(spark, folder):
+                remove(spark, folder)

@@ -1,60 +1,26 @@
-"""Change records of a table by version, and reads that continue where they stopped.
+"""Change records of a table by version, and readers that follow them as a stream.
 
-Layout below the log's path: ``staged/N`` with the outcome of a version before it is applied,
-``openings/`` with one row per staged version, ``changes/_commit_version=N/`` with the changed
-rows, and ``commits/`` with one row per finished version. A version counts once its commit row
-is there, which is after the table has it. The log numbers its versions itself; a delivery
-keeps its number when it is repeated.
+``changes/_commit_version=N/`` holds the changed rows of version N; the folder appears there
+as a whole, after the table has them. Versions are the numbers of deliveries, such as the
+batch ids of the stream that writes, so a delivery that is repeated finds its version there.
+Readers are streams over these folders: the checkpoint of a reader remembers what it read.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from setwise.sources.files import remove
+from setwise.sources.files import exists, make_folder, names_in, remove, rename
 
-META = ("_change_type", "_commit_version", "_commit_timestamp")
+VERSION = "_commit_version"
+META = ("_change_type", VERSION, "_commit_timestamp")
 KINDS = ("insert", "update_preimage", "update_postimage", "delete")
-_VERSIONS = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("delivery", T.StringType()),
-        T.StructField("at", T.TimestampType()),
-    ]
-)
-_WATERMARKS = T.StructType(
-    [
-        T.StructField("readVersion", T.LongType()),
-        T.StructField("n_rows", T.LongType()),
-        T.StructField("read_at", T.TimestampType()),
-    ]
-)
-
-
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-@dataclass(frozen=True)
-class Staged:
-    """A version being written: whether its outcome is stored, and whether it is finished."""
-
-    version: int
-    delivery: str
-    ready: bool = False
-    committed: bool = False
 
 
 @dataclass(frozen=True)
@@ -62,63 +28,32 @@ class ChangeLog:
     spark: SparkSession
     path: str
 
-    def commits(self) -> DataFrame:
-        return _read_or_empty(self.spark, f"{self.path}/commits", _VERSIONS)
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/changes/{VERSION}={version}"
 
-    def openings(self) -> DataFrame:
-        return _read_or_empty(self.spark, f"{self.path}/openings", _VERSIONS)
+    def has(self, version: int) -> bool:
+        return exists(self.spark, self._folder(version))
 
     def latest(self) -> int | None:
-        return self.commits().agg(F.max("version")).first()[0]
-
-    def pending(self) -> bool:
-        """Whether a version is staged and not finished."""
-        return not self.openings().join(self.commits(), "version", "left_anti").isEmpty()
-
-    def begin(self, delivery: object = None) -> Staged:
-        """The version of a delivery: its own if it was here before, else the next one."""
-        name = uuid.uuid4().hex if delivery is None else str(delivery)
-        done = self.commits().where(F.col("delivery") == name).first()
-        if done is not None:
-            return Staged(done["version"], name, ready=True, committed=True)
-        opened = self.openings()
-        own = opened.where(F.col("delivery") == name).first()
-        if own is not None:
-            return Staged(own["version"], name, ready=True)
-        last = opened.agg(F.max("version")).first()[0]
-        return Staged(0 if last is None else last + 1, name)
-
-    def stage(self, staged: Staged, outcome: DataFrame) -> DataFrame:
-        """Store the outcome of a version; from then on it is not computed again."""
-        outcome.write.mode("overwrite").parquet(self._stage_path(staged))
-        self._note("openings", staged)
-        return self.staged(staged)
-
-    def staged(self, staged: Staged) -> DataFrame:
-        return self.spark.read.parquet(self._stage_path(staged))
-
-    def _stage_path(self, staged: Staged) -> str:
-        return f"{self.path}/staged/{staged.version}"
-
-    def write(self, changes: DataFrame, version: int) -> None:
-        """Store the changes of a version; they do not count before ``commit``."""
-        (
-            changes.withColumns({"_commit_version": F.lit(version).cast("long"), "_commit_timestamp": F.now()})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_commit_version")
-            .parquet(f"{self.path}/changes")
-        )
-
-    def commit(self, staged: Staged) -> None:
-        self._note("commits", staged)
-        remove(self.spark, self._stage_path(staged))
-
-    def _note(self, what: str, staged: Staged) -> None:
-        row = self.spark.range(1).select(
-            F.lit(staged.version).cast("long").alias("version"), F.lit(staged.delivery).alias("delivery"), F.now().alias("at")
-        )
-        row.write.mode("append").parquet(f"{self.path}/{what}")
+        prefix = f"{VERSION}="
+        found = [int(n.removeprefix(prefix)) for n in names_in(self.spark, f"{self.path}/changes") if n.startswith(prefix)]
+        return max(found, default=None)
+
+    def outcome(self, version: int, make: Callable[[], DataFrame]) -> DataFrame:
+        """What ``make`` gives, written down before the table changes: a delivery that is
+        repeated goes on from there, as the table may already have it."""
+        place = f"{self.path}/outcomes/{version}"
+        if not exists(self.spark, f"{place}/_SUCCESS"):
+            make().write.mode("overwrite").parquet(place)
+        return self.spark.read.parquet(place)
+
+    def publish(self, version: int, changes: DataFrame) -> None:
+        """Show the changes of a version, all at once. The table must have them already."""
+        draft = f"{self.path}/drafts/{version}"
+        changes.withColumn("_commit_timestamp", F.now()).write.mode("overwrite").parquet(draft)
+        make_folder(self.spark, f"{self.path}/changes")
+        rename(self.spark, draft, self._folder(version))
+        remove(self.spark, f"{self.path}/outcomes/{version}")
 
     def read(
         self,
@@ -128,27 +63,55 @@ class ChangeLog:
         kinds: Sequence[str] = ("insert",),
         keep_meta: bool = False,
     ) -> DataFrame:
-        """Changed rows of the committed versions in the (inclusive) range; the version is a
-        partition column, so only its folders are read."""
+        """Changed rows of the versions in the (inclusive) range; the version is a partition
+        column, so only its folders are read."""
         if from_version is None:
             raise ValueError("from_version is needed")
-        latest = self.latest()
-        to_version = latest if to_version is None else min(to_version, -1 if latest is None else latest)
-        if to_version is None or to_version < from_version:
+        try:
+            rows = self.spark.read.schema(_with_meta(schema)).parquet(f"{self.path}/changes")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             rows = self.spark.createDataFrame([], _with_meta(schema))
-        else:
-            rows = _read_or_empty(self.spark, f"{self.path}/changes", _with_meta(schema)).where(
-                F.col("_commit_version").between(from_version, to_version)
-            )
-        rows = rows.where(F.col("_change_type").isin(*kinds))
+        wanted = (F.col(VERSION) >= from_version) & F.col("_change_type").isin(*kinds)
+        rows = rows.where(wanted if to_version is None else wanted & (F.col(VERSION) <= to_version))
         return rows if keep_meta else rows.drop(*META)
 
-    def snapshot(self, schema: T.StructType, version: int) -> DataFrame:
-        """The table as of a committed version, from its changes alone. The log must have
-        the table from its first row on."""
-        added = self.read(schema, 0, version, ("insert", "update_postimage"))
-        taken = self.read(schema, 0, version, ("update_preimage", "delete"))
-        return added.exceptAll(taken)
+    def follow(self, schema: T.StructType, checkpoint: str, use: Callable[[DataFrame, int], None]) -> None:
+        """Give the change records of all versions not seen before to ``use``, with the number
+        of the batch, and stop. A batch that fails comes again with the same records and the
+        same number, so what ``use`` writes should be replaced by it."""
+        make_folder(self.spark, f"{self.path}/changes")
+        failed: list[Exception] = []
+
+        def each(records: DataFrame, batch: int) -> None:
+            try:
+                use(records, batch)
+            except Exception as error:
+                failed.append(error)
+                raise
+
+        stream = self.spark.readStream.schema(_with_meta(schema)).parquet(f"{self.path}/changes")
+        query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if failed:
+                raise failed[0] from None
+            raise
+
+
+def new_rows(records: DataFrame, batch: int) -> DataFrame:
+    """What a reader that takes a table and then its new rows gets from a batch of change
+    records: of the first batch the table as these records make it, later the inserted rows.
+    The log must have the table from its first row on."""
+    if batch:
+        return _only(records, "insert")
+    return _only(records, "insert", "update_postimage").exceptAll(_only(records, "update_preimage", "delete"))
+
+
+def _only(records: DataFrame, *kinds: str) -> DataFrame:
+    return records.where(F.col("_change_type").isin(*kinds)).drop(*META)
 
 
 def _with_meta(schema: T.StructType) -> T.StructType:
@@ -157,7 +120,7 @@ def _with_meta(schema: T.StructType) -> T.StructType:
             *schema.fields,
             T.StructField("_change_type", T.StringType()),
             T.StructField("_commit_timestamp", T.TimestampType()),
-            T.StructField("_commit_version", T.LongType()),
+            T.StructField(VERSION, T.LongType()),
         ]
     )
 
@@ -190,49 +153,3 @@ def diff_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
         )
     )
     return joined.select(F.explode(records).alias("r")).select("r.row.*", "r._change_type")
-
-
-@dataclass(frozen=True)
-class NewRows:
-    """Rows not read before, up to ``version``. Call ``commit`` once they are used."""
-
-    frame: DataFrame
-    version: int | None
-    watermark: str
-
-    def commit(self, n_rows: int | None = None) -> None:
-        if self.version is not None:
-            commit_read(self.frame.sparkSession, self.watermark, self.version, n_rows)
-
-
-def commit_read(spark: SparkSession, watermark: str, version: int, n_rows: int | None = None) -> None:
-    """Remember that everything up to ``version`` was used."""
-    row = spark.range(1).select(
-        F.lit(version).cast("long").alias("readVersion"), F.lit(n_rows).cast("long").alias("n_rows"), F.now().alias("read_at")
-    )
-    row.write.mode("append").parquet(watermark)
-
-
-def last_read(spark: SparkSession, watermark: str) -> int | None:
-    return _read_or_empty(spark, watermark, _WATERMARKS).agg(F.max("readVersion")).first()[0]
-
-
-def read_incrementally(table: DataFrame, log: ChangeLog, watermark: str) -> NewRows:
-    """The whole table on the first run, later the rows inserted since the last commit.
-
-    Only committed versions are read. If a version is being written, or was broken off, the
-    table may already have its rows; the first run then takes the table of the last committed
-    version from the log. The watermark moves only by ``commit``, so a run that fails is read
-    again.
-    """
-    spark = log.spark
-    current, last = log.latest(), last_read(spark, watermark)
-    if last is None:
-        if not log.pending():
-            return NewRows(table, current, watermark)
-        if current is None:
-            return NewRows(spark.createDataFrame([], table.schema), None, watermark)
-        return NewRows(log.snapshot(table.schema, current).select(*table.columns), current, watermark)
-    if current is None or current <= last:
-        return NewRows(spark.createDataFrame([], table.schema), None, watermark)
-    return NewRows(log.read(table.schema, last + 1, current).select(*table.columns), current, watermark)

@@ -86,10 +86,13 @@ def create_table(
     spark.sql(" ".join(statement))
 
 
-def _require_dynamic(spark: SparkSession, name: str) -> None:
+def _require_dynamic(spark: SparkSession, name: str, max_rows_per_file: int) -> None:
+    """The table must replace single partitions, and a cap that is asked for becomes its own."""
     told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Storage Properties'").first()
     if told is None or _DYNAMIC not in told["data_type"]:
         raise ValueError(f"{name} would lose its other partitions; make it with create_table")
+    if max_rows_per_file and f"maxRecordsPerFile={max_rows_per_file}]" not in told["data_type"].replace(",", "]"):
+        spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ('maxRecordsPerFile' = '{max_rows_per_file}')")
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition: str, max_rows_per_file: int = 0) -> None:
@@ -97,14 +100,14 @@ def overwrite_partitions(df: DataFrame, target: str, partition: str, max_rows_pe
 
     Rows are gathered by partition value before the write; adaptive execution cuts a
     value with too many rows into several tasks and packs small ones together. A table
-    that is not there is created.
+    that is not there is created; one that has another cap on the rows of a file gets this.
     """
     spark = df.sparkSession
     spread = df.hint("rebalance", partition)
     if not is_path(target):
         if not table_exists(spark, target):
             create_table(spark, target, df.schema, [partition], max_rows_per_file=max_rows_per_file)
-        _require_dynamic(spark, target)
+        _require_dynamic(spark, target, max_rows_per_file)
         spread.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
         return
     (
@@ -245,7 +248,7 @@ def upsert(
     partition: str,
     schema: T.StructType | None = None,
     log: ChangeLog | None = None,
-    delivery: object = None,
+    delivery: int | None = None,
     replace: DataFrame | None = None,
     latest_by: str | None = None,
     max_listed: int | None = None,
@@ -255,28 +258,27 @@ def upsert(
     With ``replace``, a frame of partition values, the updates are all there is of these:
     old rows without an update go.
 
-    With a ``log`` the outcome is staged before anything changes, then the changes and the
-    table are written from there, and the version is committed last. A ``delivery`` (a name
-    that is not used twice) that comes again is finished from what it staged, and one that
-    is committed does nothing; so a source that has grown meanwhile makes no difference.
-    Returns the version.
+    With a ``log`` the outcome is written down first, then the table, and the changes are
+    published last, as the version ``delivery`` (the next number, if none is given). A
+    delivery that comes again is finished from its outcome, and one that is published does
+    nothing; so a source that has grown meanwhile makes no difference. Returns the version.
     """
-    staged = log.begin(delivery) if log is not None else None
-    if staged is not None and staged.committed:
-        return staged.version
+    version = None
+    if log is not None:
+        latest = log.latest()
+        version = delivery if delivery is not None else 0 if latest is None else latest + 1
+        if log.has(version):
+            return version
     whole = replace is not None
-    matched = None
-    if staged is None or not staged.ready:
-        schema = updates.schema if schema is None else schema
+
+    def match() -> DataFrame:
+        kept = updates.schema if schema is None else schema
         touched = updates.select(partition)
         touched = touched if replace is None else touched.union(replace.select(partition))
-        old = read_touched(spark, target, touched.distinct(), partition, schema, max_listed)
-        matched = match_keys(old, updates, keys, latest_by)
-    if staged is not None:
-        matched = log.stage(staged, matched) if matched is not None else log.staged(staged)
-        log.write(upsert_changes(matched, whole), staged.version)
-    else:
-        matched = matched.persist(StorageLevel.DISK_ONLY)
+        old = read_touched(spark, target, touched.distinct(), partition, kept, max_listed)
+        return match_keys(old, updates, keys, latest_by)
+
+    matched = match().persist(StorageLevel.DISK_ONLY) if log is None else log.outcome(version, match)
     try:
         rows = merged_rows(matched, whole)
         if whole:
@@ -285,10 +287,9 @@ def upsert(
             overwrite_partitions(rows, target, partition)
     finally:
         matched.unpersist()
-    if staged is None:
-        return None
-    log.commit(staged)
-    return staged.version
+    if log is not None:
+        log.publish(version, upsert_changes(matched, whole))
+    return version
 
 
 def write_report(summary: DataFrame, path: str, session: str = "filename") -> None:

@@ -51,8 +51,10 @@ class SilverJob:
     A session is always labelled as a whole: the batch only says which sessions have
     new rows, and these are read again in full, from their folders only. They replace what
     either table has of them, so a session that moves from one table to the other leaves
-    nothing behind. A batch that is delivered twice gives the same tables. ``legacy`` keeps
-    the old run ids that may merge runs.
+    nothing behind. A batch that is delivered twice gives the same tables. The change logs lie
+    beside the stream's own checkpoint, as their versions are its batch numbers: to read bronze
+    once more, remove ``checkpoint`` as a whole. ``legacy`` keeps the old run ids that may
+    merge runs.
     """
 
     spark: SparkSession
@@ -91,8 +93,6 @@ class SilverJob:
         touched = batch.select("filename").distinct()
         sessions = read_touched(spark, self.bronze, touched, "filename", C.BRONZE)
         names = touched.select(base_name("filename").alias("filename"))
-        # Batch numbers start again when a stream's checkpoint is reset; its id does not.
-        delivery = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}/{batch_id}"
         samples = prepare_samples(sessions, self.condition)
         axis = session_axis(sessions, self.max_rows)
         labelled = label_session(samples, axis, self.legacy).persist(StorageLevel.DISK_ONLY)
@@ -102,6 +102,6 @@ class SilverJob:
                 (training, self.training, C.TRAINING, self.training_log()),
                 (production, self.production, C.PRODUCTION, self.production_log()),
             ):
-                upsert(spark, target, rows, KEYS, "filename", schema, log, delivery, replace=names)
+                upsert(spark, target, rows, KEYS, "filename", schema, log, batch_id, replace=names)
         finally:
             labelled.unpersist()

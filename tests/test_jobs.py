@@ -11,7 +11,7 @@ from setwise.operators import models
 from setwise.plans import scoring, training
 from setwise.session import work_dir
 from setwise.sources import tables
-from setwise.sources.change_log import last_read
+from setwise.sources.files import exists
 from setwise.sources.run_store import RunStore
 from setwise.sources.session_files import session_files
 from setwise.streaming import silver
@@ -255,12 +255,12 @@ def test_scoring_is_incremental_and_survives_a_crash(spark, trained, monkeypatch
     landing, job, store, _ = trained
     where = work_dir(spark, "scored")
     score = scoring_job(spark, trained, where)
-    # Dies after gold, before the watermark.
+    # Dies after gold, before the checkpoint moves.
     with monkeypatch.context() as m:
         m.setattr(scoring, "write_report", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             score.run()
-    assert last_read(spark, score.watermark) is None
+    assert not exists(spark, f"{score.checkpoint}/commits/0")
     summary = score.run()
     assert summary.count() == 3
     gold = tables.read_table(spark, score.gold)

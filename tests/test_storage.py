@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from setwise.session import cut, shared_dir, work_dir
 from setwise.sources import tables
-from setwise.sources.change_log import KINDS, ChangeLog, diff_changes, last_read, read_incrementally
+from setwise.sources.change_log import KINDS, ChangeLog, diff_changes, new_rows
 from setwise.sources.session_files import rescue_cells
 
 SCHEMA = "k int, v string, part string"
@@ -54,38 +54,48 @@ def fail(*args, **kwargs):
     raise OSError("lost")
 
 
-STEPS = [(ChangeLog, "stage"), (ChangeLog, "write"), (tables, "overwrite_partitions"), (ChangeLog, "commit")]
+def reader(spark, log):
+    """A reader that keeps what is new; returns a function that runs it."""
+    seen, checkpoint = work_dir(spark, "seen"), work_dir(spark, "checkpoint")
+
+    def use(records, batch):
+        new_rows(records, batch).write.mode("overwrite").parquet(f"{seen}/batch={batch}")
+
+    def read():
+        log.follow(frame(spark).schema, checkpoint, use)
+        return content(tables.read_table(spark, seen, T.StructType([*frame(spark).schema.fields, T.StructField("batch", T.IntegerType())])))
+
+    return read
+
+
+STEPS = [(ChangeLog, "outcome"), (tables, "overwrite_partitions"), (ChangeLog, "publish")]
 
 
 @pytest.mark.parametrize("owner, step", STEPS)
 def test_an_upsert_survives_a_crash_at_any_point(spark, monkeypatch, owner, step):
-    """The retry finishes what was staged, though the source has grown; a reader that runs
-    for the first time between sees every row once."""
+    """The retry finishes what was written down, though the source has grown; a reader that
+    runs for the first time between sees every row once."""
     target, log = work_dir(spark, "t"), ChangeLog(spark, work_dir(spark, "log"))
-    upsert(spark, target, [(1, "a", "x"), (3, "c", "y")], log, "one")
+    upsert(spark, target, [(1, "a", "x"), (3, "c", "y")], log, 0)
     second = [(1, "A", "x"), (2, "b", "x"), (3, "c", "y")]
     with monkeypatch.context() as m:
         m.setattr(owner, step, fail)
         with pytest.raises(OSError):
-            upsert(spark, target, second, log, "two")
+            upsert(spark, target, second, log, 1)
     assert log.latest() == 0
-    mark = work_dir(spark, "w")
-    new = read_incrementally(tables.read_table(spark, target), log, mark)
-    assert content(new.frame) == [(1, "a", "x"), (3, "c", "y")] and new.version == 0
-    seen = content(new.frame)
-    new.commit()
+    read = reader(spark, log)
+    assert read() == [(1, "a", "x", 0), (3, "c", "y", 0)]
     grown = [*second, (4, "d", "x")]
     for _ in range(2):  # once to finish, once as a second delivery
-        assert upsert(spark, target, grown if step != "stage" else second, log, "two") == 1
+        assert upsert(spark, target, grown if step != "outcome" else second, log, 1) == 1
     assert content(tables.read_table(spark, target)) == [(1, "A", "x"), (2, "b", "x"), (3, "c", "y")]
     kinds = ("insert", "update_preimage", "update_postimage")
     changes = log.read(frame(spark).schema, 1, 1, kinds, True).drop("_commit_timestamp")
     assert content(changes) == [
         (1, "A", "x", "update_postimage", 1), (1, "a", "x", "update_preimage", 1), (2, "b", "x", "insert", 1),
     ], "unchanged rows are not logged"
-    assert upsert(spark, target, grown, log, "three") == 2
-    later = read_incrementally(tables.read_table(spark, target), log, mark)
-    assert sorted(seen + content(later.frame)) == [(1, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", "x")]
+    assert upsert(spark, target, grown, log) == 2
+    assert read() == read() == [(1, "a", "x", 0), (2, "b", "x", 1), (3, "c", "y", 0), (4, "d", "x", 1)]
 
 
 def test_an_upsert_can_replace_partitions(spark):
@@ -99,8 +109,8 @@ def test_an_upsert_can_replace_partitions(spark):
         (1, "a", "x", "delete"), (2, "B", "x", "update_postimage"), (2, "b", "x", "update_preimage"),
         (3, "c", "y", "delete"), (5, "e", "x", "insert"),
     ]
-    assert content(log.snapshot(frame(spark).schema, 1)) == content(tables.read_table(spark, target))
-    assert content(log.snapshot(frame(spark).schema, 0)) == [(1, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", "z")]
+    read = reader(spark, log)
+    assert [r[:3] for r in read()] == content(tables.read_table(spark, target)), "the first batch makes the table"
 
 
 def test_one_row_per_key(spark):
@@ -131,31 +141,43 @@ def test_only_touched_folders_are_listed(spark):
     assert content(rows) == [(7, "v", "p 7:")] and len(rows.inputFiles()) == 1
 
 
-def test_reads_continue_after_the_last_commit(spark):
-    target, mark = work_dir(spark, "t"), work_dir(spark, "w")
-    log = ChangeLog(spark, work_dir(spark, "log"))
-    read = lambda: read_incrementally(tables.read_table(spark, target), log, mark)
+def test_reads_continue_after_the_last_batch(spark):
+    target, log = work_dir(spark, "t"), ChangeLog(spark, work_dir(spark, "log"))
+    assert log.latest() is None and log.read(frame(spark).schema, 0).isEmpty()
+    read = reader(spark, log)
+    assert read() == []
     upsert(spark, target, [(1, "a", "x")], log, 0)
-    first = read()
-    assert content(first.frame) == [(1, "a", "x")] and first.version == 0
-    assert content(read().frame) == [(1, "a", "x")], "nothing is taken as read before commit"
-    first.commit(1)
-    nothing = read()
-    assert nothing.version is None and nothing.frame.isEmpty() and nothing.frame.columns == ["k", "v", "part"]
-    nothing.commit()
-    assert last_read(spark, mark) == 0
+    assert read() == read() == [(1, "a", "x", 0)]
     upsert(spark, target, [(1, "A", "x"), (2, "b", "x")], log, 1)
     upsert(spark, target, [(3, "c", "y")], log, 2)
-    new = read()
-    assert content(new.frame) == [(2, "b", "x"), (3, "c", "y")] and new.version == 2
-    new.commit(2)
-    assert last_read(spark, mark) == 2
+    assert read() == [(1, "a", "x", 0), (2, "b", "x", 1), (3, "c", "y", 1)]
     assert content(log.read(frame(spark).schema, 1, 1)) == [(2, "b", "x")]
     assert log.read(frame(spark).schema, 7).isEmpty()
+    late = reader(spark, log)
+    assert late() == [(1, "A", "x", 0), (2, "b", "x", 0), (3, "c", "y", 0)]
     with pytest.raises(ValueError):
         log.read(frame(spark).schema, None)
 
 
+def test_a_reader_that_fails_reads_again(spark):
+    target, log = work_dir(spark, "t"), ChangeLog(spark, work_dir(spark, "log"))
+    upsert(spark, target, [(1, "a", "x")], log)
+    seen, checkpoint, told = work_dir(spark, "seen"), work_dir(spark, "checkpoint"), []
+
+    def use(records, batch):
+        new_rows(records, batch).write.mode("overwrite").parquet(f"{seen}/batch={batch}")
+        told.append(batch)
+        if len(told) < 3:
+            fail()
+
+    for _ in range(2):
+        with pytest.raises(OSError):
+            log.follow(frame(spark).schema, checkpoint, use)
+    upsert(spark, target, [(2, "b", "x")], log)
+    log.follow(frame(spark).schema, checkpoint, use)
+    assert told == [0, 0, 0, 1] and content(spark.read.parquet(seen)) == [(1, "a", "x", 0), (2, "b", "x", 1)]
+
+
 def test_diff_changes(spark):
     old = frame(spark, (1, "a", "x"), (2, "b", "x"), (3, None, "x"))
     new = frame(spark, (2, "B", "x"), (3, None, "x"), (4, "d", "x"))
@@ -206,6 +228,9 @@ def test_overwrite_caps_the_rows_of_a_file_and_makes_the_table(spark):
             tables.overwrite_partitions(rows.withColumn("part", F.lit(part)), target, "part", 30)
         files = tables.read_table(spark, target).groupBy("part", F.col("_metadata.file_path")).count()
         assert files.agg(F.max("count"), F.sum("count")).first() == (30, 200)
+        tables.overwrite_partitions(rows.withColumn("part", F.lit("x")), target, "part", 7)
+        files = tables.read_table(spark, target).where("part = 'x'").groupBy(F.col("_metadata.file_path")).count()
+        assert files.agg(F.max("count"), F.sum("count")).first() == (7, 100)
     spark.sql("CREATE TABLE capped.other (k LONG, part STRING) USING parquet PARTITIONED BY (part)")
     with pytest.raises(ValueError):
         tables.overwrite_partitions(rows, "capped.other", "part")
