@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setwise.operators.ordered import Axis, cumulate, ordered
+from setwise.operators.ordered import MAX_ROWS, Axis, cumulate, fit_axis, ordered
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -41,6 +42,15 @@ def hold_last(df: DataFrame, axis: Axis, **values: Column) -> DataFrame:
     return cumulate(df, axis, last=values)
 
 
+def fit_both(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = (), max_rows: int = MAX_ROWS
+) -> Axis:
+    """An axis that suits the rows of both sides together, as they are scanned together: a
+    session may be heavy on either side, or only with both."""
+    narrow = [side.select(*keys, time) for side in (left, right)]
+    return replace(fit_axis(narrow[0].unionAll(narrow[1]), tuple(keys), time, max_rows=max_rows), ties=tuple(ties))
+
+
 def align_hold_last(
     left: DataFrame, right: DataFrame, axis: Axis, columns: Sequence[str], stamp: str | None = None
 ) -> DataFrame:

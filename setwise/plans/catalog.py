@@ -469,6 +469,20 @@ def asof_hold_last_chunked(spark, sf):
     return relational.align_hold_last(views, clicks, axis, ["click_value"], stamp="click_us")
 
 
+@query
+def asof_heavy_right(spark, sf):
+    """The latest click by the time of each view, where a third of all users share one device
+    and so one session: few views, and clicks that are too many for one task."""
+    device = F.when(F.col("filename") % 3 == 0, F.lit(0)).otherwise(F.col("filename"))
+    rows = event_rows(spark, sf).withColumn("device", device)
+    views = rows.where("event_type = 'view' AND (device <> 0 OR filename = 0 OR value > 90)").select("device", "event_id", "ts_us")
+    clicks = rows.where("event_type = 'click'").select("device", "ts_us")
+    axis = relational.fit_both(views, clicks, ("device",), "ts_us", ("event_id",), max_rows=20)
+    if axis.chunk is None:
+        raise AssertionError("the clicks of the shared device are a heavy session")
+    return relational.align_hold_last(views, clicks, axis, [], stamp="click_us")
+
+
 @query
 def top1_latest(spark, sf):
     return relational.latest(load(spark, sf, "events"), "ts", ties=["event_id"]).select("event_id", "user_id")
@@ -703,6 +717,23 @@ def stream_silver(spark, sf):
     return _silver_rows(spark, training, production)
 
 
+@query
+def capped_batches(spark, sf):
+    """A stream that may read a fifth of the bytes at a time reads every row once."""
+    bronze = _ingested(spark, sf)
+    sizes = spark.read.schema(C.BRONZE).parquet(bronze).select("_metadata.file_path", "_metadata.file_size").distinct()
+    cap = sizes.agg(F.sum("file_size")).first()[0] // 5
+    training, production, state = (work_dir(spark, n) for n in ("training", "production", "state"))
+    job = SilverJob(spark, bronze, training, production, state, max_bytes=cap)
+    job.run()
+    fits = F.bool_and((F.col("n_bytes") <= cap) | (F.col("n_files") == 1))
+    told = job.batches().agg(
+        (F.count(F.lit(1)) >= 5).alias("several"), fits.alias("capped"), F.sum("n_rows").alias("n_rows"), F.sum("n_files").alias("n_files")
+    )
+    once = sizes.agg(F.count(F.lit(1)).alias("all_files"))
+    return told.join(once, F.col("n_files") == F.col("all_files")).select("several", "capped", "n_rows")
+
+
 @query
 def stream_silver_split(spark, sf):
     """Each history comes in two deliveries, the first up to the first event with a button,

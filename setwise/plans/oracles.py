@@ -398,6 +398,13 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
 SELECT o_orderkey, o_custkey AS c_custkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "asof_hold_last": _s(_ASOF),
     "asof_hold_last_chunked": _s(_ASOF),
+    "asof_heavy_right": """
+WITH r AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS device, user_id, event_id, event_type, value, epoch_us(ts) AS ts_us FROM events),
+c AS (SELECT DISTINCT device, ts_us FROM r WHERE event_type = 'click')
+SELECT v.device, v.event_id, v.ts_us, c.ts_us AS click_us
+FROM (SELECT * FROM r WHERE event_type = 'view' AND (device <> 0 OR user_id = 0 OR value > 90)) v
+ASOF LEFT JOIN c ON v.device = c.device AND v.ts_us >= c.ts_us""",
     "top1_latest": "SELECT event_id, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1",
     "distinct_keys": "SELECT DISTINCT user_id FROM events",
     "sorted_scan": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey",
@@ -499,6 +506,7 @@ SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS user_id, (p
 }
 # However the deliveries are cut, the tables are those of whole sessions.
 ORACLES["stream_silver_split"] = ORACLES["stream_silver"]
+ORACLES["capped_batches"] = "SELECT true AS several, true AS capped, count(*) AS n_rows FROM events"
 
 # The scoring job with labels by rule, instead of those that buttons give.
 _PREDICTED = f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +18,8 @@ from setwise.sources.change_log import ChangeLog
 from setwise.sources.tables import is_path, read_touched, upsert
 
 KEYS = ("filename", "time_vector")
+FILE = "__file"
+BATCHES = "batch int, n_files long, n_rows long, n_bytes long, largest long"
 
 
 def prepare_samples(bronze: DataFrame, condition: Column | None = None, device: str = C.SUPPORTED_DEVICE) -> DataFrame:
@@ -78,6 +80,7 @@ class SilverJob:
         limit = ("maxFilesPerTrigger", self.max_files) if self.max_files else ("maxBytesPerTrigger", self.max_bytes)
         reader = self.spark.readStream.option(*limit)
         rows = reader.schema(C.BRONZE).parquet(self.bronze) if is_path(self.bronze) else reader.table(self.bronze)
+        rows = rows.withColumn(FILE, F.struct("_metadata.file_path", "_metadata.file_size"))
         query = (
             rows.writeStream.foreachBatch(self.update)
             .outputMode("append")
@@ -88,8 +91,31 @@ class SilverJob:
         query.awaitTermination()
         return query
 
+    def batches(self) -> DataFrame:
+        """What each micro-batch read: ``batch``, ``n_files``, ``n_rows``, ``n_bytes`` and
+        ``largest``, the bytes of its largest file."""
+        return self.spark.read.schema(BATCHES).parquet(f"{self.checkpoint}/batches")
+
+    def _note(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Write down the size of the batch, in the pass that finds its sessions."""
+        seen, found = Observation(), [F.count(F.lit(1)).alias("n_rows")]
+        files = batch.observe(seen, *found).groupBy("filename", FILE).agg(F.count(F.lit(1)).alias("n"))
+        files = files.persist(StorageLevel.DISK_ONLY)
+        size = F.col(f"{FILE}.file_size")
+        sizes = files.select(FILE).distinct().agg(
+            F.count(F.lit(1)).alias("n_files"), F.sum(size).alias("n_bytes"), F.max(size).alias("largest")
+        )
+        row = sizes.first()
+        told = self.spark.range(1).select(
+            F.lit(row["n_files"]).cast("long").alias("n_files"), F.lit(seen.get["n_rows"]).cast("long").alias("n_rows"),
+            F.lit(row["n_bytes"]).cast("long").alias("n_bytes"), F.lit(row["largest"]).cast("long").alias("largest"),
+        )
+        told.write.mode("overwrite").parquet(f"{self.checkpoint}/batches/batch={batch_id}")
+        return files
+
     def update(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = self._note(batch, batch_id) if FILE in batch.columns else batch
         touched = batch.select("filename").distinct()
         sessions = read_touched(spark, self.bronze, touched, "filename", C.BRONZE)
         names = touched.select(base_name("filename").alias("filename"))
@@ -105,3 +131,4 @@ class SilverJob:
                 upsert(spark, target, rows, KEYS, "filename", schema, log, batch_id, replace=names)
         finally:
             labelled.unpersist()
+            batch.unpersist()

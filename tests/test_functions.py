@@ -107,6 +107,16 @@ def test_hold_last_takes_the_latest_packet(spark, chunk):
     assert rows[("a", 6.0)] == rows[("a", 7.0)] == (None, 6.0)
 
 
+def test_an_axis_fits_both_sides(spark):
+    """The left side has few rows; its axis alone would put the whole right side in one task."""
+    left = spark.createDataFrame([("a", float(t)) for t in range(0, 1000, 100)], "k string, t double")
+    right = spark.createDataFrame([("a", float(t), t) for t in range(1000)] + [("b", 1.0, 1)], "k string, t double, w int")
+    axis = relational.fit_both(left, right, ("k",), "t", max_rows=50)
+    assert axis.chunk is not None and relational.fit_both(left, left, ("k",), "t", max_rows=50).chunk is None
+    got = relational.align_hold_last(left, right, axis, ["w"]).collect()
+    assert {(r["t"], r["w"]) for r in got} == {(float(t), t) for t in range(0, 1000, 100)}
+
+
 def marked_rows(spark):
     """Two sets of squats with a pause: (time, code, concentric, eccentric)."""
     script = [(0, 0, 0), (0, 0, 0), (7, 1, 0), (7, 1, 0), (7, 0, 0), (7, 0, 1), (7, 0, 1), (0, 0, 0), (0, 0, 0),
