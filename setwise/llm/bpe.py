@@ -2,7 +2,8 @@
 
 A text is split into words and these into runs of letters, single digits and runs of other
 characters; each run is encoded on its own, once for each different word of a batch of
-texts. A run that nothing splits can be as long as the text. It is cut into pieces, the
+texts. Words with characters newer than the tables here are normalised and split by the
+tokenizer's own library. A run that nothing splits can be as long as the text. It is cut into pieces, the
 pieces are encoded in parallel, and neighbours are joined in a tree: the tokens around the
 join are encoded again, in windows that grow until the first and the last token of the
 window agree with what both sides had. Every two neighbours are then encoded as they would be
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -28,6 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from setwise.llm.common import whole
 from setwise.llm.merges import NEVER, merge
@@ -60,6 +63,15 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def _settled() -> frozenset[str]:
+    """Characters that were letters, digits or signs already in the Unicode of 2002. On these
+    Python, the splitting pattern and the library agree, whatever version each was made for;
+    words with any other character are left to the library. The tests go through all."""
+    kind = unicodedata.ucd_3_2_0.category
+    return frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if kind(c) not in ("Cn", "Cs", "Co"))
+
+
 Joined = list[str]
 
 
@@ -76,6 +88,7 @@ class WordVocabulary:
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self._split = regex.compile(SPLIT)
         self._letters = byte_letters()
+        self._library = Tokenizer.from_file(path)
 
     def symbols(self, run: str) -> list[str]:
         """The bytes of a run as letters, the last one with the mark of the word's end."""
@@ -86,6 +99,9 @@ class WordVocabulary:
     def runs(self, word: str) -> list[str]:
         """A word without white space, normalised and split."""
         if not word.isascii():
+            if not _settled().issuperset(word):
+                word = self._library.normalizer.normalize_str(word)
+                return [word[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(word)]
             word = unicodedata.normalize("NFC", word)
         # Each character on its own: str.lower() would look at the neighbours of a sigma.
         word = "".join(c.lower() for c in word) if "Σ" in word else word.lower()
@@ -274,8 +290,8 @@ def _with_giants(rows: DataFrame, path: str, form: str, giant: int) -> DataFrame
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
-            both = []
-            for parts in batch.column("parts").to_pylist():
+            for row in range(batch.num_rows):  # one giant text at a time
+                parts = batch.column("parts")[row].as_py()
                 tokens: Joined = []
                 i = 0
                 while i < len(parts):
@@ -284,8 +300,7 @@ def _with_giants(rows: DataFrame, path: str, form: str, giant: int) -> DataFrame
                         j += 1
                     tokens += encoder.vocabulary.join_all([p["tokens"].split(" ") for p in parts[i:j]])
                     i = j
-                both.append(encoder.shown(tokens))
-            yield _output(batch.column("doc_id"), both, form)
+                yield _output(batch.column("doc_id").slice(row, 1), [encoder.shown(tokens)], form)
 
     columns = "part int, piece boolean, run int"
     parts = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(cut, f"row long, doc_id {kind}, {columns}, text string")
