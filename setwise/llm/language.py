@@ -13,12 +13,12 @@ so repeated ids and texts make no difference. An empty table gives an empty resu
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,15 +35,20 @@ MAX_TRAINING_DOCUMENTS = 8000
 by hash of the id and text."""
 LEAST_OF_LANGUAGE = 30
 """Documents of a language that has so many, however small the sample."""
-MAX_LANGUAGES = 256
-"""Languages to learn: those with most labelled documents. Bounds the matrix to 64 MB."""
+MAX_CELLS = 1 << 24
+"""Cells of the matrix, 64 MB. Beyond 256 languages they share fewer buckets; all are learned."""
 CHUNK_CELLS = 1 << 20
 
 _PREDICTED = (T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()))
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
-def grams(text: str) -> Iterator[np.ndarray]:
+def bucket_count(languages: int) -> int:
+    """A power of two: as many as ``BUCKETS``, or as fit ``MAX_CELLS``."""
+    return min(BUCKETS, 1 << max(4, (MAX_CELLS // max(1, languages)).bit_length() - 1))
+
+
+def grams(text: str, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     """Buckets of the n-grams of a text, chunk by chunk; chunks overlap by the longest order
     less one, so every n-gram occurs once."""
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -54,7 +59,7 @@ def grams(text: str) -> Iterator[np.ndarray]:
             key = np.full(n, order, dtype=np.uint64)
             for i in range(order):
                 key = (key << np.uint64(21)) | part[i : i + n]
-            yield (mix(key) % np.uint64(BUCKETS)).astype(np.int64)
+            yield (mix(key) % np.uint64(buckets)).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -81,7 +86,7 @@ class LanguageModel:
             owner.clear()
 
         for i, text in enumerate(texts):
-            for cells in grams(text):
+            for cells in grams(text, len(self.logs)):
                 for at in range(0, len(cells), most):
                     held.append(cells[at : at + most])
                     owner.append(i)
@@ -106,18 +111,21 @@ class LanguageModel:
         return found, sure
 
 
-def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (language, bucket) for all texts of a task. At most one row of counts for
-    each language to learn is held."""
-    counts: dict[str, np.ndarray] = {}
-    for batch in small_batches(batches, "text"):
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            own = counts.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
-            for cells in grams(text):
-                own += np.bincount(cells, minlength=BUCKETS)
-    for lang, own in counts.items():
-        full = np.flatnonzero(own)
-        yield pa.record_batch([pa.array([lang] * len(full), pa.string()), pa.array(full.astype(np.int32)), pa.array(own[full])], ["lang", "bucket", "n"])
+def _sample_counts(buckets: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of (language, bucket) for all texts of a task: one row of counts for each
+        language is held, as many cells as the matrix has."""
+        counts: dict[str, np.ndarray] = {}
+        for batch in small_batches(batches, "text"):
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                own = counts.setdefault(lang, np.zeros(buckets, dtype=np.int64))
+                for cells in grams(text, buckets):
+                    own += np.bincount(cells, minlength=buckets)
+        for lang, own in counts.items():
+            full = np.flatnonzero(own)
+            yield pa.record_batch([pa.array([lang] * len(full), pa.string()), pa.array(full.astype(np.int32)), pa.array(own[full])], ["lang", "bucket", "n"])
+
+    return count
 
 
 def quota(sizes: list[int], most: int) -> float:
@@ -137,19 +145,19 @@ def train(labelled: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> LanguageMo
     all labelled rows. Counts are summed in Spark; what reaches the driver is bounded by
     languages times buckets."""
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    commonest = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    texts = {r["lang"]: r["n"] for r in commonest.collect()}
+    texts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(texts)
-    matrix = np.full((BUCKETS, len(languages)), SMOOTHING)
+    buckets = bucket_count(len(languages))
+    matrix = np.full((buckets, len(languages)), SMOOTHING)
     if not languages:
         return LanguageModel(languages, matrix.astype(np.float32), np.zeros(0))
     steps = 1 << 40
     each = quota(list(texts.values()), most)
     below = {lang: steps if n <= each else int(steps * each / n) for lang, n in texts.items()}
-    limits = F.create_map(*[F.lit(x).cast(kind) for lang in languages for x, kind in ((lang, "string"), (below[lang], "long"))])
-    chosen = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(steps)) < F.try_element_at(limits, F.col("lang"))
-    sample = labelled.where(chosen).select("lang", "text")
-    counts = sample.mapInArrow(_sample_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    limits = labelled.sparkSession.createDataFrame([(lang, below[lang]) for lang in languages], "of string, below long")
+    sample = labelled.join(F.broadcast(limits), F.col("lang") == F.col("of"))  # a row a language
+    sample = sample.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(steps)) < F.col("below")).select("lang", "text")
+    counts = sample.mapInArrow(_sample_counts(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
     place = {lang: i for i, lang in enumerate(languages)}
     column = np.array([place[lang] for lang in found["lang"].to_pylist()], dtype=np.int64)

@@ -24,3 +24,20 @@ def test_quota():
     assert language.quota([5, 40, 1000, 2000], 245) == 100
     assert language.quota([5, 40], 45) == float("inf")
     assert language.quota([1000] * 100, 100) == language.LEAST_OF_LANGUAGE
+
+
+def test_very_many_languages_are_all_learned(spark, monkeypatch):
+    """More than a full matrix would hold: they share fewer buckets."""
+    monkeypatch.setattr(language, "MAX_CELLS", 1 << 18)
+    words = [f"{chr(0x4E00 + 7 * i)}{chr(0x4E00 + 7 * i + 1)}" for i in range(600)]
+    rows = [(i, f"l{i:03d}", f"{words[i]} {words[i]}") for i in range(600)] * 2
+    model = language.train(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert len(model.languages) == 600 and model.logs.shape == (256, 600)
+    found, _ = model.predict([f"{w} {w}" for w in words])
+    assert sum(f == f"l{i:03d}" for i, f in enumerate(found)) >= 540
+
+
+def test_only_letters_have_a_language():
+    model = language.LanguageModel(["en"], np.zeros((language.BUCKETS, 1), dtype=np.float32), np.zeros(1))
+    assert model.predict(["½ ²", "Ⅷ ①", "١٢", "_ - 5", "", None])[0] == ["und"] * 6
+    assert model.predict(["a", "é", "漢", "ª", "1x"])[0] == ["en"] * 5
