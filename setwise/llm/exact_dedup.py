@@ -4,9 +4,11 @@ The first pass counts how many texts fall on each cell of a filter; a text can o
 a copy if all its cells were hit twice. The second pass probes the filter: rows that cannot
 have a copy go straight through, and only the others are shuffled to be compared.
 
-The filter has a bounded number of cells, packed 64 to a row, so the table that is
-broadcast has at most ``MAX_CELLS / 64`` rows. With more texts than cells the filter lets
-more rows through to the comparison; the result stays the same.
+The filter has 16 cells a text and at most ``MAX_CELLS``, packed 64 to a row, so the table
+that is broadcast has at most ``MAX_CELLS / 64`` rows. More texts than these serve are dealt
+into slices by a hash of the text: equal texts are in one slice, each slice has a filter of its
+own, and slices are worked through one after the other. So the filter tells as well for any
+number of texts.
 
 Cases: a null text equals an empty one. Of equal texts the row with the largest id stays; a
 null id counts as the smallest. Rows that repeat both text and id count in the group, and
@@ -15,10 +17,13 @@ exactly one of them stays. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setwise.llm.common import packed, store, unpacked, whole
+from setwise.session import work_dir
 
 CELLS_PER_TEXT = 16
 PROBES = 2
@@ -64,16 +69,42 @@ def with_suspicion(df: DataFrame, bloom: DataFrame, cells: int) -> DataFrame:
     return df.withColumn("suspect", suspect).drop(*extra)
 
 
-def _bloom(digests: DataFrame, max_cells: int) -> tuple[DataFrame, int]:
-    cells = cell_count(digests.count(), most=max_cells)
+def _bloom(digests: DataFrame, n: int, max_cells: int) -> tuple[DataFrame, int]:
+    cells = cell_count(n, most=max_cells)
     return store(repeated_cells(digests, cells), "bloom"), cells
 
 
+Work = Callable[[DataFrame], DataFrame]
+"""From rows that carry ``suspect`` to the result for them."""
+
+
+def _by_slices(rows: DataFrame, n: int, max_cells: int, work: Work) -> DataFrame:
+    """``work`` on ``rows`` (with a column ``digest``, ``n`` of them) once they carry
+    ``suspect``. More rows than one filter serves are written by slice first, and the results
+    of the slices are written as they come."""
+    slices = max(1, -(-n * CELLS_PER_TEXT // max(64, max_cells)))
+    if slices == 1:
+        return work(with_suspicion(rows, *_bloom(rows.select("digest"), n, max_cells)))
+    spark = rows.sparkSession
+    dealt = store(rows.withColumn("slice", F.pmod(F.xxhash64(F.lit("slice"), "digest"), F.lit(slices))), "slices", "slice")
+    path, schema = work_dir(spark, "sliced"), None
+    for i in range(slices):
+        own = dealt.where(F.col("slice") == i).drop("slice")
+        done = work(with_suspicion(own, *_bloom(own.select("digest"), -(-n // slices), max_cells)))
+        schema = done.schema
+        done.write.parquet(f"{path}/{i}")
+    return spark.read.schema(schema).parquet(*[f"{path}/{i}" for i in range(slices)])
+
+
 def copies(docs: DataFrame, key: str = "doc_id", text: str = "text", max_cells: int = MAX_CELLS) -> DataFrame:
     """Every row of ``docs`` with its group: key, ``keep_id``, ``group_size``, ``kept`` and
     the ``text_sha256``. The texts are read once."""
     digests = store(docs.select(F.col(key).alias("key"), text_digest(text).alias("digest")), "digests")
-    flagged = with_suspicion(digests, *_bloom(digests, max_cells))
+    found = _by_slices(digests, digests.count(), max_cells, _groups)
+    return found.withColumnsRenamed({"key": key, "digest": "text_sha256"})
+
+
+def _groups(flagged: DataFrame) -> DataFrame:
     alone = flagged.where("NOT suspect").select(
         "key", F.col("key").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest"
     )
@@ -86,19 +117,19 @@ def copies(docs: DataFrame, key: str = "doc_id", text: str = "text", max_cells:
     groups = store(groups, "groups")
     compared = rows.join(groups, "digest").withColumn("nth", F.explode(F.expr("sequence(1L, times)")))
     kept = F.col("key").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)
-    compared = compared.select("key", "keep_id", "group_size", kept.alias("kept"), "digest")
-    both = alone.unionByName(compared)
-    return both.withColumnsRenamed({"key": key, "digest": "text_sha256"})
+    return alone.unionByName(compared.select("key", "keep_id", "group_size", kept.alias("kept"), "digest"))
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", max_cells: int = MAX_CELLS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Rows whose text cannot occur
     twice are not shuffled."""
-    bloom, cells = _bloom(docs.select(text_digest(text).alias("digest")), max_cells)
     rows = packed(docs, key=docs[key], digest=text_digest(docs[text]))
-    flagged = with_suspicion(rows, bloom, cells)
+    return unpacked(_by_slices(rows, docs.count(), max_cells, _winners))
+
+
+def _winners(flagged: DataFrame) -> DataFrame:
     suspects = flagged.where("suspect")
     best = suspects.groupBy("digest").agg(F.max("key").alias("keep_id")).withColumnRenamed("digest", "same")
     winners = suspects.join(best, (F.col("digest") == F.col("same")) & F.col("key").eqNullSafe(F.col("keep_id")))
     winners = winners.select("row", "digest").dropDuplicates(["digest"])
-    return unpacked(flagged.where("NOT suspect").select("row").unionByName(winners.select("row")))
+    return flagged.where("NOT suspect").select("row").unionByName(winners.select("row"))
