@@ -1,11 +1,11 @@
 """Repeated lines by pairwise alignment.
 
 1. Lines that are not blank are hashed, and so is every shortest run of lines, from each line
-   on and up to each line, that has ``LEAST_WORDS`` words. A run points to the document that
-   has it first, so each line of a block that an earlier document has is compared with one.
-   A line that at most ``RARE`` documents have points to its first holder too, and a commoner
-   one together with the line after it. So a document has no more than three partners a line,
-   however many documents share a line, and each partner is earlier.
+   on and up to each line, that has ``LEAST_WORDS`` words. Documents with the same lines
+   throughout are copies of the first of them, which alone goes on. A line or run that at
+   most ``RARE`` documents have makes each earlier holder a partner of each later one. Of a
+   commoner run, or line of as many words, the first two holders are partners of the others,
+   and of a commoner short line together with the line after it.
 2. Each document is aligned with its partners by patience diff: lines that occur once on both
    sides are matched in the longest common order, matches are extended to equal neighbours,
    and the gaps between are aligned in the same way. A gap without such lines is split at its
@@ -36,9 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setwise.llm.common import store, whole
-from setwise.llm.words import constants, hash_ranges, mix, run_hashes, signed, small_batches, text_bytes
+from setwise.llm.words import (
+    constants, hash_ranges, mix, run_hashes, signed, small_batches, sums_by_text, text_bytes, word_ranges,
+)
 
-RARE = 50
+RARE = 8
+"""Holders of a line up to which all earlier ones are partners of a later one."""
 LEAST_WORDS = 20
 LEAST_ID = -(1 << 63)
 
@@ -51,10 +54,6 @@ Block = tuple[int, int, int]
 """Where a common block begins on the left and on the right, and its number of lines."""
 
 
-def lines_of(text: bytes) -> list[bytes]:
-    return [line.strip() for line in text.split(b"\n")]
-
-
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of pairs, in order on the left, that is also in order on the right."""
     ends: list[int] = []
@@ -151,27 +150,28 @@ def aligned(a: list[int], b: list[int], words: list[int], least_words: int) -> l
     return patience(a, b, longest_run)
 
 
-def _hash_lines(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Hashes and word counts of the lines of each text that are not blank."""
+def _hash_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and word counts of all lines that are not blank, and where those of each text
+    begin and end. A line goes from its first word to its last."""
     data, offsets = text_bytes(texts)
-    for i in range(len(texts)):
-        text = data[offsets[i] : offsets[i + 1]].tobytes()
-        lines = [line for line in lines_of(text) if line]
-        flat = np.frombuffer(b"".join(lines), dtype=np.uint8)
-        ends = np.cumsum([len(line) for line in lines], dtype=np.int64)
-        starts = np.r_[np.zeros(1, np.int64), ends[:-1]][: len(lines)]
-        yield hash_ranges(flat, starts, ends), np.array([len(line.split()) for line in lines], dtype=np.int32)
+    starts, ends = word_ranges(data, offsets)
+    line = np.searchsorted(np.sort(np.r_[np.flatnonzero(data == 10), offsets[1:-1]], kind="stable"), starts, side="right")
+    # A text ends its last line, so words of two texts never share one.
+    fresh = np.flatnonzero(np.r_[True, line[1:] != line[:-1]][: len(line)])
+    last = np.r_[fresh[1:], len(line)][: len(fresh)]
+    hashes = hash_ranges(data, starts[fresh], ends[last - 1]) if len(fresh) else np.zeros(0, np.uint64)
+    return hashes, (last - fresh).astype(np.int32), np.searchsorted(starts[fresh], offsets)
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
-        hashes, counts = [], []
-        for own, n in _hash_lines(batch.column("text")):
-            hashes.append(own.view(np.int64))
-            counts.append(n)
+        hashes, counts, first = _hash_lines(batch.column("text"))
+        lines, words = (pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), v) for v in (signed(hashes), pa.array(counts)))
+        # A hash of all lines in order: documents with equal ones are copies.
+        copy = run_hashes(hashes, first[:-1], first[1:], 2)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("tie"), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
-            ["doc_id", "tie", "lines", "words"],
+            [batch.column("doc_id"), batch.column("tie"), lines, words, signed(copy), pa.array(sums_by_text(counts, first))],
+            ["doc_id", "tie", "lines", "words", "copy", "n_words"],
         )
 
 
@@ -216,36 +216,69 @@ def _line_rows(least_words: int):
     return rows
 
 
-def _first_holders(rows: DataFrame, key: str) -> DataFrame:
-    """First document of each key that several have. Counted before the shuffle."""
+def _holders(rows: DataFrame, key: str) -> DataFrame:
+    """Number of holders of each key that several have, and the first of them. Counted before
+    the shuffle."""
     held = rows.groupBy(F.col(key).alias("of")).agg(F.min(document()).alias("first"), F.count_if("fresh").alias("holders"))
     return store(held.where("holders > 1"), "holders")
 
 
-def partners(rows: DataFrame, rare: int = RARE) -> DataFrame:
-    """Pairs of a document and an earlier one that has one of its lines first."""
-    held = _first_holders(rows, "line")
-    found = rows.join(held, F.col("line") == F.col("of")).drop("of")
-    common = rows.join(held.where(F.col("holders") > rare).select("of"), F.col("line") == F.col("of"), "left_semi")
-    common = store(common.where("pair IS NOT NULL").withColumn("fresh", F.lit(True)), "common_lines")
-    by_pair = common.join(_first_holders(common, "pair"), F.col("pair") == F.col("of"))
-    later, pair = F.col("first") < document(), ("first", "doc_id", "tie")
-    alone = F.col("fresh") & ((F.col("holders") <= rare) | F.col("long"))
-    pairs = found.where(alone).where(later).select(*pair)
-    return pairs.union(by_pair.where(later).select(*pair)).distinct()
+def _with_first_two(held: DataFrame, key: str) -> DataFrame:
+    """Pairs of later holders of a key with its first two. ``held``: rows with their key's
+    first holder. The second one is the least of the others, so each is found by counting."""
+    later = held.where(F.col("first") < document())
+    second = later.groupBy(F.col(key).alias("of")).agg(F.min(document()).alias("second"))
+    after = later.join(second, F.col(key) == F.col("of")).where(F.col("second") < document())
+    pair = ("first", "doc_id", "tie")
+    return later.select(*pair).union(after.select(F.col("second").alias("first"), "doc_id", "tie"))
+
+
+def partners(rows: DataFrame, rare: int = RARE) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a document and an earlier one to align it with, and the lines of each document
+    that another one has too."""
+    held = _holders(rows, "line")
+    found = store(rows.join(held, F.col("line") == F.col("of")).drop("of"), "shared_lines")
+    few = found.where(F.col("fresh") & (F.col("holders") <= rare)).groupBy("line").agg(F.sort_array(F.collect_set(document())).alias("all"))
+    few = few.select(F.posexplode("all").alias("at", "own"), "all").select(F.explode(F.slice("all", F.lit(1), F.col("at"))).alias("first"), "own.*")
+    many = found.where(F.col("holders") > rare)
+    common = store(many.where("pair IS NOT NULL").drop("first", "holders").withColumn("fresh", F.lit(True)), "common_lines")
+    by_pair = common.join(_holders(common, "pair"), F.col("pair") == F.col("of")).drop("of")
+    pairs = few.unionByName(_with_first_two(many.where(F.col("fresh") & F.col("long")), "line")).unionByName(_with_first_two(by_pair, "pair"))
+    return pairs.distinct(), found.where(F.col("fresh") & F.col("pair").isNotNull()).select("doc_id", "tie", "line")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences of the lines that others have too (``at``: their places). One line that
+    nobody has stands for those left out between them, so that no lines become neighbours."""
+    for batch in batches:
+        ats, kept, words = [], [], []
+        for i in range(batch.num_rows):
+            own, size = (batch.column(c)[i].values.to_numpy() for c in ("lines", "words"))
+            held = np.isin(own, batch.column("others")[i].values.to_numpy())
+            show = held | np.r_[True, held[:-1]][: len(held)]  # the first line of each stretch left out stays
+            ats.append(np.flatnonzero(show).astype(np.int32))
+            kept.append(own[show])
+            words.append(size[show])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"), batch.column("tie"), pa.array(ats, pa.list_(pa.int32())), pa.array(kept, pa.list_(pa.int64())),
+                pa.array(words, pa.list_(pa.int32())),
+            ],
+            ["doc_id", "tie", "at", "lines", "words"],
+        )
 
 
 def _align(least_words: int):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, ties, starts, sizes = [], [], [], []
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "tie", "left_lines", "lines", "words")]
-            for doc, tie, left, right, words in zip(*columns):
+            for i in range(batch.num_rows):  # one pair at a time
+                doc, tie, left, right, words, place = (batch.column(c)[i].as_py() for c in ("doc_id", "tie", "left_lines", "lines", "words", "at"))
                 for _, at, n in aligned(left, right, words, least_words):
                     if sum(words[at : at + n]) >= least_words:
                         docs.append(doc)
                         ties.append(tie)
-                        starts.append(at)
+                        starts.append(place[at])
                         sizes.append(n)
             yield pa.record_batch(
                 [pa.array(docs, pa.int64()), pa.array(ties, pa.int64()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())],
@@ -259,15 +292,24 @@ def repeated_blocks(docs: DataFrame, rare: int = RARE, least_words: int = LEAST_
     """Blocks to delete: ``doc_id``, the hash ``tie`` of the text, first line ``at`` and number
     of lines ``n``, counted over the lines that are not blank."""
     rows = docs.select(F.coalesce("doc_id", F.lit(LEAST_ID)).alias("doc_id"), F.xxhash64(whole()).alias("tie"), whole().alias("text"))
-    sequences = rows.mapInArrow(_sequences, "doc_id long, tie long, lines array<long>, words array<int>")
-    sequences = sequences.dropDuplicates(["doc_id", "tie"])
-    sequences = store(sequences, "sequences")
-    lines = store(sequences.mapInArrow(_line_rows(least_words), "doc_id long, tie long, line long, pair long, fresh boolean, long boolean"), "lines")
-    pairs = store(partners(lines, rare), "partners")
-    left = sequences.select(document().alias("first"), F.col("lines").alias("left_lines"))
-    both = pairs.join(left, "first").join(sequences, ["doc_id", "tie"])
-    both = both.select("doc_id", "tie", "left_lines", "lines", "words")
-    return both.mapInArrow(_align(least_words), "doc_id long, tie long, at int, n int")
+    kinds = "doc_id long, tie long, lines array<long>, words array<int>, copy long, n_words long"
+    sequences = store(rows.mapInArrow(_sequences, kinds).dropDuplicates(["doc_id", "tie"]), "sequences")
+    firsts = sequences.groupBy("copy").agg(F.min(document()).alias("first"), F.count(F.lit(1)).alias("copies"))
+    firsts = store(firsts.where("copies > 1").drop("copies").withColumnRenamed("copy", "of"), "copies")
+    later = sequences.select("doc_id", "tie", "copy", "n_words", F.size("lines").alias("n")).join(firsts, F.col("copy") == F.col("of"))
+    later = store(later.where(F.col("first") < document()).select("doc_id", "tie", "n", "n_words"), "later_copies")
+    gone = later.where(F.col("n_words") >= max(1, least_words)).select("doc_id", "tie", F.lit(0).alias("at"), "n")
+    alone = store(sequences.drop("copy", "n_words").join(later.select("doc_id", "tie"), ["doc_id", "tie"], "left_anti"), "alone")
+    lines = store(alone.mapInArrow(_line_rows(least_words), "doc_id long, tie long, line long, pair long, fresh boolean, long boolean"), "lines")
+    pairs, others = partners(lines, rare)
+    pairs = store(pairs, "partners")
+    others = others.groupBy("doc_id", "tie").agg(F.collect_list("line").alias("others"))
+    kinds = "doc_id long, tie long, at array<int>, lines array<long>, words array<int>"
+    shared = store(alone.join(others, ["doc_id", "tie"]).mapInArrow(_shared, kinds), "shared")
+    left = shared.select(document().alias("first"), F.col("lines").alias("left_lines"))
+    both = pairs.join(left, "first").join(shared, ["doc_id", "tie"])
+    both = both.select("doc_id", "tie", "left_lines", "lines", "words", "at")
+    return gone.unionByName(both.mapInArrow(_align(least_words), "doc_id long, tie long, at int, n int"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

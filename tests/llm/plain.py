@@ -110,32 +110,20 @@ def matched_lines(a, b):
     return out
 
 
-def without_repeated_lines(docs, rare, least_words):
+def without_repeated_lines(docs, least_words):
+    """Every earlier document is aligned, and gaps without anchors are split."""
+    from plain_lines import matched
+
     strip = " \t\n\r\x0b\x0c"
     lines = {own(key): [x.strip(strip) for x in (text or "").split("\n") if x.strip(strip)] for key, text in docs}
-    holders, pairs = {}, {}
-    for key, seq in lines.items():
-        for x in seq:
-            holders.setdefault(x, set()).add(key)
-    for key, seq in lines.items():
-        for x in zip(seq, [*seq[1:], None]):
-            pairs.setdefault(x, set()).add(key)
     out = []
     for key, text in docs:
         k, seq = own(key), lines[own(key)]
-        found = [holders[x] if len(holders[x]) <= rare else pairs[x, y] for x, y in zip(seq, [*seq[1:], None])]
         gone = set()
-        for first in {min(f) for f in found if min(f) < k}:
-            matches = sorted(matched_lines(lines[first], seq))
-            i = 0
-            while i < len(matches):
-                j = i
-                while j + 1 < len(matches) and matches[j + 1] == (matches[j][0] + 1, matches[j][1] + 1):
-                    j += 1
-                block = [y for _, y in matches[i : j + 1]]
-                if sum(len(words(seq[y])) for y in block) >= least_words:
-                    gone.update(block)
-                i = j + 1
+        for first in (f for f in lines if f < k and not set(lines[f]).isdisjoint(seq)):
+            for i, j, n in blocks_of(matched(lines[first], seq, lambda s: len(words(s)))):
+                if sum(len(words(x)) for x in seq[j : j + n]) >= least_words:
+                    gone.update(range(j, j + n))
         left, at = [], -1
         for x in (text or "").split("\n"):
             at += bool(x.strip(strip))
@@ -145,6 +133,17 @@ def without_repeated_lines(docs, rare, least_words):
     return ordered(out)
 
 
+def blocks_of(pairs):
+    """Matched pairs as blocks of neighbours: begin on both sides and length."""
+    out = []
+    for i, j in sorted(pairs):
+        if out and (i, j) == (out[-1][0] + out[-1][2], out[-1][1] + out[-1][2]):
+            out[-1] = (*out[-1][:2], out[-1][2] + 1)
+        else:
+            out.append((i, j, 1))
+    return out
+
+
 def targets(sizes, weights, cap=3):
     """Shares by weight, no more than ``cap`` times the size; the excess is shared again."""
     total, out, full = sum(sizes.values()), {}, set()

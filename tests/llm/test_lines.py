@@ -65,3 +65,39 @@ def test_blocks_in_gaps_without_anchors():
         assert got == long(plain_lines.blocks_of(plain_lines.matched(a, b, size.__getitem__)))
         more += len(got - long(line_dedup.patience(a, b)))
     assert more > 0
+
+
+def test_a_block_that_only_a_later_holder_has_in_order(spark):
+    a, b, x, y = text_of("a", 25), text_of("b", 30), text_of("x", 9), text_of("y", 9)
+    rows = [(1, f"{a}\n{b}"), (2, f"{b}\n{x}\n{a}"), (3, f"{b}\n{y}\n{a}")]
+    assert removed(spark, rows) == plain_lines.removed(rows, plain.matched_lines) == {1: 0, 2: 1, 3: 2}
+
+
+def test_a_long_first_holder_of_a_line_that_very_many_have(spark):
+    """Only the lines that others have too are sent along, once more for each partner."""
+    notice = text_of("notice", 30)
+    long = "\n".join([notice, *(text_of(f"own{i}_", 3) for i in range(20_000))])
+    rows = [(0, long), *((i, f"{text_of(f'u{i}_', 4)}\n{notice}") for i in range(1, 2001))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = line_dedup.without_repeated_lines(docs)
+    assert {(r["n_removed"], r["n"]) for r in found.where("doc_id > 0").groupBy("n_removed").agg({"*": "count"}).toDF("n_removed", "n").collect()} == {(1, 2000)}
+    shown = next(line_dedup._shared(iter([_row([1, 2, 3, 4, 5, 6, 7], [2, 5])])))
+    assert shown.column("at").to_pylist() == [[0, 1, 2, 4, 5]] and shown.column("lines").to_pylist() == [[1, 2, 3, 5, 6]]
+
+
+def _row(lines, others):
+    import pyarrow as pa
+
+    cells = {"doc_id": [1], "tie": [1], "lines": [lines], "words": [[1] * len(lines)], "others": [others]}
+    return pa.RecordBatch.from_pydict(cells, pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("lines", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("others", pa.list_(pa.int64()))]))
+
+
+def test_hashes_of_lines():
+    import pyarrow as pa
+
+    texts = ["a b\n\n c \nd", "", None, "\n\n", "x\ty\r\nd", "c", " d \x0b\n d"]
+    hashes, counts, first = line_dedup._hash_lines(pa.array(texts))
+    found = [list(zip(hashes[a:b].tolist(), counts[a:b].tolist())) for a, b in zip(first[:-1], first[1:])]
+    assert [[n for _, n in own] for own in found] == [[2, 1, 1], [], [], [], [2, 1], [1], [1, 1]]
+    d = found[0][2][0]
+    assert found[4][1][0] == found[6][0][0] == found[6][1][0] == d and found[0][1][0] == found[5][0][0] != d

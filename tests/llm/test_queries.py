@@ -41,7 +41,7 @@ def test_token_queries_and_lines(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=__import__("public_tokenizers").path("piece_bpe_32k.model"))
     want = [(k, len(t.encode()), n := len(model.encode(t)), n > 4096) for k, t in docs]
     assert plain.ordered(QUERIES["op5_token_counts"](spark, DATA).collect()) == plain.ordered(want)
-    lines = [(k, n, m, plain.sha(t)) for k, n, m, t in plain.without_repeated_lines(docs, 50, 20)]
+    lines = [(k, n, m, plain.sha(t)) for k, n, m, t in plain.without_repeated_lines(docs, 20)]
     assert plain.ordered(QUERIES["op1_line_dedup"](spark, DATA).collect()) == plain.ordered(lines)
 
 
