@@ -38,6 +38,9 @@ from setwise.llm.words import small_batches
 SPACE = "▁"
 MAX_STATES = 1 << 17
 MAX_WORDS = 1 << 19
+MAX_CHARACTERS = 1 << 23
+MAX_LENGTH = 1 << 10
+"""Words, and characters of words, that a worker remembers, and the longest word that it does."""
 LONG = 1 << 16
 """Texts of more characters are cut into rows of so many."""
 
@@ -194,11 +197,16 @@ class Counter(dict):
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.machine = Transducer(pieces)
+        self.held = 0
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        found = self[word] = self.machine.count(SPACE + word)
+        found = self.machine.count(SPACE + word)
+        if len(word) <= MAX_LENGTH:
+            if len(self) >= MAX_WORDS or self.held > MAX_CHARACTERS:
+                self.clear()
+                self.held = 0
+            self[word] = found
+            self.held += len(word)
         return found
 
     def spaced(self, text: str) -> int:
@@ -284,7 +292,8 @@ def _composed(df: DataFrame, path: str) -> DataFrame:
         counter = _counter(path)
         for batch in batches:
             n = []
-            for maps in batch.column("maps").to_pylist():
+            for i in range(batch.num_rows):  # the maps of one text at a time
+                maps = batch.column("maps")[i].as_py()
                 n.append(counter.finish(counter.scan([(m["head"], m["between"], m["rest"]) for m in maps])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
