@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from setwise.llm.common import packed, store, unpacked
+from setwise.llm.common import packed, store, unpacked, whole
 from setwise.llm.graph import components
 from setwise.llm.words import Words, mix, run_hashes, signed, small_batches
 
@@ -319,7 +319,8 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = [len(s) for s in sets]
         names = [class_of(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())], ["doc_id", "cls", "n"]
+            [batch.column("doc_id"), batch.column("tie"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())],
+            ["doc_id", "tie", "cls", "n"],
         )
 
 
@@ -334,15 +335,21 @@ def class_links(texts: DataFrame) -> DataFrame:
     return hubs.unionByName(store(pairs, "pair_links"))
 
 
+def _members(docs: DataFrame) -> DataFrame:
+    """Per row its id, a hash of its text (``tie``), the size of its set, and its component
+    (``comp``, null without words)."""
+    rows = docs.select("doc_id", F.xxhash64(whole()).alias("tie"), "text")
+    kind = dict(rows.dtypes)["doc_id"]
+    members = store(rows.mapInArrow(_classes, f"doc_id {kind}, tie long, cls long, n long"), "classes")
+    groups = components(class_links(docs.select("text")))
+    joined = members.join(groups, F.col("cls") == F.col("node"), "left")
+    return joined.select("doc_id", "tie", "n", F.coalesce("comp", "cls").alias("comp"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id
     that links lead to."""
-    texts = docs.select("text")
-    members = store(docs.select("doc_id", "text").mapInArrow(_classes, "doc_id long, cls long, n long"), "classes")
-    groups = components(class_links(texts))
-    joined = members.join(groups, F.col("cls") == F.col("node"), "left").select(
-        "doc_id", "n", "cls", F.coalesce("comp", "cls").alias("comp")
-    )
+    joined = _members(docs)
     smallest = store(joined.where("comp IS NOT NULL").groupBy(F.col("comp").alias("of")).agg(F.min("doc_id").alias("first")), "smallest")
     named = joined.join(smallest, F.col("comp") == F.col("of"), "left")
     component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("first"))
@@ -350,8 +357,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all columns."""
-    found = near_duplicates(docs)
-    dropped = store(found.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct(), "dropped")
-    rows = packed(docs, key=docs["doc_id"])
-    return unpacked(rows.join(dropped, F.col("key") == F.col("dropped"), "left_anti"))
+    """One row of each component, with all columns, and the rows without words.
+
+    The row with the smallest id stays (a null id counts as the largest), of rows with that
+    id the one whose text has the smallest hash, and of rows with equal id and text any one.
+    Ids do not tell rows apart: an id may repeat with texts of other components.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tie")
+    found = store(_members(docs).where("comp IS NOT NULL").select("comp", place.alias("place")), "members")
+    firsts = store(found.groupBy(F.col("comp").alias("of")).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows")), "firsts")
+    several = found.join(firsts.where("rows > 1"), F.col("comp") == F.col("of"))
+    dropped = store(several.where(F.col("place") != F.col("first")).select("place").distinct(), "dropped")
+    # Rows of one id and text that stay, if there are several: one of them is enough.
+    again = several.where(F.col("place") == F.col("first")).groupBy("place").count().where("count > 1")
+    again = store(again.select(F.col("place").alias("repeated")), "repeated")
+    own = F.struct(docs["doc_id"].isNull().alias("nameless"), docs["doc_id"].alias("doc_id"), F.xxhash64(whole(docs["text"])).alias("tie"))
+    rows = packed(docs, own=own).join(dropped, F.col("own").eqNullSafe(F.col("place")), "left_anti")
+    if again.isEmpty():
+        return unpacked(rows)
+    marked = rows.join(again, F.col("own").eqNullSafe(F.col("repeated")), "left")
+    one = marked.where("repeated IS NOT NULL").dropDuplicates(["own"])
+    return unpacked(marked.where("repeated IS NULL").select("row").unionByName(one.select("row")))

@@ -40,11 +40,9 @@ def groups(n, links):
     return [find(i) for i in range(n)]
 
 
-def near_duplicates(docs):
-    sets = []
-    for _, text in docs:
-        w = words(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
-        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+def near_groups(docs, sets=None):
+    """The group of each row."""
+    sets = shingle_sets(docs) if sets is None else sets
     holders = {}
     for i, s in enumerate(sets):
         for x in s:
@@ -53,7 +51,20 @@ def near_duplicates(docs):
     for i, s in enumerate(sets):
         shared = Counter(j for x in s for j in holders[x] if j > i)
         links += [(i, j) for j, n in shared.items() if 100 * n >= 75 * (len(s) + len(sets[j]) - n)]
-    group = groups(len(docs), links)
+    return groups(len(docs), links)
+
+
+def shingle_sets(docs):
+    sets = []
+    for _, text in docs:
+        w = words(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    return sets
+
+
+def near_duplicates(docs):
+    sets = shingle_sets(docs)
+    group = near_groups(docs, sets)
     first = {}
     for i, (key, _) in enumerate(docs):
         if key is not None:

@@ -74,8 +74,27 @@ def test_near_duplicates(docs, messy, monkeypatch, crowd, block, cheap):
 def test_one_of_each_near_duplicate_stays(docs, messy):
     kept = ngram_join.without_near_duplicates(docs)
     assert kept.columns == docs.columns
-    want = [k for k, _, c in plain.near_duplicates(messy) if k is None or c is None or k == c]
-    assert plain.ordered([(r[0],) for r in kept.select("doc_id").collect()]) == plain.ordered((k,) for k in want)
+    groups = plain.near_groups(messy)
+    wordless = [(k, t) for (k, t), g in zip(messy, groups) if not plain.words(t)]
+    best = {}
+    for (k, t), g in zip(messy, groups):
+        if plain.words(t):
+            best.setdefault(g, []).append((k is None, k, t))
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert plain.ordered(r for r in found if not plain.words(r[1])) == plain.ordered(wordless)
+    stay = [r for r in found if plain.words(r[1])]
+    assert len(stay) == len(best)
+    for rows in best.values():
+        least = min((r[0], r[1] or 0) for r in rows)
+        assert sum((k is None, k, t) in rows and (k is None, k or 0) == least for k, t in stay) == 1
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, a), (2, a + " x"), (None, a), (None, a + " y"), (7, b), (7, a), (None, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = ngram_join.without_near_duplicates(docs)
+    assert plain.ordered(kept.collect()) == plain.ordered([(1, a), (7, b), (None, None), (3, ""), (3, "")])
 
 
 def test_prefixes_hold_their_promise():
