@@ -128,7 +128,8 @@ RULES = (
     Rule("exclamations", lambda m: m["n_exclaimed"] / m["n_words"], 0.02, 0.2),
     Rule("repeated text", lambda m: m["n_repeat_words"] / m["n_words"], 0.1, 0.3),
     Rule("repeated lines", lambda m: m["n_dup_lines"] / m["n_lines"], 0.25, 0.5),
-    Rule("variety", lambda m: m["n_distinct"] / np.minimum(m["n_words"], 1000), 0.3, 0.1),
+    # Different words grow about as the root of the words, at any length.
+    Rule("variety", lambda m: m["n_distinct"] / np.sqrt(m["n_words"]), 2.5, 1.5),
 )
 
 
