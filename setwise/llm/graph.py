@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from setwise.llm.common import store
+from setwise.llm.common import scratch, store
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,15 +20,17 @@ def components(edges: DataFrame) -> DataFrame:
     both = store(both.distinct(), "links")
     labels = store(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp")), "labels")
     while True:
-        near = both.join(labels, F.col("a") == F.col("node")).groupBy(F.col("b").alias("to")).agg(F.min("comp").alias("near"))
-        moved = labels.join(near, F.col("node") == F.col("to"), "left").select(
-            "node", F.col("comp").alias("was"), F.least("comp", F.coalesce("near", "comp")).alias("comp")
-        )
-        up = moved.select(F.col("node").alias("over"), F.col("comp").alias("above"))
-        jumped = moved.join(up, F.col("comp") == F.col("over"), "left").select(
-            "node", "was", F.least("comp", F.coalesce("above", "comp")).alias("comp")
-        )
-        jumped = store(jumped, "labels")
+        with scratch(edges.sparkSession):
+            near = both.join(labels, F.col("a") == F.col("node")).groupBy(F.col("b").alias("to")).agg(F.min("comp").alias("near"))
+            moved = labels.join(near, F.col("node") == F.col("to"), "left").select(
+                "node", F.col("comp").alias("was"), F.least("comp", F.coalesce("near", "comp")).alias("comp")
+            )
+            moved = store(moved, "moved")
+            up = moved.select(F.col("node").alias("over"), F.col("comp").alias("above"))
+            jumped = moved.join(up, F.col("comp") == F.col("over"), "left").select(
+                "node", "was", F.least("comp", F.coalesce("above", "comp")).alias("comp")
+            )
+            jumped = store(jumped, "labels", keep=True)
         labels = jumped.select("node", "comp")
         if jumped.where("was <> comp").isEmpty():
             return labels
