@@ -64,12 +64,15 @@ def byte_letters() -> list[str]:
 
 
 @lru_cache(maxsize=1)
-def _settled() -> frozenset[str]:
+def _settled() -> re.Pattern:
     """Characters that were letters, digits or signs already in the Unicode of 2002. On these
     Python, the splitting pattern and the library agree, whatever version each was made for;
     words with any other character are left to the library. The tests go through all."""
     kind = unicodedata.ucd_3_2_0.category
-    return frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if kind(c) not in ("Cn", "Cs", "Co"))
+    known = [kind(chr(c)) not in ("Cn", "Cs", "Co") for c in range(sys.maxunicode + 1)]
+    edges = [c for c in range(len(known)) if known[c] and not (c and known[c - 1])]
+    ends = [c for c in range(len(known)) if known[c] and (c == sys.maxunicode or not known[c + 1])]
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(edges, ends)) + "]*+")
 
 
 Joined = list[str]
@@ -88,7 +91,9 @@ class WordVocabulary:
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self._split = regex.compile(SPLIT)
         self._letters = byte_letters()
-        self._library = Tokenizer.from_file(path)
+        # The library's normaliser and splitter alone, without the vocabulary it would hold twice.
+        rules = spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        self._library = Tokenizer.from_str(json.dumps(rules))
 
     def symbols(self, run: str) -> list[str]:
         """The bytes of a run as letters, the last one with the mark of the word's end."""
@@ -99,7 +104,7 @@ class WordVocabulary:
     def runs(self, word: str) -> list[str]:
         """A word without white space, normalised and split."""
         if not word.isascii():
-            if not _settled().issuperset(word):
+            if not _settled().fullmatch(word):
                 word = self._library.normalizer.normalize_str(word)
                 return [word[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(word)]
             word = unicodedata.normalize("NFC", word)
