@@ -24,13 +24,12 @@ import re
 import sys
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from setwise.llm.common import whole
 from setwise.llm.merges import NEVER, merge
@@ -40,7 +39,7 @@ LEAF = 256
 """Symbols up to which a run is encoded at once."""
 GIANT = 1 << 16
 """Symbols from which on the pieces of a run are rows of their own."""
-MAX_WORDS = 3 << 17
+MAX_WORDS = 11 << 15
 MAX_CHARACTERS = 1 << 23
 """Words, and characters of words, up to which a task remembers encodings."""
 END = "</w>"
@@ -91,9 +90,14 @@ class WordVocabulary:
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self._split = regex.compile(SPLIT)
         self._letters = byte_letters()
-        # The library's normaliser and splitter alone, without the vocabulary it would hold twice.
-        rules = spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
-        self._library = Tokenizer.from_str(json.dumps(rules))
+        self._rules = json.dumps(spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}})
+
+    @cached_property
+    def _library(self):
+        """The library's normaliser and splitter alone, loaded only if a text needs them."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self._rules)
 
     def symbols(self, run: str) -> list[str]:
         """The bytes of a run as letters, the last one with the mark of the word's end."""
