@@ -41,7 +41,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens of each document, and digests of its ids and of their decoding. A null
     text counts as empty and has no tokens."""
-    return bpe.encode(docs, vocabulary("word_bpe_49k.json"), form="digests")
+    # Executors that ran all the other stages before have less memory left than fresh ones.
+    return bpe.encode(docs, vocabulary("word_bpe_49k.json"), form="digests", remember=1 << 17)
 
 
 STAGES = [

@@ -177,8 +177,9 @@ class WordVocabulary:
 class Encoder:
     """Ids and tokens of words as texts, kept up to a bound."""
 
-    def __init__(self, vocabulary: WordVocabulary):
+    def __init__(self, vocabulary: WordVocabulary, most: int = MAX_WORDS):
         self.vocabulary = vocabulary
+        self.most = most
         self.shown_ids = {t: str(vocabulary.id_of(t)) for t in [*vocabulary.ids, *vocabulary.special]}
         self.ids: dict[str, str] = {}
         self.tokens: dict[str, str] = {}
@@ -187,7 +188,7 @@ class Encoder:
 
     def _forget(self) -> None:
         """Keep the words that came again in a later text, unless these are too many."""
-        kept = self.again if len(self.again) <= MAX_WORDS // 2 else set()
+        kept = self.again if len(self.again) <= self.most // 2 else set()
         self.ids, self.tokens = ({word: known[word] for word in kept} for known in (self.ids, self.tokens))
         self.held = sum(map(len, kept))
         if self.held > MAX_CHARACTERS // 2:
@@ -206,7 +207,7 @@ class Encoder:
 
     def text(self, text: str) -> tuple[str, str]:
         words = list(self.vocabulary.words(text))
-        if len(self.ids) > MAX_WORDS or self.held > MAX_CHARACTERS:
+        if len(self.ids) > self.most or self.held > MAX_CHARACTERS:
             self._forget()
         different = set(words)
         new = different.difference(self.ids)
@@ -222,9 +223,9 @@ def _vocabulary(path: str) -> WordVocabulary:
     return WordVocabulary(path)
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, most: int = MAX_WORDS) -> Encoder:
     """One for each task, so that what it remembers is given back."""
-    return Encoder(_vocabulary(path))
+    return Encoder(_vocabulary(path), most)
 
 
 def n_ids(ids: str) -> int:
@@ -318,16 +319,17 @@ def _with_giants(rows: DataFrame, path: str, form: str, giant: int) -> DataFrame
     return gathered.select("doc_id", "parts").mapInArrow(join, f"doc_id {kind}, {FORMS[form][0]}")
 
 
-def encode(docs: DataFrame, path: str, form: str = "texts", giant: int = GIANT) -> DataFrame:
+def encode(docs: DataFrame, path: str, form: str = "texts", giant: int = GIANT, remember: int = MAX_WORDS) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_tokens``, and the ids and the decoded text (or,
-    as ``digests``, the SHA-256 of both) with the vocabulary file at ``path``."""
+    as ``digests``, the SHA-256 of both) with the vocabulary file at ``path``. A task remembers
+    the encodings of ``remember`` words: fewer take less memory and more time."""
     rows = docs.select("doc_id", whole().alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     # A byte makes a symbol, and a character has four bytes at most.
     holds_giant = (F.octet_length("text") > giant) & F.exists(F.split("text", r"\s+"), lambda w: F.length(w) > giant // 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, remember)
         for batch in small_batches(batches, "text"):
             both = [encoder.text(text) for text in batch.column("text").to_pylist()]
             yield _output(batch.column("doc_id"), both, form)
