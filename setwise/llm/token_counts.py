@@ -16,6 +16,12 @@ chunks compose to a chunk, which is associative, and a text is composed of its c
 scan over pairs. Long texts are cut into rows first, so that their chunks are counted in
 parallel; the words of a chunk are counted once for each different word.
 
+Where a chunk has no such space for long, its long stretches get a map proper, from states
+at the begin to the state at the end and the count. Only states that can occur there are
+followed: those that the characters before the chunk lead to, from each place where a token
+may begin. They mostly meet soon and go on as one. A chunk that is reached in yet another state
+keeps its text and is counted when the chunks are composed, so counts are exact in any case.
+
 Cases: null or empty text has no tokens. Characters outside the vocabulary count one token for
 each byte. Rows are counted one by one, so repeated rows make no difference. An empty table
 gives an empty result.
@@ -23,6 +29,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,6 +50,14 @@ MAX_LENGTH = 1 << 10
 """Words, and characters of words, that a worker remembers, and the longest word that it does."""
 LONG = 1 << 16
 """Texts of more characters are cut into rows of so many."""
+CONTEXT = 64
+"""Characters before a chunk that tell the states it can begin in."""
+STARTS = 16
+"""Places among them where a token may begin; pieces of equal characters are no longer."""
+MAPPED = 256
+"""Stretches of fewer characters get no map of states: to count them later is as cheap."""
+MEETING = 2048
+"""Characters within which states mostly meet; others are followed to the end."""
 
 
 class Pieces:
@@ -102,6 +117,10 @@ class Pieces:
                 limit, left = ranks[left], left_parts[1]
 
 
+StateMap = dict[str, tuple[str, int]]
+"""State at the begin to state at the end and number of tokens."""
+
+
 class Transducer:
     """States reached so far, and their transitions: character to next state and change.
 
@@ -116,7 +135,7 @@ class Transducer:
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         longer: dict[str, list[str]] = {}
-        for piece in pieces.tokens:
+        for piece in sorted(pieces.tokens):  # so that all workers write a state alike
             for i in range(len(piece) + 1):
                 longer.setdefault(piece[:i], []).append(piece)
         self.longer = {run: tuple(found) if len(found) <= self.FEW else None for run, found in longer.items()}
@@ -171,9 +190,9 @@ class Transducer:
         self.steps[state][character] = step
         return step
 
-    def count(self, run: str) -> int:
-        """Tokens of a run of characters, from the first state on."""
-        state, total = 0, 0
+    def follow(self, state: int, run: str) -> tuple[int, int]:
+        """The state that a run of characters leads to, and its tokens."""
+        total = 0
         for character in run:
             if len(self.states) > MAX_STATES:
                 places = self.states[state]
@@ -181,10 +200,49 @@ class Transducer:
                 state = self._state(places)
             state, change = self.steps[state].get(character) or self._compile(state, character)
             total += change
-        return total
+        return state, total
+
+    def count(self, run: str) -> int:
+        """Tokens of a run of characters, from the first state on."""
+        return self.follow(0, run)[1]
+
+    def name(self, state: int) -> str:
+        """What a state is, in a form that other workers read too."""
+        return json.dumps(self.states[state], ensure_ascii=False)
+
+    def named(self, name: str) -> int:
+        found = ((run, count, tuple(left) if isinstance(left, list) else left) for run, count, left in json.loads(name))
+        return self._state(tuple(found))
+
+    def state_map(self, befores: list[str], run: str) -> StateMap:
+        """From the states that each of ``befores`` leads to, to what ``run`` leads to."""
+        known: StateMap = {}
+        trail: list[tuple[str, int]] = []  # of the first state
+        for before in befores:
+            state = self.follow(0, before)[0]
+            name = self.name(state)
+            if name in known:
+                continue
+            own, total = [], 0
+            for character in run[:MEETING]:
+                state, change = self.follow(state, character)
+                total += change
+                own.append((self.name(state), total))
+            met = next((i for i, (a, b) in enumerate(zip(own, trail)) if a[0] == b[0]), None)
+            if met is None:
+                state, more = self.follow(state, run[MEETING:])
+                known[name] = self.name(state), total + more
+            else:
+                end, of_first = known[first]
+                known[name] = end, of_first + own[met][1] - trail[met][1]
+            if not trail:
+                first, trail = name, own
+        return known
 
 
-Chunk = tuple[str, int | None, str]
+Run = tuple[tuple[str, StateMap], ...]
+"""Stretches of text, with what is known of them, and no space after a word in them all."""
+Chunk = tuple[Run, int | None, Run]
 """Characters up to the first space after a word, the count from there to the last such
 space, and the rest. Without such a space: all characters, None, nothing."""
 
@@ -223,25 +281,51 @@ class Counter(dict):
             spaces += 1
         return total + self.machine.count(SPACE * spaces + words[-1])
 
-    def chunk(self, text: str) -> Chunk:
+    def chunk(self, text: str, context: str | None = None) -> Chunk:
+        """``context`` are characters before the text; without it no states are mapped."""
         first = _WORD_END.search(text)
         if first is None:
-            return text, None, ""
+            return self.run(text, context), None, ()
         bare = text.rstrip(" ")
         last = len(bare) if len(bare) < len(text) else len(text[: text.rindex(" ")].rstrip(" "))
-        between = text[first.start() + 1 : last]
-        return text[: first.start()], self.spaced(between) if last > first.start() else 0, text[last:]
+        between = self.spaced(text[first.start() + 1 : last]) if last > first.start() else 0
+        return self.run(text[: first.start()], context), between, self.run(text[last:], context and "")
+
+    def run(self, text: str, context: str | None) -> Run:
+        if context is None or len(text) < MAPPED:
+            return ((text, {}),) if text else ()
+        words = [m.start() for m in _WORD_END.finditer(context)]
+        if not context or (text[0] == " " != context[-1]):
+            befores = [""]  # a word begins with the text
+        elif words:
+            befores = [context[words[-1] :]]
+        else:
+            befores = [context[i:] for i in range(min(STARTS, len(context)))]
+        befores = [b.replace(" ", SPACE) for b in befores]
+        return ((text, self.machine.state_map(befores, text.replace(" ", SPACE))),)
+
+    def measured(self, run: Run) -> int:
+        """Tokens of a run that begins with a space."""
+        state, total = 0, 0
+        for text, known in run:
+            found = known.get(self.machine.name(state)) if known else None
+            if found is None:
+                state, more = self.machine.follow(state, text.replace(" ", SPACE))
+            else:
+                state, more = self.machine.named(found[0]), found[1]
+            total += more
+        return total
 
     def compose(self, a: Chunk, b: Chunk) -> Chunk:
-        if a[1] is None and b[1] is None:
-            return self.chunk(a[0] + b[0])
-        seam = self.chunk((a[0] if a[1] is None else a[2]) + b[0])
-        whole_seam = seam[0] if seam[1] is None else None
-        if a[1] is None:  # what precedes stays open at its begin, and ends where b's first word does
-            return (whole_seam, b[1], b[2]) if seam[1] is None else (seam[0], seam[1] + self.spaced(seam[2][1:]) + b[1], b[2])
-        if b[1] is None:  # the begin is closed, the end stays open
-            return (a[0], a[1], whole_seam) if seam[1] is None else (a[0], a[1] + self.spaced(seam[0][1:]) + seam[1], seam[2])
-        return a[0], a[1] + self.spaced((a[2] + b[0])[1:]) + b[1], b[2]
+        x, y = a[0] if a[1] is None else a[2], b[0]
+        if x and y and x[-1][0][-1] != " " == y[0][0][0]:  # a word ends where they meet
+            left = (x, 0) if a[1] is None else (a[0], a[1] + self.measured(x))
+            return (*left, y) if b[1] is None else (left[0], left[1] + self.measured(y) + b[1], b[2])
+        if a[1] is None:
+            return x + y, b[1], b[2]
+        if b[1] is None:
+            return a[0], a[1], x + y
+        return a[0], a[1] + self.measured(x + y) + b[1], b[2]
 
     def scan(self, chunks: list[Chunk]) -> Chunk:
         """Compose neighbours, then neighbours of these, until one is left."""
@@ -252,9 +336,12 @@ class Counter(dict):
     def finish(self, chunk: Chunk) -> int:
         """Tokens of a whole text, which gets a space in front unless it is empty."""
         head, between, rest = chunk
-        if between is None:
-            return self.spaced(head) if head else 0
-        return self.spaced(head) + between + self.spaced(rest[1:])
+        if not head:
+            return 0
+        return self.measured(((" ", {}), *head)) + (0 if between is None else between + self.measured(rest))
+
+    def text(self, text: str) -> int:
+        return self.spaced(text) if text else 0
 
 
 @lru_cache(maxsize=4)
@@ -268,21 +355,36 @@ def plain(text: str) -> str:
     return text.replace(SPACE, " ") if SPACE in text else text
 
 
-def chunk_maps(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Replace the column ``text`` by its map ``head``, ``between``, ``rest``."""
-    kept = [f for f in df.schema.fields if f.name != text]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["head string, between long, rest string"])
+RUN = pa.list_(pa.struct([("text", pa.string()), ("starts", pa.list_(pa.string())), ("ends", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]))
+RUN_SQL = "array<struct<text: string, starts: array<string>, ends: array<string>, counts: array<long>>>"
+
+
+def _written(run: Run) -> list[dict]:
+    return [
+        {"text": text, "starts": list(known), "ends": [e for e, _ in known.values()], "counts": [n for _, n in known.values()]}
+        for text, known in run
+    ]
+
+
+def _read(run: list[dict]) -> Run:
+    return tuple((s["text"], dict(zip(s["starts"], zip(s["ends"], s["counts"])))) for s in run)
+
+
+def chunk_maps(parts: DataFrame, path: str) -> DataFrame:
+    """Rows of (row, part, before, text), the first ``before`` characters of a text being those
+    before the chunk, to (row, part, head, between, rest)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path)
-        for batch in small_batches(batches, text):
-            maps = [counter.chunk(plain(t)) for t in batch.column(text).to_pylist()]
-            columns = [batch.column(f.name) for f in kept]
-            heads, between, rests = zip(*maps)
-            columns += [pa.array(heads, pa.string()), pa.array(between, pa.int64()), pa.array(rests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + ["head", "between", "rest"])
+        for batch in small_batches(batches, "text"):
+            texts = zip(batch.column("before").to_pylist(), map(plain, batch.column("text").to_pylist()))
+            heads, between, rests = zip(*[counter.chunk(t[n:], t[:n]) for n, t in texts])
+            runs = [pa.array(list(map(_written, column)), RUN) for column in (heads, rests)]
+            columns = [batch.column("row"), batch.column("part"), runs[0], pa.array(between, pa.int64()), runs[1]]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "part", "head", "between", "rest"])
 
-    return df.mapInArrow(count, schema)
+    kind = parts.schema["row"].dataType.simpleString()
+    return parts.mapInArrow(count, f"row {kind}, part int, head {RUN_SQL}, between long, rest {RUN_SQL}")
 
 
 def _composed(df: DataFrame, path: str) -> DataFrame:
@@ -294,7 +396,7 @@ def _composed(df: DataFrame, path: str) -> DataFrame:
             n = []
             for i in range(batch.num_rows):  # the maps of one text at a time
                 maps = batch.column("maps")[i].as_py()
-                n.append(counter.finish(counter.scan([(m["head"], m["between"], m["rest"]) for m in maps])))
+                n.append(counter.finish(counter.scan([(_read(m["head"]), m["between"], _read(m["rest"])) for m in maps])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
             )
@@ -303,22 +405,39 @@ def _composed(df: DataFrame, path: str) -> DataFrame:
     return df.mapInArrow(compose, f"doc_id {kind}, n_bytes long, n_tokens long")
 
 
+def _counted(df: DataFrame, path: str) -> DataFrame:
+    """Rows of (doc_id, n_bytes, text) to token counts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(path)
+        for batch in small_batches(batches, "text"):
+            n = [counter.text(plain(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
+            )
+
+    return df.mapInArrow(count, f"doc_id {dict(df.dtypes)['doc_id']}, n_bytes long, n_tokens long")
+
+
 def count_tokens(docs: DataFrame, path: str, long: int = LONG) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_bytes`` and ``n_tokens`` with the model at ``path``.
 
-    Texts up to ``long`` characters are one chunk, counted where they are read. Longer ones
-    are cut into rows, spread over the tasks, and only their maps come together again.
+    Texts up to ``long`` characters are counted where they are read. Longer ones are cut into
+    rows, spread over the tasks, and only their maps come together again.
     """
     rows = docs.select("doc_id", F.octet_length(whole()).cast("long").alias("n_bytes"), whole().alias("text"))
-    short = chunk_maps(rows.where(F.length("text") <= long), path)
-    short = short.select("doc_id", "n_bytes", F.array(F.struct("head", "between", "rest")).alias("maps"))
-    cut = rows.where(F.length("text") > long).withColumn("row", F.monotonically_increasing_id())
-    parts = F.transform(
-        F.sequence(F.lit(0), F.expr(f"(length(text) - 1) div {long}").cast("int")),
-        lambda i: F.col("text").substr(i * F.lit(long) + F.lit(1), F.lit(long)),
-    )
-    cut = cut.select("doc_id", "n_bytes", "row", F.posexplode(parts).alias("part", "text"))
+    short = _counted(rows.where(F.length("text") <= long), path)
+    cut = rows.where(F.length("text") > long).withColumns({"id": F.monotonically_increasing_id(), "padded": F.concat(F.lit(" "), "text")})
+    row = F.struct("id", "doc_id", "n_bytes").alias("row")
+    # With the space that a text gets in front, a chunk begins one character later.
+
+    def part(i):
+        before = F.least(F.lit(CONTEXT), F.lit(1) + i * F.lit(long))
+        begin = F.lit(2) + i * F.lit(long) - before
+        return F.struct(before.cast("int").alias("before"), F.col("padded").substr(begin, before + F.lit(long)).alias("text"))
+
+    parts = F.transform(F.sequence(F.lit(0), F.expr(f"(length(text) - 1) div {long}").cast("int")), part)
+    cut = cut.select(row, F.posexplode(parts).alias("part", "cut")).select("row", "part", "cut.before", "cut.text")
     maps = chunk_maps(cut.repartition("row", "part"), path)
-    gathered = maps.groupBy("row", "doc_id", "n_bytes").agg(F.sort_array(F.collect_list(F.struct("part", "head", "between", "rest"))).alias("maps"))
-    gathered = gathered.select("doc_id", "n_bytes", F.transform("maps", lambda m: F.struct(m["head"], m["between"], m["rest"])).alias("maps"))
-    return _composed(short, path).unionByName(_composed(gathered, path))
+    gathered = maps.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("part", "head", "between", "rest"))).alias("maps"))
+    return short.unionByName(_composed(gathered.select("row.doc_id", "row.n_bytes", "maps"), path))
