@@ -39,7 +39,7 @@ LEAF = 256
 """Symbols up to which a run is encoded at once."""
 GIANT = 1 << 16
 """Symbols from which on the pieces of a run are rows of their own."""
-MAX_WORDS = 11 << 15
+MAX_WORDS = 1 << 19
 MAX_CHARACTERS = 1 << 23
 """Words, and characters of words, up to which a task remembers encodings."""
 END = "</w>"
