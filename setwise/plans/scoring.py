@@ -14,7 +14,6 @@ from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
 from setwise.operators.phases import mark_phases, phase_table, summarise_phases
 from setwise.session import cut
 from setwise.sources.change_log import ChangeLog
-from setwise.sources.files import exists, partition_folder, remove
 from setwise.sources.run_store import RunStore
 from setwise.sources.tables import read_report, read_table, read_touched, replace_partitions, write_report
 
@@ -29,8 +28,8 @@ class ScoringJob:
     """Reads which sessions of the production table changed, scores these as a whole, and
     writes their gold rows and summaries.
 
-    Gold and the reports are partitioned by session, and a session replaces what was there;
-    one that has left the production table is removed. So a session that came in several
+    Gold is partitioned by session, and a session replaces what was there; in the reports its
+    last summary counts. One that has left the production table is in neither. So a session that came in several
     deliveries has one summary, and a run that is repeated after a failure gives the same
     tables. The change log is followed as a stream, whose ``checkpoint`` moves last.
     """
@@ -80,16 +79,8 @@ class ScoringJob:
         marked = mark_phases(scored, axis, rest_rule=self.rest_rule, legacy=self.legacy).persist(StorageLevel.DISK_ONLY)
         try:
             replace_partitions(marked, self.gold, "filename", touched, GOLD_ROWS_PER_FILE)
-            write_report(summarise(marked, axis), self.reports)
-            self._drop_reports(touched, marked)
+            gone = touched.join(marked.select("filename").distinct(), "filename", "left_anti")
+            write_report(summarise(marked, axis), self.reports, "filename", gone)
         finally:
             marked.unpersist()
             scored.unpersist()
-
-    def _drop_reports(self, touched: DataFrame, marked: DataFrame) -> None:
-        spark = touched.sparkSession
-        gone = touched.join(marked.select("filename").distinct(), "filename", "left_anti")
-        for row in gone.toLocalIterator():
-            folder = partition_folder(spark, self.reports, "filename", row["filename"])
-            if exists(spark, folder):
-                remove(spark, folder)

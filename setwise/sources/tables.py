@@ -1,25 +1,37 @@
 """Tables: creation, scans, partition overwrite, keyed upsert, reports.
 
-A target is a catalog name (``db.table``) or, if it contains a slash, a path.
+A target is a catalog name (``db.table``) or, if it contains a slash, a path. Below a path,
+the folders of a partition column lie in folders of a hash of it, so that the folders to
+look at for any number of values are at most ``BUCKETS``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setwise.contract import GOLD_ROWS_PER_FILE
 from setwise.sources.change_log import ChangeLog
-from setwise.sources.files import exists, partition_folder, remove
+from setwise.sources.files import exists, names_in, partition_folder, remove
 
 PRUNED_KEYS = 10_000
 """Up to this many partition values are listed in the plan to prune the scan."""
 
+BUCKET = "session_bucket"
+BUCKETS = 4096
+"""Folders of a path between the table and those of its partition column."""
+
+REPORT, LEFT = "report_number", "left_table"
+STATEMENT = 500
+"""Partitions that one statement drops."""
+
 _DYNAMIC = "partitionOverwriteMode=dynamic"
 
 
@@ -39,7 +51,7 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
         return spark.table(target)
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return reader.parquet(target)
+        return reader.parquet(target).drop(BUCKET)
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -95,6 +107,11 @@ def _require_dynamic(spark: SparkSession, name: str, max_rows_per_file: int) ->
         spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ('maxRecordsPerFile' = '{max_rows_per_file}')")
 
 
+def bucket_of(partition: str) -> Column:
+    """The bucket of a partition value. Null and the empty text share a folder, so a bucket too."""
+    return F.pmod(F.xxhash64(F.nullif(F.col(partition).cast("string"), F.lit(""))), F.lit(BUCKETS)).cast("int")
+
+
 def overwrite_partitions(df: DataFrame, target: str, partition: str, max_rows_per_file: int = 0) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
@@ -111,23 +128,34 @@ def overwrite_partitions(df: DataFrame, target: str, partition: str, max_rows_pe
         spread.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
         return
     (
-        spread.write.mode("overwrite")
+        spread.withColumn(BUCKET, bucket_of(partition))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows_per_file)
-        .partitionBy(partition)
+        .partitionBy(BUCKET, partition)
         .parquet(target)
     )
 
 
-def drop_partitions(spark: SparkSession, target: str, partition: str, values: Sequence[str | None]) -> None:
-    """Remove the rows of these partition values, given as text."""
-    for value in values:
-        if is_path(target):
-            remove(spark, partition_folder(spark, target, partition, value))
-        elif value is None:
-            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({partition} = null)")
-        else:
-            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({partition} = :value)", args={"value": value})
+def drop_partitions(gone: DataFrame, target: str, partition: str) -> None:
+    """Remove the rows of the partition values in ``gone``. A catalog table takes ``STATEMENT``
+    values at a time; below a path, several folders are removed at once."""
+    spark = gone.sparkSession
+    values = gone.select(F.col(partition).cast("string"), bucket_of(partition)).distinct().toLocalIterator()
+    if not is_path(target):
+        for some in batched((value for value, _ in values), STATEMENT):
+            _drop_listed(spark, target, partition, some)
+        return
+    with ThreadPoolExecutor(16) as pool:
+        folders = (partition_folder(spark, f"{target.rstrip('/')}/{BUCKET}={bucket}", partition, value) for value, bucket in values)
+        list(pool.map(lambda folder: remove(spark, folder), folders))
+
+
+def _drop_listed(spark: SparkSession, name: str, partition: str, values: Iterable[str | None]) -> None:
+    named = {f"v{i}": value for i, value in enumerate(values)}
+    listed = [f"PARTITION ({partition} = {'null' if value is None else ':' + mark})" for mark, value in named.items()]
+    told = {mark: value for mark, value in named.items() if value is not None}
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(listed)}", args=told)
 
 
 def replace_partitions(
@@ -140,7 +168,7 @@ def replace_partitions(
         return
     filled = df.select(F.col(partition).alias("__filled")).distinct()
     gone = touched.select(partition).distinct().join(filled, F.col(partition).eqNullSafe(F.col("__filled")), "left_anti")
-    drop_partitions(spark, target, partition, [r[0] for r in gone.select(F.col(partition).cast("string")).toLocalIterator()])
+    drop_partitions(gone, target, partition)
 
 
 def append_table(
@@ -178,16 +206,17 @@ def touched_rows(table: DataFrame, updates: DataFrame, partition: str, most: int
 def read_touched(
     spark: SparkSession, target: str, updates: DataFrame, partition: str, schema: T.StructType, most: int | None = None
 ) -> DataFrame:
-    """The same from a target. A path is not listed as a whole: only the folders of the
-    values are looked at, unless there are very many."""
-    listed = listed_values(updates, partition, most) if is_path(target) else None
-    if listed is None:
+    """The same from a target. Of a path, only the buckets of the values are listed, by Spark
+    where they are many; the table itself is looked at once."""
+    if not is_path(target):
         return touched_rows(read_table(spark, target, schema), updates, partition, most)
-    folders = [partition_folder(spark, target, partition, value) for value in listed]
-    there = [folder for folder in folders if exists(spark, folder)]
-    if not there:
+    wanted = updates.select(bucket_of(partition)).distinct().collect()
+    folders = {f"{BUCKET}={row[0]}" for row in wanted}.intersection(names_in(spark, target))
+    if not folders:
         return empty(spark, schema)
-    return spark.read.schema(schema).option("basePath", target).parquet(*there)
+    places = [f"{target.rstrip('/')}/{folder}" for folder in sorted(folders)]
+    rows = spark.read.schema(schema).option("basePath", target).parquet(*places).drop(BUCKET)
+    return touched_rows(rows, updates, partition, most)
 
 
 _MARKS = ("__new", "__was_there", "__updated", "__changed")
@@ -292,24 +321,30 @@ def upsert(
     return version
 
 
-def write_report(summary: DataFrame, path: str, session: str = "filename") -> None:
-    """The summary as JSON lines, a folder for each session. A session that is summed up
-    again replaces what was there. Columns without a value are written too."""
-    (
-        summary.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", False)
-        .partitionBy(session)
-        .json(path)
-    )
-
-
-def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A report with all its columns, whether any row has a value for them or not."""
+def write_report(summary: DataFrame, path: str, session: str = "filename", gone: DataFrame | None = None) -> None:
+    """The summary as JSON lines, many sessions a file, in a folder with the next number. A
+    session that is summed up again is read from its last folder, and one of the sessions in
+    ``gone`` (one column) is read no more; so a run that failed and is repeated changes
+    nothing. Columns without a value are written too."""
+    spark = summary.sparkSession
+    rows = summary.withColumn(LEFT, F.lit(False))
+    if gone is not None:
+        rows = rows.unionByName(gone.select(session).withColumn(LEFT, F.lit(True)), allowMissingColumns=True)
+    prefix = f"{REPORT}="
+    numbers = [int(n.removeprefix(prefix)) for n in names_in(spark, path) if n.startswith(prefix)]
+    place = f"{path.rstrip('/')}/{prefix}{max(numbers, default=-1) + 1}"
+    rows.hint("rebalance").write.option("ignoreNullFields", False).json(place)
+
+
+def read_report(spark: SparkSession, path: str, schema: T.StructType, session: str = "filename") -> DataFrame:
+    """The last summary of each session, with all its columns, whether any row has a value
+    for them or not."""
+    told = T.StructType([*schema.fields, T.StructField(LEFT, T.BooleanType()), T.StructField(REPORT, T.IntegerType())])
     try:
-        rows = spark.read.schema(schema).json(path)
+        rows = spark.read.schema(told).json(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, schema)
-    return rows.select(*schema.names)
+    last = rows.groupBy(F.col(session).alias("__session")).agg(F.max_by(F.struct(*schema.names, LEFT), REPORT).alias("__last"))
+    return last.where(~F.col(f"__last.{LEFT}")).select(*[F.col(f"__last.{name}") for name in schema.names])

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from setwise.contract import BATCH_BYTES, SESSION_FILE
 from setwise.sources.session_files import session_files
-from setwise.sources.tables import is_path
+from setwise.sources.tables import BUCKET, bucket_of, is_path
 
 
 def ingest(
@@ -21,11 +21,15 @@ def ingest(
     max_bytes: int = BATCH_BYTES,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Append all files not seen before and stop. The checkpoint remembers the files."""
+    """Append all files not seen before and stop. The checkpoint remembers the files. Below a
+    path, sessions lie in buckets, as readers of single sessions expect."""
     rows = session_files(spark, landing, schema, name, stream=True, max_bytes=max_bytes, max_files=max_files)
+    folders = ["filename"]
+    if is_path(bronze):
+        rows, folders = rows.withColumn(BUCKET, bucket_of("filename")), [BUCKET, *folders]
     writer = (
         rows.writeStream.format("parquet")
-        .partitionBy("filename")
+        .partitionBy(*folders)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

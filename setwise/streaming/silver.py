@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from setwise import contract as C
@@ -15,7 +16,7 @@ from setwise.operators.cleaning import clean_samples, resample_where, route, sel
 from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
 from setwise.operators.signals import label_session
 from setwise.sources.change_log import ChangeLog
-from setwise.sources.tables import is_path, read_touched, upsert
+from setwise.sources.tables import BUCKET, is_path, read_touched, upsert
 
 KEYS = ("filename", "time_vector")
 FILE = "__file"
@@ -79,8 +80,9 @@ class SilverJob:
     def run(self) -> StreamingQuery:
         limit = ("maxFilesPerTrigger", self.max_files) if self.max_files else ("maxBytesPerTrigger", self.max_bytes)
         reader = self.spark.readStream.option(*limit)
-        rows = reader.schema(C.BRONZE).parquet(self.bronze) if is_path(self.bronze) else reader.table(self.bronze)
-        rows = rows.withColumn(FILE, F.struct("_metadata.file_path", "_metadata.file_size"))
+        bucketed = T.StructType([*C.BRONZE.fields, T.StructField(BUCKET, T.IntegerType())])
+        rows = reader.schema(bucketed).parquet(self.bronze) if is_path(self.bronze) else reader.table(self.bronze)
+        rows = rows.withColumn(FILE, F.struct("_metadata.file_path", "_metadata.file_size")).drop(BUCKET)
         query = (
             rows.writeStream.foreachBatch(self.update)
             .outputMode("append")

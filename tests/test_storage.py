@@ -37,9 +37,10 @@ def test_upsert_updates_inserts_and_repeats(spark):
 def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     target = str(tmp_path / "t")
     upsert(spark, target, [(1, "a", "x"), (3, "c", "y")])
-    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "part=y").iterdir()}
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob(f"{tables.BUCKET}=*/part=y/*")}
+    assert files
     upsert(spark, target, [(1, "A", "x")])
-    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "part=y").iterdir()} == files
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob(f"{tables.BUCKET}=*/part=y/*")} == files
 
 
 def test_many_touched_partitions_become_a_join(spark, monkeypatch):
@@ -245,6 +246,31 @@ def test_reports_keep_columns_without_values(spark):
     assert content(tables.read_report(spark, path, schema)) == [("a", 2, None), ("b", 5, None)]
 
 
+def test_a_report_forgets_sessions_that_left(spark):
+    path = work_dir(spark, "report")
+    schema = T.StructType([T.StructField("filename", T.StringType()), T.StructField("n", T.LongType())])
+    tables.write_report(spark.createDataFrame([(f"s{i}", i) for i in range(30)] + [(None, 7)], schema), path)
+    tables.write_report(spark.createDataFrame([("s1", 100)], schema), path, "filename", spark.createDataFrame([("s2",), (None,)], schema[:1]))
+    want = sorted([(f"s{i}", i) for i in range(30) if i not in (1, 2)] + [("s1", 100)], key=repr)
+    assert content(tables.read_report(spark, path, schema)) == want
+    assert len(spark.read.schema(schema).json(path).inputFiles()) <= 4, "many sessions share a file"
+    tables.write_report(spark.createDataFrame([("s2", 5)], schema), path)
+    assert ("s2", 5) in content(tables.read_report(spark, path, schema)), "a session may come back"
+
+
+@pytest.mark.parametrize("name", [None, "left.t"])
+def test_partitions_that_left_are_dropped(spark, monkeypatch, name):
+    monkeypatch.setattr(tables, "STATEMENT", 2)
+    if name:
+        tables.create_database(spark, "left", work_dir(spark, "left"))
+    target = name or work_dir(spark, "t")
+    parts = ["a b", "c:d", "e'f", "g=h", None, "kept"]
+    tables.overwrite_partitions(frame(spark, *[(i, "v", part) for i, part in enumerate(parts)]), target, "part")
+    touched = frame(spark, *[(0, "v", part) for part in [*parts[:-1], "absent"]])
+    tables.replace_partitions(frame(spark, (9, "w", "c:d")), target, "part", touched)
+    assert content(tables.read_table(spark, target)) == [(5, "v", "kept"), (9, "w", "c:d")]
+
+
 def test_rescued_cells(spark):
     schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.IntegerType())])
     raw = spark.createDataFrame([("1.5", "2"), ("x", "2"), ("inf", "1.5z"), (None, None)], "a string, b string")
