@@ -53,6 +53,13 @@ def repeated_cells(digests: DataFrame, cells: int) -> DataFrame:
     return twice.groupBy(F.expr("cell div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
+def hit_cells(digests: DataFrame, cells: int) -> DataFrame:
+    """Cells hit at all, packed in the same way."""
+    hit = digests.select(F.explode(F.array(*_cells(F.col("digest"), cells))).alias("cell"))
+    bit = F.expr("shiftleft(1L, cast(cell % 64 as int))")
+    return hit.groupBy(F.expr("cell div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
 def with_suspicion(df: DataFrame, bloom: DataFrame, cells: int) -> DataFrame:
     """Add ``suspect``: whether the text may occur twice. No row is shuffled."""
     bounded = F.broadcast(bloom)

@@ -1,9 +1,13 @@
 """WARC archives: written by Spark's text writer, indexed first, read by byte ranges.
 
 * Writing: a record is one line of a text file whose line separator is the blank lines that
-  end a WARC record, so the archives can be written to any store that Spark writes to. The
-  payloads are not shuffled: only a digest and an id per page are compared to find out which
-  records repeat an earlier payload.
+  end a WARC record, so the archives can be written to any store that Spark writes to. Which
+  records revisit another is found out from digest, id and URL of the pages, and revisits are
+  written from these alone. A payload is written where it was read, unless a Bloom filter of
+  the revisits names its page. Pages that it names by mistake are listed, and have a filter of
+  their own; only payloads that pass both are compared with the list. The filters have at most
+  ``MAX_CELLS`` cells: far more revisits let more payloads pass, and the result stays the same.
+  No join is by digest once a payload is in it, so many copies meet in no task.
 * Index: one pass over the archives gives offset, length, URL and digest of each record.
 * Reading: the ranges of the selected records, sorted by offset, are joined where the gap
   between them is small, and each joined range is read at once.
@@ -25,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from setwise.llm.common import store, whole
+from setwise.llm.exact_dedup import MAX_CELLS, cell_count, hit_cells, with_suspicion
 from setwise.session import work_dir
 
 LEAST_BYTES = 1000
@@ -40,12 +45,34 @@ INDEX = (
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
-def repeated_payloads(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """Digest and largest id of the payloads that occur more than once."""
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with their payload (``body``), its ``size`` and ``sha1``."""
     body = whole("html")
-    digests = pages.where(F.octet_length(body) >= least).select(F.sha1(body).alias("same"), "page_id")
-    groups = digests.groupBy("same").agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    return groups.where("n > 1").select("same", "first_id")
+    return pages.select("page_id", "url", body.alias("body"), F.octet_length(body).alias("size"), F.sha1(body).alias("sha1"))
+
+
+def revisiting(slim: DataFrame) -> DataFrame:
+    """The captures that repeat a payload, with ``first_id``, the largest id that has it."""
+    groups = slim.groupBy("sha1").agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    groups = store(groups.where("n > 1 AND first_id IS NOT NULL").select("sha1", "first_id"), "repeated")
+    return slim.join(groups, "sha1").where(~F.col("page_id").eqNullSafe(F.col("first_id")))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """With ``digest``, what the filters hash: captures that agree in it are both revisits or
+    both not."""
+    return rows.withColumn("digest", F.concat_ws(":", "sha1", F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
+
+
+class NameFilter:
+    """A Bloom filter of names, at most ``most`` cells, which are broadcast."""
+
+    def __init__(self, names: DataFrame, most: int):
+        self.cells = cell_count(names.count(), most=most)
+        self.bits = store(hit_cells(names, self.cells), "name_filter")
+
+    def mark(self, rows: DataFrame, column: str) -> DataFrame:
+        return with_suspicion(rows, self.bits, self.cells).withColumnRenamed("suspect", column)
 
 
 def record_name(page_id: Column) -> Column:
@@ -60,16 +87,13 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
 
 
-def records(pages: DataFrame, repeated: DataFrame, least: int, date: str) -> DataFrame:
-    """One WARC record per page, without the blank lines that end it.
+def records(rows: DataFrame, date: str) -> DataFrame:
+    """One WARC record per capture, without the blank lines that end it. Those with a
+    ``first_id`` are revisits.
 
     A revisit keeps the HTTP headers of its own capture, and so the length of the payload.
     """
-    body = whole("html")
-    rows = pages.select("page_id", "url", body.alias("body"), F.octet_length(body).alias("size"), F.sha1(body).alias("digest"))
-    rows = rows.join(repeated, (F.col("digest") == F.col("same")) & (F.col("size") >= least), "left")
-    # Only a digest that repeats has a first id; a known id other than that one revisits it.
-    revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    revisit = F.col("first_id").isNotNull()
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"), _header("Content-Length", F.col("size")), F.lit("\r\n")
     )
@@ -81,7 +105,7 @@ def records(pages: DataFrame, repeated: DataFrame, least: int, date: str) -> Dat
         _header("WARC-Record-ID", record_name(F.col("page_id"))),
         _header("WARC-Date", F.lit(date)),
         _header("WARC-Target-URI", url),
-        _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
+        _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "sha1")),
         _header("WARC-Refers-To", F.when(revisit, record_name(F.col("first_id")))),
         _header("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         _header("X-Page-Id", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
@@ -93,12 +117,24 @@ def records(pages: DataFrame, repeated: DataFrame, least: int, date: str) -> Dat
     return rows.select(F.concat(head, block).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, date: str = "1970-01-01T00:00:00Z") -> None:
-    """One archive per task below ``path``. The table of repeated payloads is stored first,
-    so that Spark knows its size and broadcasts it only if it is small."""
-    pages = pages.select("page_id", "url", "html")
-    repeated = store(repeated_payloads(pages, least), "repeated")
-    records(pages, repeated, least, date).write.option("lineSep", END).text(path)
+def write_archives(
+    pages: DataFrame, path: str, least: int = LEAST_BYTES, date: str = "1970-01-01T00:00:00Z", max_cells: int = MAX_CELLS
+) -> None:
+    """One archive per task below ``path``."""
+    pages = captures(pages)
+    slim = _named(store(pages.drop("body").where(F.col("size") >= least), "captures"))
+    revisits = store(revisiting(slim), "revisits")
+    first = NameFilter(revisits, max_cells)
+    mistaken = first.mark(slim, "maybe").where("maybe").join(revisits.select("digest"), "digest", "left_anti")
+    mistaken = store(mistaken.select("digest").distinct(), "mistaken")
+    second = NameFilter(mistaken, max_cells)
+
+    bodies = first.mark(_named(pages), "maybe").withColumn("maybe", F.col("maybe") & (F.col("size") >= least))
+    named = second.mark(bodies.where("maybe"), "likely").where("likely").join(mistaken, "digest", "left_semi")
+    responses = bodies.where("NOT maybe").unionByName(named.drop("likely")).withColumn("first_id", F.lit(None))
+    columns = ["page_id", "url", "body", "size", "sha1", "first_id"]
+    rows = responses.select(columns).unionByName(revisits.withColumn("body", F.lit("")).select(columns))
+    records(rows, date).write.option("lineSep", END).text(path)
 
 
 def _open(archive: str) -> pa.NativeFile:
@@ -201,9 +237,9 @@ def read_records(selected: DataFrame, payloads: bool = True, gap: int = GAP_BYTE
     return ranges.mapInPandas(read, RECORDS)
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def round_trip(pages: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     """Write archives, index them and read every record back."""
     spark = pages.sparkSession
     path = work_dir(spark, "warc")
-    write_archives(pages, path)
+    write_archives(pages, path, max_cells=max_cells)
     return read_records(archive_index(spark, path), payloads=False).drop("payload")

@@ -226,6 +226,28 @@ def test_archives_round_trip(spark):
     assert {p: r["refers_to"] for p, r in got.items() if r["record_type"] == "revisit"} == {1: 9, 2: 9, None: 7}
 
 
+@pytest.mark.parametrize("cells, most", [(warc.MAX_CELLS, "-1"), (64, "-1"), (256, "10485760")])
+def test_filters_of_any_size_give_the_same_archives(spark, cells, most):
+    """Many copies and many single pages, with filters that name nearly all pages by mistake,
+    and joins that are not broadcast."""
+    texts = {i: f"{i % 7}" * 1200 if i % 3 else f"page {i} " * (i % 400) for i in range(600)}
+    pages = spark.createDataFrame([(i, None, t) for i, t in texts.items()] + [(4, "again", texts[4]), (598, "again", texts[598])], "page_id long, url string, html string")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    try:
+        got = [(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.round_trip(pages.repartition(4), max_cells=cells).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    last = {}
+    for i, text in texts.items():
+        last[text] = max(i, last.get(text, i))
+    want = []
+    for i in [*texts, 4, 598]:
+        revisit = len(texts[i]) >= 1000 and last[texts[i]] != i
+        want.append((i, "revisit", last[texts[i]]) if revisit else (i, "response", None))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_selected_records_are_read_by_few_ranges(spark):
     from setwise.session import work_dir
 
