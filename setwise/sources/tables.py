@@ -182,11 +182,11 @@ def append_table(
     writer.partitionBy(*partition_on).parquet(target)
 
 
-def listed_values(values: DataFrame, partition: str, most: int | None = None) -> list[str | None] | None:
-    """The partition values as text, or None if there are more than ``most``."""
+def listed_values(values: DataFrame, partition: str, most: int | None = None) -> dict[str | None, int] | None:
+    """The partition values as text with their buckets, or None if there are more than ``most``."""
     most = PRUNED_KEYS if most is None else most
-    found = values.select(F.col(partition).cast("string")).distinct().limit(most + 1).collect()
-    return None if len(found) > most else [row[0] for row in found]
+    found = values.select(F.col(partition).cast("string"), bucket_of(partition)).distinct().limit(most + 1).collect()
+    return None if len(found) > most else dict(map(tuple, found))
 
 
 def touched_rows(table: DataFrame, updates: DataFrame, partition: str, most: int | None = None) -> DataFrame:
@@ -194,7 +194,10 @@ def touched_rows(table: DataFrame, updates: DataFrame, partition: str, most: int
 
     A short list of values prunes the scan; a long one becomes a semi-join.
     """
-    listed = listed_values(updates, partition, most)
+    return _rows_of(table, updates, partition, listed_values(updates, partition, most))
+
+
+def _rows_of(table: DataFrame, updates: DataFrame, partition: str, listed: dict[str | None, int] | None) -> DataFrame:
     if listed is None:
         values = updates.select(F.col(partition).alias("__touched")).distinct()
         return table.join(values, F.col(partition).eqNullSafe(F.col("__touched")), "left_semi")
@@ -208,15 +211,19 @@ def read_touched(
 ) -> DataFrame:
     """The same from a target. Of a path, only the buckets of the values are listed, by Spark
     where they are many; the table itself is looked at once."""
+    listed = listed_values(updates, partition, most)
     if not is_path(target):
-        return touched_rows(read_table(spark, target, schema), updates, partition, most)
-    wanted = updates.select(bucket_of(partition)).distinct().collect()
-    folders = {f"{BUCKET}={row[0]}" for row in wanted}.intersection(names_in(spark, target))
+        return _rows_of(read_table(spark, target, schema), updates, partition, listed)
+    if listed is None:
+        buckets = {row[0] for row in updates.select(bucket_of(partition)).distinct().collect()}
+    else:
+        buckets = set(listed.values())
+    folders = {f"{BUCKET}={bucket}" for bucket in buckets}.intersection(names_in(spark, target))
     if not folders:
         return empty(spark, schema)
     places = [f"{target.rstrip('/')}/{folder}" for folder in sorted(folders)]
     rows = spark.read.schema(schema).option("basePath", target).parquet(*places).drop(BUCKET)
-    return touched_rows(rows, updates, partition, most)
+    return _rows_of(rows, updates, partition, listed)
 
 
 _MARKS = ("__new", "__was_there", "__updated", "__changed")
