@@ -17,7 +17,7 @@ from setwise.operators.ordered import rolling_max, row_numbers
 from setwise.plans.scoring import ScoringJob
 from setwise.plans.training import train
 from setwise.plans.views import event_rows, load, sessions
-from setwise.session import cut, work_dir
+from setwise.session import cut, stored, work_dir
 from setwise.sources import tables
 from setwise.sources.change_log import ChangeLog, diff_changes, new_rows
 from setwise.sources.run_store import RunStore
@@ -671,26 +671,32 @@ def capped_append(spark, sf):
 
 def _recordings(spark, sf, landing=None, part=None) -> str:
     """Every user's history as session files in the recorder's format. ``part`` picks the
-    rows of one delivery. Files hold a bounded number of rows, so no user is too much for a
-    task."""
+    rows of one delivery. A recorder has a folder that names its stamp and device. Its files
+    hold many sessions, named in their last cell, and a bounded number of rows, so that there
+    are few files for any number of users and no user is too much for a task."""
     df, _ = sessions(spark, sf)
     df = df if part is None else df.join(part, ["filename", "event_id"], "left_semi")
-    name = F.concat(F.lit("20240115-101112_000123_MPU6500_"), F.col("filename").cast("string"), F.lit(".csv"))
+    name = F.concat(F.col("filename").cast("string"), F.lit(".csv"))
     buttons = {"button1": "trough", "button2": "peak", "button3": "start_end_excercise"}
     cells = [F.col(buttons.get(c, "value")).alias(c) for c in C.RAW if c != "timevector"]
     landing = landing or work_dir(spark, "landing")
-    rows = df.select(F.col("time_vector").alias("timevector"), *cells, name.alias("session"))
-    rows.hint("rebalance", "session").write.mode("append").partitionBy("session").option("header", True).csv(landing)
+    recorder = F.lit("20240115-101112_000123_MPU6500").alias("recorder")
+    rows = df.select(F.col("time_vector").alias("timevector"), *cells, name.alias(SESSION), recorder)
+    rows.hint("rebalance", SESSION).write.mode("append").partitionBy("recorder").option("header", True).csv(landing)
     return landing
 
 
-SESSION_FOLDER = r"session=([^/]+)"
+SESSION = "session"
+
+
+def _ingest(spark, landing, bronze, state) -> None:
+    recorder = F.regexp_extract(F.col("_metadata.file_path"), r"recorder=([^/]+)", 1)
+    ingest(spark, landing, bronze, state, name=F.concat_ws("_", recorder, SESSION), session=SESSION)
 
 
 def _ingested(spark, sf) -> str:
     landing, bronze, state = _recordings(spark, sf), work_dir(spark, "bronze"), work_dir(spark, "state")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), SESSION_FOLDER, 1)
-    ingest(spark, landing, bronze, state, name=folder)
+    _ingest(spark, landing, bronze, state)
     return bronze
 
 
@@ -742,12 +748,11 @@ def stream_silver_split(spark, sf):
     training, production, silver = (work_dir(spark, n) for n in ("training", "production", "silver"))
     pressed = F.col("trough") + F.col("peak") + F.col("start_end_excercise") > 0
     presses = F.sum(pressed.cast("int")).over(Window.partitionBy("filename").orderBy("time_us", "event_id"))
-    folder = F.regexp_extract(F.col("_metadata.file_path"), SESSION_FOLDER, 1)
     for first in (True, False):
         df, _ = sessions(spark, sf)
         part = df.withColumn("__presses", presses).where((F.col("__presses") == 0) == first)
         _recordings(spark, sf, landing, part.select("filename", "event_id"))
-        ingest(spark, landing, bronze, state, name=folder)
+        _ingest(spark, landing, bronze, state)
         SilverJob(spark, bronze, training, production, silver).run()
     return _silver_rows(spark, training, production)
 
@@ -861,7 +866,7 @@ def _own_labels(spark, sf):
     df, axis = sessions(spark, sf)
     number = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(float(n))) for k, n in KINDS.items()])
     rows = signals.label_session(df, axis).withColumn("kind", number)
-    return cut(rows.select(*ID, "kind", models.SET_LABEL, models.UP_LABEL, models.DOWN_LABEL))
+    return rows.select(*ID, "kind", models.SET_LABEL, models.UP_LABEL, models.DOWN_LABEL)
 
 
 # Trees that split as long as there is anything to tell apart, and one tree on all rows in
@@ -925,7 +930,7 @@ def score_sessions(spark, sf):
     production, gold, reports, log, mark, models_at = (
         work_dir(spark, n) for n in ("production", "gold", "reports", "log", "mark", "models")
     )
-    store, rows, changes = RunStore(spark, models_at), cut(_sensor_rows(spark, sf)), ChangeLog(spark, log)
+    store, rows, changes = RunStore(spark, models_at), stored(_sensor_rows(spark, sf)), ChangeLog(spark, log)
     run = store.start()
     for spec in models.chained_specs():
         store.save(run, C.RUN_NAME, spec.name, models.fit(spec, rows), spec.settings(), {})
@@ -934,7 +939,7 @@ def score_sessions(spark, sf):
     job = ScoringJob(spark, production, changes, mark, store, gold, reports)
     even = F.pmod(F.xxhash64("time_vector"), F.lit(2)) == 0
     for number, part in enumerate((samples.where(even), samples.where(~even))):
-        tables.upsert(spark, production, part, ("filename", "time_vector"), "filename", C.PRODUCTION, changes, number)
+        tables.upsert(spark, production, part, ("filename", "time_vector"), "filename", C.PRODUCTION, changes, number, packed=True)
         job.run()
     if job.run() is not None:
         raise AssertionError("nothing was new")

@@ -15,7 +15,7 @@ from setwise.operators.phases import mark_phases, phase_table, summarise_phases
 from setwise.session import cut
 from setwise.sources.change_log import ChangeLog
 from setwise.sources.run_store import RunStore
-from setwise.sources.tables import read_report, read_table, read_touched, replace_partitions, write_report
+from setwise.sources.tables import is_path, read_report, read_table, read_touched, replace_packed, replace_partitions, write_report
 
 
 def summarise(marked: DataFrame, axis: Axis) -> DataFrame:
@@ -28,7 +28,7 @@ class ScoringJob:
     """Reads which sessions of the production table changed, scores these as a whole, and
     writes their gold rows and summaries.
 
-    Gold is partitioned by session, and a session replaces what was there; in the reports its
+    Gold is a packed table (partitioned by session, if it is a name), and a session replaces what was there; in the reports its
     last summary counts. One that has left the production table is in neither. So a session that came in several
     deliveries has one summary, and a run that is repeated after a failure gives the same
     tables. The change log is followed as a stream, whose ``checkpoint`` moves last.
@@ -78,7 +78,8 @@ class ScoringJob:
         scored = score_chained(sessions, *models).persist(StorageLevel.DISK_ONLY)
         marked = mark_phases(scored, axis, rest_rule=self.rest_rule, legacy=self.legacy).persist(StorageLevel.DISK_ONLY)
         try:
-            replace_partitions(marked, self.gold, "filename", touched, GOLD_ROWS_PER_FILE)
+            replace = replace_packed if is_path(self.gold) else replace_partitions
+            replace(marked, self.gold, "filename", touched, GOLD_ROWS_PER_FILE)
             gone = touched.join(marked.select("filename").distinct(), "filename", "left_anti")
             write_report(summarise(marked, axis), self.reports, "filename", gone)
         finally:

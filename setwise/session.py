@@ -52,3 +52,11 @@ def cut(df: DataFrame) -> DataFrame:
     branches read it back instead of computing it again."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as files in the shared folder. Unlike ``cut``, this works it out once and reads
+    back only the columns that are needed."""
+    path = work_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,15 +19,19 @@ def session_files(
     stream: bool = False,
     max_bytes: int = BATCH_BYTES,
     max_files: int | None = None,
+    session: str | None = None,
+    block: str | None = None,
 ) -> DataFrame:
     """Typed samples plus ``_rescued_data`` and ``filename``.
 
     Cells are read as text and cast here, so that a cell that does not fit its type
     turns null and is kept, as JSON, in ``_rescued_data``. ``name`` says how to derive
-    the session name from the file metadata; the default is the file's name.
+    the session name from the file metadata; the default is the file's name. ``session`` names
+    a last cell of files that hold several sessions, which ``name`` may use too.
     A stream takes at most about ``max_bytes`` (or ``max_files``) per micro-batch.
+    ``block`` adds, under that name, a number that the rows of a part of a file share.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*schema.names, *([session] if session else [])]])
     reader = spark.readStream if stream else spark.read
     reader = (
         reader.schema(T.StructType([*text.fields, T.StructField(_LINE, T.StringType())]))
@@ -40,9 +44,10 @@ def session_files(
         limit = ("maxFilesPerTrigger", max_files) if max_files else ("maxBytesPerTrigger", max_bytes)
         reader = reader.option(*limit)
     raw = reader.csv(path)
-    return rescue_cells(raw, schema, line=_LINE).withColumn(
-        "filename", F.col("_metadata.file_name") if name is None else name
-    ).select(*schema.names, "_rescued_data", "filename")
+    added = {"filename": F.col("_metadata.file_name") if name is None else name}
+    if block:
+        added[block] = F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+    return rescue_cells(raw, schema, line=_LINE).withColumns(added).select(*schema.names, "_rescued_data", *added)
 
 
 def rescue_cells(raw: DataFrame, schema: T.StructType, line: str | None = None) -> DataFrame:

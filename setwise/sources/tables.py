@@ -3,6 +3,10 @@
 A target is a catalog name (``db.table``) or, if it contains a slash, a path. Below a path,
 the folders of a partition column lie in folders of a hash of it, so that the folders to
 look at for any number of values are at most ``BUCKETS``.
+
+A packed table below a path has no folder for a value: the files of ``PACKS`` folders hold the
+rows of many values each, so that a table of many small sessions has few files. To replace some
+values, the folders that hold them are written anew.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import types as T
 
 from setwise.contract import GOLD_ROWS_PER_FILE
 from setwise.sources.change_log import ChangeLog
-from setwise.sources.files import exists, names_in, partition_folder, remove
+from setwise.sources.files import exists, names_in, partition_folder, remove, rename
 
 PRUNED_KEYS = 10_000
 """Up to this many partition values are listed in the plan to prune the scan."""
@@ -28,6 +32,16 @@ BUCKET = "session_bucket"
 BUCKETS = 4096
 """Folders of a path between the table and those of its partition column."""
 
+PACK = "session_pack"
+PACKS = 256
+"""Folders of a packed table."""
+
+STAGED = "_staged"
+"""Folder of a packed table with folders that are complete and not yet in their place."""
+
+LISTED_ROWS = 200
+"""Up to this many values are listed to filter the rows of a path; more are joined."""
+
 REPORT, LEFT = "report_number", "left_table"
 STATEMENT = 500
 """Partitions that one statement drops."""
@@ -51,7 +65,7 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
         return spark.table(target)
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return reader.parquet(target).drop(BUCKET)
+        return reader.parquet(target).drop(BUCKET, PACK)
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -112,6 +126,11 @@ def bucket_of(partition: str) -> Column:
     return F.pmod(F.xxhash64(F.nullif(F.col(partition).cast("string"), F.lit(""))), F.lit(BUCKETS)).cast("int")
 
 
+def pack_of(partition: str) -> Column:
+    """The folder of a value in a packed table."""
+    return F.pmod(F.xxhash64(F.nullif(F.col(partition).cast("string"), F.lit(""))), F.lit(PACKS)).cast("int")
+
+
 def overwrite_partitions(df: DataFrame, target: str, partition: str, max_rows_per_file: int = 0) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
@@ -171,6 +190,53 @@ def replace_partitions(
     drop_partitions(gone, target, partition)
 
 
+def finish_staged(spark: SparkSession, target: str) -> None:
+    """Put the staged folders of a packed table in their place, also those of a run that
+    failed meanwhile. They hold all there is of their values, so it can be done again."""
+    staged = f"{target.rstrip('/')}/{STAGED}"
+    if not exists(spark, f"{staged}/_SUCCESS"):
+        return
+
+    def move(name: str) -> None:
+        place = f"{target.rstrip('/')}/{name}"
+        remove(spark, place)
+        rename(spark, f"{staged}/{name}", place)
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, [name for name in names_in(spark, staged) if name.startswith(f"{PACK}=")]))
+    remove(spark, staged)
+
+
+def replace_packed(df: DataFrame, target: str, partition: str, touched: DataFrame, max_rows_per_file: int = 0) -> None:
+    """Make ``df`` all there is of its values and those in ``touched`` (one column) in a packed
+    table. The other rows of their folders are written with them, first beside the table, so
+    that a run that fails loses none. Both frames are read more than once."""
+    spark = df.sparkSession
+    finish_staged(spark, target)
+    values = touched.select(F.col(partition).alias("__touched")).union(df.select(partition)).distinct()
+    numbers = values.select(pack_of("__touched")).distinct().collect()
+    held = {f"{PACK}={number}" for number, in numbers}.intersection(names_in(spark, target))
+    if dict(df.dtypes)[partition] == "string":  # as in names of folders
+        df = df.withColumn(partition, F.nullif(F.col(partition), F.lit("")))
+    rows, left = df.withColumn(PACK, pack_of(partition)), set()
+    if held:
+        old = _folders(spark, target, held, df.schema)
+        same = F.nullif(F.col(partition).cast("string"), F.lit("")).eqNullSafe(F.nullif(F.col("__touched").cast("string"), F.lit("")))
+        rows = rows.unionByName(old.join(values, same, "left_anti"))
+        left = held - {f"{PACK}={number}" for number, in rows.select(PACK).distinct().collect()}
+    (
+        rows.hint("rebalance", PACK)
+        .sortWithinPartitions(PACK, partition)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", max_rows_per_file)
+        .partitionBy(PACK)
+        .parquet(f"{target.rstrip('/')}/{STAGED}")
+    )
+    finish_staged(spark, target)
+    for name in left:
+        remove(spark, f"{target.rstrip('/')}/{name}")
+
+
 def append_table(
     df: DataFrame, target: str, partition_on: Sequence[str] = (), max_rows_per_file: int = GOLD_ROWS_PER_FILE
 ) -> None:
@@ -206,24 +272,27 @@ def _rows_of(table: DataFrame, updates: DataFrame, partition: str, listed: dict[
     return table.where(found | F.col(partition).isNull() if None in listed else found)
 
 
+def _folders(spark: SparkSession, target: str, names: Iterable[str], schema: T.StructType) -> DataFrame:
+    """The rows in some folders of a path, with the column that names the folders."""
+    places = [f"{target.rstrip('/')}/{name}" for name in sorted(names)]
+    return spark.read.schema(schema).option("basePath", target).parquet(*places)
+
+
 def read_touched(
     spark: SparkSession, target: str, updates: DataFrame, partition: str, schema: T.StructType, most: int | None = None
 ) -> DataFrame:
-    """The same from a target. Of a path, only the buckets of the values are listed, by Spark
+    """The same from a target. Of a path, only the folders of the values are listed, by Spark
     where they are many; the table itself is looked at once."""
-    listed = listed_values(updates, partition, most)
     if not is_path(target):
-        return _rows_of(read_table(spark, target, schema), updates, partition, listed)
-    if listed is None:
-        buckets = {row[0] for row in updates.select(bucket_of(partition)).distinct().collect()}
-    else:
-        buckets = set(listed.values())
-    folders = {f"{BUCKET}={bucket}" for bucket in buckets}.intersection(names_in(spark, target))
+        return _rows_of(read_table(spark, target, schema), updates, partition, listed_values(updates, partition, most))
+    there = names_in(spark, target)
+    packed = any(name.startswith(f"{PACK}=") for name in there)
+    column, number = (PACK, pack_of(partition)) if packed else (BUCKET, bucket_of(partition))
+    folders = {f"{column}={row[0]}" for row in updates.select(number).distinct().collect()}.intersection(there)
     if not folders:
         return empty(spark, schema)
-    places = [f"{target.rstrip('/')}/{folder}" for folder in sorted(folders)]
-    rows = spark.read.schema(schema).option("basePath", target).parquet(*places).drop(BUCKET)
-    return _rows_of(rows, updates, partition, listed)
+    listed = listed_values(updates, partition, LISTED_ROWS if packed and most is None else most)
+    return _rows_of(_folders(spark, target, folders, schema).drop(column), updates, partition, listed)
 
 
 _MARKS = ("__new", "__was_there", "__updated", "__changed")
@@ -288,11 +357,12 @@ def upsert(
     replace: DataFrame | None = None,
     latest_by: str | None = None,
     max_listed: int | None = None,
+    packed: bool = False,
 ) -> int | None:
     """Update rows with a known key, insert the others; touches only their partitions.
 
     With ``replace``, a frame of partition values, the updates are all there is of these:
-    old rows without an update go.
+    old rows without an update go. ``packed`` tells that the path is a packed table.
 
     With a ``log`` the outcome is written down first, then the table, and the changes are
     published last, as the version ``delivery`` (the next number, if none is given). A
@@ -300,6 +370,8 @@ def upsert(
     nothing; so a source that has grown meanwhile makes no difference. Returns the version.
     """
     version = None
+    if packed:
+        finish_staged(spark, target)
     if log is not None:
         latest = log.latest()
         version = delivery if delivery is not None else 0 if latest is None else latest + 1
@@ -317,7 +389,9 @@ def upsert(
     matched = match().persist(StorageLevel.DISK_ONLY) if log is None else log.outcome(version, match)
     try:
         rows = merged_rows(matched, whole)
-        if whole:
+        if packed:
+            replace_packed(rows, target, partition, matched.select(partition))
+        elif whole:
             replace_partitions(rows, target, partition, matched.select(partition))
         else:
             overwrite_partitions(rows, target, partition)

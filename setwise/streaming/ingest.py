@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from setwise.contract import BATCH_BYTES, SESSION_FILE
 from setwise.sources.session_files import session_files
-from setwise.sources.tables import BUCKET, bucket_of, is_path
+from setwise.sources.tables import PACK, is_path, pack_of
+
+BLOCK, PARTS = "__block", 8
+"""Files that a batch may add to one folder of bronze: a session of any length is written by so
+many tasks."""
 
 
 def ingest(
@@ -20,13 +25,16 @@ def ingest(
     name: Column | None = None,
     max_bytes: int = BATCH_BYTES,
     max_files: int | None = None,
+    session: str | None = None,
 ) -> StreamingQuery:
-    """Append all files not seen before and stop. The checkpoint remembers the files. Below a
-    path, sessions lie in buckets, as readers of single sessions expect."""
-    rows = session_files(spark, landing, schema, name, stream=True, max_bytes=max_bytes, max_files=max_files)
+    """Append all files not seen before and stop. The checkpoint remembers the files. A path is
+    a packed table: rows are gathered by folder, so that a batch adds few files."""
+    rows = session_files(spark, landing, schema, name, True, max_bytes, max_files, session, BLOCK)
     folders = ["filename"]
     if is_path(bronze):
-        rows, folders = rows.withColumn(BUCKET, bucket_of("filename")), [BUCKET, *folders]
+        rows = rows.withColumns({"filename": F.nullif("filename", F.lit("")), PACK: pack_of("filename")})
+        rows, folders = rows.repartition(PACK, F.pmod(BLOCK, F.lit(PARTS))), [PACK]
+    rows = rows.drop(BLOCK)
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy(*folders)

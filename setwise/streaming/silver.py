@@ -16,7 +16,7 @@ from setwise.operators.cleaning import clean_samples, resample_where, route, sel
 from setwise.operators.ordered import MAX_ROWS, Axis, fit_axis
 from setwise.operators.signals import label_session
 from setwise.sources.change_log import ChangeLog
-from setwise.sources.tables import BUCKET, is_path, read_touched, upsert
+from setwise.sources.tables import PACK, is_path, read_touched, upsert
 
 KEYS = ("filename", "time_vector")
 FILE = "__file"
@@ -48,11 +48,11 @@ def session_axis(bronze: DataFrame, max_rows: int = MAX_ROWS) -> Axis:
 
 @dataclass(frozen=True)
 class SilverJob:
-    """Reads the bronze table as a stream and upserts into two tables, partitioned by
-    session. Tables are paths, or names of tables that were created before.
+    """Reads the bronze table as a stream and upserts into two tables. Tables are paths, where
+    they are packed, or names of tables partitioned by session that were created before.
 
     A session is always labelled as a whole: the batch only says which sessions have
-    new rows, and these are read again in full, from their folders only. They replace what
+    new rows, and these are read again in full, from the folders that hold them only. They replace what
     either table has of them, so a session that moves from one table to the other leaves
     nothing behind. A batch that is delivered twice gives the same tables. The change logs lie
     beside the stream's own checkpoint, as their versions are its batch numbers: to read bronze
@@ -80,9 +80,9 @@ class SilverJob:
     def run(self) -> StreamingQuery:
         limit = ("maxFilesPerTrigger", self.max_files) if self.max_files else ("maxBytesPerTrigger", self.max_bytes)
         reader = self.spark.readStream.option(*limit)
-        bucketed = T.StructType([*C.BRONZE.fields, T.StructField(BUCKET, T.IntegerType())])
-        rows = reader.schema(bucketed).parquet(self.bronze) if is_path(self.bronze) else reader.table(self.bronze)
-        rows = rows.withColumn(FILE, F.struct("_metadata.file_path", "_metadata.file_size")).drop(BUCKET)
+        packed = T.StructType([*C.BRONZE.fields, T.StructField(PACK, T.IntegerType())])
+        rows = reader.schema(packed).parquet(self.bronze) if is_path(self.bronze) else reader.table(self.bronze)
+        rows = rows.withColumn(FILE, F.struct("_metadata.file_path", "_metadata.file_size")).drop(PACK)
         query = (
             rows.writeStream.foreachBatch(self.update)
             .outputMode("append")
@@ -130,7 +130,7 @@ class SilverJob:
                 (training, self.training, C.TRAINING, self.training_log()),
                 (production, self.production, C.PRODUCTION, self.production_log()),
             ):
-                upsert(spark, target, rows, KEYS, "filename", schema, log, batch_id, replace=names)
+                upsert(spark, target, rows, KEYS, "filename", schema, log, batch_id, names, packed=is_path(target))
         finally:
             labelled.unpersist()
             batch.unpersist()
