@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from setwise.contract import FEATURES, FOLDS, RUN_NAME, SPLIT_SEED
-from setwise.operators.models import chained_specs, evaluate_by_group, fit
+from setwise.operators.models import FOLD, SHARE, chained_specs, evaluate_by_group, fit, kept, with_shares
 from setwise.sources.run_store import RunStore
 
 
@@ -23,14 +22,11 @@ def train(
 ) -> str:
     """For each model: validate by session, measure on held-out sessions, fit on all."""
     specs = chained_specs(features, tree, forest)
-    needed = dict.fromkeys([group, *features, *[spec.label for spec in specs]])
-    rows = samples.select(*needed).persist(StorageLevel.DISK_ONLY)
-    try:
+    needed = [*features, *[spec.label for spec in specs], SHARE, FOLD]
+    with kept(with_shares(samples, group, folds, seed), needed) as rows:
         run_id = store.start()
         for spec in specs:
             validated, metrics = evaluate_by_group(spec, rows, group, folds, seed)
             measured = metrics.first().asDict() | {"cv_f1": validated.avgMetrics[0]}
             store.save(run_id, run_name, spec.name, fit(spec, rows, seed), spec.settings(), measured)
         return run_id
-    finally:
-        rows.unpersist()

@@ -11,6 +11,7 @@ from setwise.operators.relational import key_bucket
 from setwise.session import stored, work_dir
 from setwise.sources import tables
 from setwise.sources.change_log import KINDS, ChangeLog
+from setwise.sources.files import exists
 from setwise.streaming.ingest import ingest
 
 PARTS = [f"p {i}:" for i in range(12)]
@@ -102,5 +103,7 @@ def test_shares_are_worked_out_once(spark):
     rows = models.with_shares(spark.range(10).withColumn("g", F.col("id")), "g")
     assert models.with_shares(rows, "g") is rows
     with models.kept(rows, ["g", models.FOLD, "g"]) as held:
-        assert held.columns == ["g", models.FOLD] and held.is_cached
+        assert held.columns == ["g", models.FOLD] and held.count() == 10
+        path = held.inputFiles()[0].rsplit("/", 1)[0]
+    assert not exists(spark, path)
     assert "ExistingRDD" not in stored(rows)._jdf.queryExecution().toString()
