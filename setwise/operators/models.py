@@ -81,7 +81,7 @@ def kept(df: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame]:
     """These columns, worked out once and kept in files of the shared folder: a fit passes over
     its rows a dozen times, with as many tasks as the files are large."""
     spark, path = df.sparkSession, work_dir(df.sparkSession, "kept")
-    rows = df.select(*dict.fromkeys(columns))
+    rows = df.select(*dict.fromkeys(columns)).hint("rebalance")
     rows.write.parquet(path)
     try:
         yield spark.read.schema(rows.schema).parquet(path)
