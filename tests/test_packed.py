@@ -1,5 +1,7 @@
 """Packed tables, files of many sessions, and validation without a Python function a row."""
 
+import re
+
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -94,7 +96,9 @@ def test_validation_by_group_is_that_of_a_cross_validator(spark):
     ).fit(folded)
     ours = models.validate_by_group(spec, rows, "g")
     assert ours.avgMetrics == pytest.approx(theirs.avgMetrics) and 0.5 < ours.avgMetrics[0] <= 1
-    assert ours.bestModel.stages[-1].toDebugString.split("\n", 1)[1] == theirs.bestModel.stages[-1].toDebugString.split("\n", 1)[1]
+    # Sums of the scaler depend on how rows lie in tasks, so the last digits of a split may differ.
+    trees = [re.sub(r"\d+\.\d{6,}", lambda n: f"{float(n[0]):.9f}", m.bestModel.stages[-1].toDebugString.split("\n", 1)[1]) for m in (ours, theirs)]
+    assert trees[0] == trees[1]
     with pytest.raises(ValueError, match="empty"):
         models.validate_by_group(spec, rows.where("g = 1"), "g")
 
