@@ -39,7 +39,7 @@ MAX_CELLS = 1 << 24
 """Cells of the matrix, 64 MB. Beyond 256 languages they share fewer buckets; all are learned."""
 CHUNK_CELLS = 1 << 20
 
-_PREDICTED = (T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()))
+_PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -154,7 +154,9 @@ def train(labelled: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> LanguageMo
     steps = 1 << 40
     each = quota(list(texts.values()), most)
     below = {lang: steps if n <= each else int(steps * each / n) for lang, n in texts.items()}
-    limits = labelled.sparkSession.createDataFrame([(lang, below[lang]) for lang in languages], "of string, below long")
+    # An Arrow table: a list of rows would go through Python workers of its own kind.
+    limits = pa.table({"of": pa.array(languages, pa.string()), "below": pa.array([below[lang] for lang in languages], pa.int64())})
+    limits = labelled.sparkSession.createDataFrame(limits)
     sample = labelled.join(F.broadcast(limits), F.col("lang") == F.col("of"))  # a row a language
     sample = sample.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(steps)) < F.col("below")).select("lang", "text")
     counts = sample.mapInArrow(_sample_counts(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -168,18 +170,19 @@ def train(labelled: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> LanguageMo
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score``. One pass over the rows, no shuffle."""
+    """Add ``lang_pred`` and ``score``. One pass over the rows, no shuffle. Only the text goes
+    to Python, once, and only the prediction comes back."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*df.schema.fields, *_PREDICTED])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, text):
-            found, sure = shared.value.predict(batch.column(text).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.string()), pa.array(sure)], [*batch.schema.names, "lang_pred", "score"]
-            )
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        batches = (pa.RecordBatch.from_arrays([column], ["text"]) for column in columns)
+        for batch in small_batches(batches, "text"):
+            found, sure = shared.value.predict(batch.column("text").to_pylist())
+            yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(sure)], _PREDICTED.names)
 
-    return df.mapInArrow(score, schema)
+    # Said to vary, so that a filter on the prediction is not worked out by predicting twice.
+    told = F.arrow_udf(score, _PREDICTED).asNondeterministic()
+    return df.withColumn("told", told(F.col(text))).select(*df.columns, "told.*")
 
 
 def is_held_out(key: Column) -> Column:
@@ -199,6 +202,5 @@ def identify(docs: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> DataFrame:
 
 def in_a_known_language(docs: DataFrame, least: float = 0.5, most: int = MAX_TRAINING_DOCUMENTS) -> DataFrame:
     """The rows of ``docs`` whose language is known with a probability of ``least`` or more."""
-    rows = packed(docs, text=docs["text"])
-    scored = predict(rows, _model(docs, most))
+    scored = predict(packed(docs, text=docs["text"]), _model(docs, most))
     return unpacked(scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))

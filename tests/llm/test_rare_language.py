@@ -41,3 +41,23 @@ def test_only_letters_have_a_language():
     model = language.LanguageModel(["en"], np.zeros((language.BUCKETS, 1), dtype=np.float32), np.zeros(1))
     assert model.predict(["½ ²", "Ⅷ ①", "١٢", "_ - 5", "", None])[0] == ["und"] * 6
     assert model.predict(["a", "é", "漢", "ª", "1x"])[0] == ["en"] * 5
+
+
+def test_only_texts_and_predictions_pass_between_spark_and_python(spark, monkeypatch):
+    rows = [(i, text, lang, "s" * 9) for i in range(40) for text, lang in (("abc abd", "x"), ("xyz xyw", "y"), (None, "x"), ("1 2", None))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+    def refuse(*_):
+        raise AssertionError("rows of a list go through Python workers of another kind")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    for told in (language.in_a_known_language(docs), language.identify(docs)):
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        calls = [line for line in plan.splitlines() if "score(" in line and "EvalPython" in line]
+        assert "MapInArrow" not in plan and len(calls) == 1
+        assert calls[0].count("score(") == 1
+    kept = language.in_a_known_language(docs)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect())) == sorted(r for r in rows if r[1] in ("abc abd", "xyz xyw"))
+    told = {(r["doc_id"], r["lang_pred"]) for r in language.identify(docs).where("lang_pred <> 'und'").collect()}
+    assert told == {(i, lang) for i in range(40) for lang in "xy"}
